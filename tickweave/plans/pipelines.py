@@ -1,0 +1,140 @@
+"""User-level compositions (PIP-1..7): one DataFrame job for all instruments at once."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tickweave.functions import book as fb
+from tickweave.functions import trade as ft
+from tickweave.operators import gaps as gp
+from tickweave.operators import quality as q
+from tickweave.operators import research as rs
+from tickweave.operators import windows as win
+from tickweave.operators.joins import incremental_rows
+from tickweave.schemas import INSTRUMENT, VENUE_SYMBOL
+
+TRADE_EXPORT_COLS = ["trade_id", "trade_id_raw", "symbol", "mkt_type", "exchange_id", "dt", "price", "amount",
+                     "turnover", "side", "is_taker_buyer", "sub_ms_seq", "ma_price_100", "is_high_impact",
+                     "timestamp"]
+BOOK_EXPORT_COLS = ["nonce", "symbol", "mkt_type", "exchange_id", "dt", "micro_price", "imbalance", "spread",
+                    "bid_prices", "bid_volumes", "ask_prices", "ask_volumes", "timestamp"]
+
+
+def _days(df: DataFrame, date: str | None) -> DataFrame:
+    return q.on_day(df, date) if date else df
+
+
+def consolidate_trades(trades: DataFrame, date: str | None = None, layout: str | None = None,
+                       block_rows: int | None = None) -> DataFrame:
+    """PIP-2, trades: day filter -> latest version per key -> turnover, UTC time, per-day
+    sequence number and 101-row moving price, high-impact flag; plus the ``date`` column.
+
+    With ``date=None`` every day is done in the same job (windows per instrument and day).
+    """
+    t = q.latest_by_key(_days(trades, date), q.TRADE_KEY)
+    t = t.withColumn("date", ft.utc_date("timestamp"))
+    by = INSTRUMENT + ["date"]
+    t = win.with_trade_seq(t, by=by, layout=layout)
+    t = win.with_ma_price(t, n=100, by=by, layout=layout, block_rows=block_rows)
+    t = (t.withColumn("dt", ft.ms_to_utc("timestamp"))
+         .withColumn("turnover", ft.turnover())
+         .withColumn("is_high_impact", ft.is_high_impact()))
+    return t.select(*TRADE_EXPORT_COLS, "date")
+
+
+def consolidate_books(books: DataFrame, date: str | None = None, depth: int = 20) -> DataFrame:
+    """PIP-2, books: day filter -> latest version -> micro price, imbalance, spread, top
+    ``depth`` levels, UTC time; plus ``date``."""
+    b = q.latest_by_key(_days(books, date), q.BOOK_KEY)
+    return b.select(
+        "nonce", "symbol", "mkt_type", "exchange_id", ft.ms_to_utc("timestamp").alias("dt"),
+        fb.micro_price().alias("micro_price"), fb.imbalance().alias("imbalance"), fb.spread().alias("spread"),
+        *[fb.top_levels(c, depth).alias(c) for c in ("bid_prices", "bid_volumes", "ask_prices", "ask_volumes")],
+        "timestamp", ft.utc_date("timestamp").alias("date"))
+
+
+def consolidate_day(trades: DataFrame, books: DataFrame, root: str, date: str | None = None) -> None:
+    """PIP-2 with the export (SNK-3): both feature tables written, re-run safe."""
+    from tickweave.sources.sinks import export_daily
+    export_daily(consolidate_trades(trades, date), root, "trades")
+    export_daily(consolidate_books(books, date), root, "orderbook")
+
+
+def patch_day(official: DataFrame, local: DataFrame, expected: DataFrame, date: str, now_ms: int,
+              by: Sequence[str] = VENUE_SYMBOL) -> dict[str, DataFrame]:
+    """PIP-1: validate the archive, coverage per instrument, rows to insert (whole day
+    where nothing is local, else the anti join), the patched table, audits and health."""
+    off = q.on_day(official, date)
+    loc = q.on_day(local, date)
+    bad, report = q.validate_trades(off, by=list(by))
+    coverage = q.day_coverage(loc, expected, date, by)
+    to_insert = q.missing_trades(off, loc, by)      # empty local -> every archive row
+    patched = gp.merge_recovered(loc, to_insert)
+    audit = q.audit(off, patched, by)
+    attrs = q.audit_attributes(off, patched, by)
+    health = q.feed_health(patched, audit, now_ms, by)
+    return {"bad_rows": bad, "report": report, "coverage": coverage, "to_insert": to_insert,
+            "patched": patched, "audit": audit, "attributes": attrs, "health": health}
+
+
+def daily_pipeline(official: DataFrame, local: DataFrame, books: DataFrame, expected: DataFrame,
+                   date: str, now_ms: int, root: str) -> dict[str, DataFrame]:
+    """PIP-3: PIP-1 then PIP-2 on the patched table; stops (raises) on an invalid archive."""
+    out = patch_day(official, local, expected, date, now_ms)
+    if not out["bad_rows"].isEmpty():
+        raise ValueError("archive has prices <= 0; patch stopped")
+    consolidate_day(out["patched"], books, root, date)
+    return out
+
+
+def heal(local: DataFrame, backfill: DataFrame, active: DataFrame | None, now_ms: int,
+         by: Sequence[str] = VENUE_SYMBOL) -> dict[str, DataFrame]:
+    """PIP-4: detect gaps -> new jobs -> pages -> fill from backfill -> merge -> close jobs."""
+    gaps = gp.detect_gaps(local, by)
+    jobs = gp.gap_jobs(gaps, active, now_ms)
+    pages = gp.gap_pages(jobs)
+    recovered, report = gp.fill_gaps(jobs, backfill, by)
+    merged = gp.merge_recovered(local, recovered)
+    done = report.where(F.col("n_missing") == 0).withColumn("job_id", F.md5(
+        F.concat_ws(":", "exchange_id", "symbol", F.col("start_id").cast("string"), F.col("end_id").cast("string"))))
+    still_active = gp.close_jobs(active, done) if active is not None else None
+    return {"gaps": gaps, "jobs": jobs, "pages": pages, "recovered": recovered, "report": report,
+            "merged": merged, "active": still_active}
+
+
+def replicate(remote_trades: DataFrame, local_trades: DataFrame, remote_books: DataFrame | None = None,
+              local_books: DataFrame | None = None) -> dict[str, DataFrame]:
+    """PIP-5: rows to copy per table (above the local high-water mark of each instrument)."""
+    out = {"trades": incremental_rows(remote_trades, local_trades, INSTRUMENT, "trade_id")}
+    if remote_books is not None and local_books is not None:
+        out["orderbook"] = incremental_rows(remote_books, local_books, INSTRUMENT, "nonce")
+    return out
+
+
+def train_alpha(books: DataFrame, old_weights: DataFrame | None = None, lags=win.DEFAULT_LAGS,
+                split: float = 0.7, alpha: float = 0.2, on_gate_fail: str = "reference",
+                layout: str | None = None) -> dict[str, DataFrame]:
+    """PIP-6: factors and labels -> best lag -> honest evaluation -> weights -> blend.
+
+    ``on_gate_fail='reference'`` blends the zero weights of a failed gate like the
+    reference does; ``'keep'`` keeps the old record for those instruments.
+    """
+    f = win.with_book_factors(books, lags=lags, layout=layout)
+    best = rs.best_lag(f, lags, split)
+    ev = rs.evaluate(f, best=best, lags=lags, split=split)
+    new = ev.select("symbol", "w_vamp", "w_ofi", "intercept", "best_lag", "passed")
+    if on_gate_fail == "keep" and old_weights is not None:
+        new = new.where("passed")
+    blended = rs.blend_weights(old_weights, new.drop("passed"), alpha)
+    if on_gate_fail == "keep" and old_weights is not None:
+        blended = blended.unionByName(old_weights.select(*blended.columns)
+                                      .join(new.select("symbol"), "symbol", "left_anti"))
+    return {"factors": f, "best_lag": best, "evaluation": ev, "weights": blended}
+
+
+def tca(trades: DataFrame, books: DataFrame, max_lag_ms: int = 100, layout: str | None = None):
+    """PIP-7: as-of join -> fresh quotes -> slippage and size category -> AGG-4."""
+    return rs.tca(trades, books, max_lag_ms, layout=layout)
