@@ -465,3 +465,466 @@ def stream_backlog(spark, sf):
     m = t.unionByName(b)
     pos = m.groupBy(*keys).agg(F.expr("max(msg_id) DIV 2").alias("msg_id"))
     return q.stream_backlog(m, pos)
+
+
+# ================================================================ AGG-5..8, FEA-13/14/16
+
+KEY = "exchange_id, mkt_type, symbol"
+IDX_SQL = f"""
+ix AS (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY timestamp, nonce) - 1 AS i,
+              count(*) OVER (PARTITION BY {KEY}) AS cnt FROM bf),
+base AS (SELECT *, floor(cnt * 0.7::DOUBLE) AS split FROM ix
+         WHERE vamp_bias_bp IS NOT NULL AND factor_ofi_smooth IS NOT NULL AND vamp IS NOT NULL
+           AND mid_price IS NOT NULL)
+"""
+LAGS = (5, 10, 20, 50, 100)
+
+
+def _corr_sql(x: str, y: str) -> str:
+    return f"covar_pop({x}, {y}) / nullif(sqrt(var_pop({x}) * var_pop({y})), 0)"
+
+
+def _best_lag_sql() -> str:
+    parts = []
+    for L in LAGS:
+        later = "".join(f" AND target_{m}_tick IS NOT NULL" for m in LAGS if m > L)
+        parts.append(f"SELECT {KEY}, {L} AS lag, abs({_corr_sql('vamp_bias_bp', f'target_{L}_tick')}) AS ic "
+                     f"FROM base WHERE i + {L} < split AND target_{L}_tick IS NOT NULL{later} GROUP BY ALL")
+    return ("lagic AS (" + " UNION ALL ".join(parts) + "),\n"
+            f"bl AS (SELECT *, ic IS NOT NULL AND row_number() OVER (PARTITION BY {KEY} "
+            "ORDER BY ic IS NULL, ic DESC, lag) = 1 AS is_best FROM lagic)")
+
+
+def _factor_frame(spark, sf):
+    return _factors(spark, sf, lags=LAGS)
+
+
+@register("ic", with_ctes(BOOK_FACTORS) + f"""
+SELECT {KEY}, round({_corr_sql('vamp_bias_bp', 'target_20_tick')}, 6) AS ic, count(*) AS n
+FROM bf WHERE vamp_bias_bp IS NOT NULL AND target_20_tick IS NOT NULL GROUP BY ALL
+""")
+def ic(spark, sf):
+    """AGG-5: IC of the VAMP bias against the 20-book forward return per instrument."""
+    r = rs.ic(_factor_frame(spark, sf), "vamp_bias_bp", "target_20_tick", by=INSTRUMENT)
+    return r.select(*INSTRUMENT, r6(F.col("ic")).alias("ic"), "n")
+
+
+@register("best_lag", with_ctes(BOOK_FACTORS, IDX_SQL, _best_lag_sql()) + f"""
+SELECT {KEY}, lag, round(ic, 6) AS ic, is_best FROM bl
+""")
+def best_lag(spark, sf):
+    """AGG-6: |IC| per horizon on the first 70 % with in-slice labels, and the best horizon."""
+    r = rs.best_lag(_factor_frame(spark, sf))
+    return r.select(*INSTRUMENT, "lag", r6(F.col("ic")).alias("ic"), "is_best")
+
+
+def _moments_sql(tag: str, cond: str) -> str:
+    f = f" FILTER (WHERE {cond})"
+    return ", ".join([
+        f"count(*){f} AS n_{tag}", f"avg(x1){f} AS m1_{tag}", f"avg(x2){f} AS m2_{tag}", f"avg(y){f} AS my_{tag}",
+        f"var_pop(x1){f} AS v1_{tag}", f"var_pop(x2){f} AS v2_{tag}", f"var_pop(y){f} AS vy_{tag}",
+        f"covar_pop(x1, x2){f} AS c12_{tag}", f"covar_pop(x1, y){f} AS c1y_{tag}",
+        f"covar_pop(x2, y){f} AS c2y_{tag}"])
+
+
+def _ols_sql(t: str) -> tuple[str, str, str]:
+    det = f"nullif(v1_{t} * v2_{t} - c12_{t} * c12_{t}, 0)"
+    b1 = f"((v2_{t} * c1y_{t} - c12_{t} * c2y_{t}) / {det})"
+    b2 = f"((v1_{t} * c2y_{t} - c12_{t} * c1y_{t}) / {det})"
+    a = f"(my_{t} - {b1} * m1_{t} - {b2} * m2_{t})"
+    return b1, b2, a
+
+
+def _pred_ic_sql(b1: str, b2: str, t: str) -> str:
+    cov = f"({b1} * c1y_{t} + {b2} * c2y_{t})"
+    vp = f"({b1} * {b1} * v1_{t} + 2 * {b1} * {b2} * c12_{t} + {b2} * {b2} * v2_{t})"
+    return f"({cov} / nullif(sqrt({vp} * vy_{t}), 0))"
+
+
+@register("fit_ols", with_ctes(BOOK_FACTORS) + f"""
+, m AS (SELECT {KEY}, {_moments_sql('all', 'true')}
+        FROM (SELECT *, vamp_bias_bp AS x1, factor_ofi_smooth AS x2, target_20_tick AS y FROM bf
+              WHERE vamp_bias_bp IS NOT NULL AND factor_ofi_smooth IS NOT NULL AND target_20_tick IS NOT NULL)
+        GROUP BY ALL)
+SELECT {KEY}, round({_ols_sql('all')[0]}, 6) AS w_vamp, round({_ols_sql('all')[1]}, 6) AS w_ofi,
+       round({_ols_sql('all')[2]}, 6) AS intercept, n_all AS n FROM m
+""")
+def fit_ols(spark, sf):
+    """AGG-7: two-factor OLS (VAMP bias, smoothed OFI) on the 20-book return per instrument."""
+    r = rs.fit_ols(_factor_frame(spark, sf), "target_20_tick", by=INSTRUMENT)
+    return r.select(*INSTRUMENT, *[r6(F.col(c)).alias(c) for c in ("w_vamp", "w_ofi", "intercept")], "n")
+
+
+def _evaluate_sql() -> str:
+    ycase = "CASE bl.lag " + " ".join(f"WHEN {L} THEN target_{L}_tick" for L in LAGS) + " END"
+    all_t = " AND ".join(f"target_{L}_tick IS NOT NULL" for L in LAGS)
+    tr, al = _ols_sql("tr"), _ols_sql("all")
+    return with_ctes(BOOK_FACTORS, IDX_SQL, _best_lag_sql()) + f"""
+, d AS (SELECT bf.*, bl.lag AS best_lag, vamp_bias_bp AS x1, factor_ofi_smooth AS x2, {ycase} AS y
+        FROM bf JOIN (SELECT * FROM bl WHERE is_best) bl USING ({KEY})),
+u AS (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY timestamp, nonce) - 1 AS j,
+             count(*) OVER (PARTITION BY {KEY}) AS mm
+      FROM d WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND y IS NOT NULL),
+s AS (SELECT *, j < floor(mm * 0.7::DOUBLE) AS tr, x1 IS NOT NULL AND x2 IS NOT NULL AND {all_t} AS fin FROM u),
+g AS (SELECT {KEY}, first(best_lag) AS best_lag, {_moments_sql('tr', 'tr')}, {_moments_sql('va', 'NOT tr')},
+             {_moments_sql('all', 'true')}, {_moments_sql('fin', 'fin')} FROM s GROUP BY ALL),
+h AS (SELECT *, {_pred_ic_sql(tr[0], tr[1], 'tr')} AS train_ic, {_pred_ic_sql(tr[0], tr[1], 'va')} AS valid_ic FROM g),
+k AS (SELECT *, coalesce(valid_ic > 0.02, false) AS passed FROM h)
+SELECT {KEY}, best_lag, n_tr AS n_train, n_va AS n_valid, round(train_ic, 6) AS train_ic, round(valid_ic, 6) AS valid_ic,
+       round((train_ic - valid_ic) / nullif(train_ic, 0), 6) AS decay, passed,
+       round(CASE WHEN passed THEN {al[0]} ELSE 0 END, 6) AS w_vamp,
+       round(CASE WHEN passed THEN {al[1]} ELSE 0 END, 6) AS w_ofi,
+       round(CASE WHEN passed THEN {al[2]} ELSE 0 END, 6) AS intercept,
+       round(CASE WHEN passed THEN {_pred_ic_sql(al[0], al[1], 'fin')} END, 6) AS final_ic
+FROM k
+"""
+
+
+@register("evaluate", _evaluate_sql())
+def evaluate(spark, sf):
+    """AGG-8: honest 70/30 evaluation at the best horizon, gate, refit and final IC."""
+    f = _factor_frame(spark, sf)
+    r = rs.evaluate(f, best=rs.best_lag(f))
+    rounded = ["train_ic", "valid_ic", "decay", "w_vamp", "w_ofi", "intercept", "final_ic"]
+    return r.select(*[r6(F.col(c)).alias(c) if c in rounded else F.col(c) for c in r.columns])
+
+
+@register("blend_weights", with_ctes(BOOK_FACTORS) + f"""
+, m AS (SELECT symbol, {_moments_sql('all', 'true')}
+        FROM (SELECT *, vamp_bias_bp AS x1, factor_ofi_smooth AS x2, target_100_tick AS y FROM bf
+              WHERE vamp_bias_bp IS NOT NULL AND factor_ofi_smooth IS NOT NULL AND target_100_tick IS NOT NULL)
+        GROUP BY ALL)
+SELECT symbol, round({fx.W_VAMP!r} * 0.8 + {_ols_sql('all')[0]} * 0.2, 6) AS w_vamp,
+       round({fx.W_OFI!r} * 0.8 + {_ols_sql('all')[1]} * 0.2, 6) AS w_ofi,
+       round({_ols_sql('all')[2]}, 6) AS intercept, 100 AS best_lag
+FROM m
+""")
+def blend_weights(spark, sf):
+    """FEA-16: stored weights blended 80/20 with a fresh per-symbol fit at 100 books."""
+    new = rs.fit_ols(_factor_frame(spark, sf), "target_100_tick", by=["symbol"]).withColumn("best_lag", F.lit(100))
+    b = rs.blend_weights(fx.weights(spark, sf), new.drop("n"))
+    return b.select("symbol", *[r6(F.col(c)).alias(c) for c in ("w_vamp", "w_ofi", "intercept")], "best_lag")
+
+
+@register("combined_alpha", with_ctes(BOOK_FACTORS) + f"""
+, s AS (SELECT {KEY}, nonce, vamp_bias_bp * {fx.W_VAMP!r} + factor_ofi_smooth * {fx.W_OFI!r} + {fx.INTERCEPT!r} AS a FROM bf)
+SELECT {KEY}, nonce, round(a, 6) AS combined_alpha,
+       CASE WHEN a > 0.05 THEN 'buy' WHEN a < -0.05 THEN 'sell' ELSE 'none' END AS signal
+FROM s
+""")
+def combined_alpha(spark, sf):
+    """FEA-13/14: weighted signal with stored per-symbol weights, and its buy/sell call."""
+    f = _factors(spark, sf).join(fx.weights(spark, sf), "symbol")
+    f = f.withColumn("combined_alpha", fs.combined_alpha()).withColumn("signal", fs.trade_signal())
+    return f.select(*INSTRUMENT, "nonce", r6(F.col("combined_alpha")).alias("combined_alpha"), "signal")
+
+
+# ================================================================ RNK-*, STR-6 batch
+
+@register("first_n", with_ctes() + """
+SELECT exchange_id, symbol, nonce, timestamp FROM books ORDER BY timestamp, nonce LIMIT 100000
+""")
+def first_n(spark, sf):
+    """RNK-1: the oldest 100000 books by (timestamp, nonce)."""
+    return win.first_n(fx.books(spark, sf), ["timestamp", "nonce"], 100000).select(
+        "exchange_id", "symbol", "nonce", "timestamp")
+
+
+@register("latest_n", with_ctes() + f"""
+SELECT {KEY}, nonce, timestamp FROM books
+QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY timestamp DESC, nonce DESC) <= 300
+""")
+def latest_n(spark, sf):
+    """RNK-2: newest 300 books per instrument."""
+    return win.latest_n(fx.books(spark, sf), INSTRUMENT, ["timestamp", "nonce"], 300).select(
+        *INSTRUMENT, "nonce", "timestamp")
+
+
+@register("cap_stream", with_ctes() + """
+SELECT 'md:' || exchange_id || ':' || mkt_type || ':' || replace(symbol, '/', '-') || ':tick' AS stream_key, nonce
+FROM books
+QUALIFY row_number() OVER (PARTITION BY stream_key ORDER BY timestamp DESC, nonce DESC) <= 10000
+""")
+def cap_stream(spark, sf):
+    """RNK-3: each stream capped to its newest 10000 messages."""
+    b = nm.with_stream_key(fx.books(spark, sf), "orderbook")
+    return win.cap_stream(b).select("stream_key", "nonce")
+
+
+@register("positional_split", with_ctes() + f"""
+SELECT {KEY}, nonce,
+       row_number() OVER w - 1 < floor(count(*) OVER (PARTITION BY {KEY}) * 0.7::DOUBLE) AS is_train
+FROM books WINDOW w AS (PARTITION BY {KEY} ORDER BY timestamp, nonce)
+""")
+def positional_split(spark, sf):
+    """RNK-5: first 70 % of each instrument's books (in time order) are train."""
+    return win.positional_split(fx.books(spark, sf), INSTRUMENT, ["timestamp", "nonce"]).select(
+        *INSTRUMENT, "nonce", "is_train")
+
+
+@register("score_latest", with_ctes(BOOK_FACTORS) + f"""
+, last AS (SELECT * FROM bf QUALIFY row_number() OVER (PARTITION BY {KEY} ORDER BY timestamp DESC, nonce DESC) = 1),
+s AS (SELECT *, vamp_bias_bp * {fx.W_VAMP!r} + factor_ofi_smooth * {fx.W_OFI!r} + {fx.INTERCEPT!r} AS a FROM last)
+SELECT {KEY}, nonce, timestamp, mid_price, round(a, 6) AS combined_alpha,
+       CASE WHEN a > 0.05 THEN 'buy' WHEN a < -0.05 THEN 'sell' ELSE 'none' END AS signal
+FROM s
+""")
+def score_latest(spark, sf):
+    """STR-6 batch + RNK-4: newest 300 books per instrument -> factors -> signal -> latest."""
+    from tickweave.streaming.scoring import score_latest as run
+    r = run(fx.books(spark, sf), fx.weights(spark, sf), n=300)
+    return r.select(*INSTRUMENT, "nonce", "timestamp", "mid_price",
+                    r6(F.col("combined_alpha")).alias("combined_alpha"), "signal")
+
+
+# ================================================================ FLT-*
+
+@register("on_day", with_ctes() + f"""
+SELECT * FROM archive
+WHERE timestamp >= epoch_ms(TIMESTAMP '{DAY}') AND timestamp < epoch_ms(TIMESTAMP '{DAY}') + 86400000
+""")
+def on_day(spark, sf):
+    """FLT-1: one UTC day of trades (range predicate pushed to the scan)."""
+    return q.on_day(fx.archive_trades(spark, sf), DAY)
+
+
+@register("for_instrument", with_ctes() + """
+SELECT * FROM archive WHERE exchange_id = 'binance' AND symbol = 'BTC/USDT' AND mkt_type = 'spot'
+""")
+def for_instrument(spark, sf):
+    """FLT-2."""
+    return q.for_instrument(fx.archive_trades(spark, sf), "binance", "BTC/USDT", "spot")
+
+
+@register("id_between", with_ctes() + "SELECT * FROM local_t WHERE trade_id BETWEEN 100 AND 200")
+def id_between(spark, sf):
+    """FLT-3."""
+    return q.id_between(fx.local_trades(spark, sf), 100, 200)
+
+
+@register("validate_report", with_ctes() + f"""
+SELECT {KEY}, count(*) AS n_rows, count(*) FILTER (WHERE price <= 0) AS n_bad_price,
+       min(price) AS min_price, max(price) AS max_price,
+       round((max(price) - min(price)) / nullif(min(price), 0), 6) AS range_ratio,
+       coalesce((max(price) - min(price)) / nullif(min(price), 0) > 0.1, false) AS warn
+FROM (SELECT * REPLACE (CASE WHEN trade_id % 500 = 0 THEN -price ELSE price END AS price) FROM archive)
+GROUP BY ALL
+""")
+def validate_report(spark, sf):
+    """FLT-4: price sanity per instrument (every 500th id carries a negated price)."""
+    t = fx.archive_trades(spark, sf).withColumn(
+        "price", F.when(F.col("trade_id") % 500 == 0, -F.col("price")).otherwise(F.col("price")))
+    _, rep = q.validate_trades(t)
+    return rep.withColumn("range_ratio", r6(F.col("range_ratio")))
+
+
+@register("validate_bad_rows", with_ctes() + """
+SELECT * REPLACE (-price AS price) FROM archive WHERE trade_id % 500 = 0
+""")
+def validate_bad_rows(spark, sf):
+    """FLT-4: the offending rows."""
+    t = fx.archive_trades(spark, sf).withColumn(
+        "price", F.when(F.col("trade_id") % 500 == 0, -F.col("price")).otherwise(F.col("price")))
+    return q.validate_trades(t)[0]
+
+
+@register("retention", with_ctes() + f"SELECT * FROM local_t WHERE local_timestamp > {NOW_MS} - 7 * 86400000")
+def retention(spark, sf):
+    """FLT-5: rows younger than 7 days at the fixed now."""
+    return q.apply_retention(fx.local_trades(spark, sf), NOW_MS)
+
+
+@register("drop_nulls", with_ctes(BOOK_FACTORS) + f"""
+SELECT {KEY}, nonce FROM bf
+WHERE factor_ofi_smooth IS NOT NULL AND target_100_tick IS NOT NULL AND vamp_bias_bp IS NOT NULL
+""")
+def drop_nulls(spark, sf):
+    """FLT-7: factor rows without NULL in the model columns."""
+    f = q.drop_nulls(_factor_frame(spark, sf), ["factor_ofi_smooth", "target_100_tick", "vamp_bias_bp"])
+    return f.select(*INSTRUMENT, "nonce")
+
+
+# ================================================================ NRM-*, SRC-4/5/9, STR-5
+
+def _raw_live_trades(spark, sf):
+    t = fx.archive_trades(spark, sf)
+    m = F.when(F.col("is_taker_buyer"), F.lit("false")).otherwise(F.lit("true"))
+    ibm = F.when(F.col("is_taker_buyer"), F.lit("False")).otherwise(F.lit("True"))
+    info = (F.when(F.col("trade_id") % 3 == 0, F.create_map(F.lit("m"), m))
+            .when(F.col("trade_id") % 3 == 1, F.create_map(F.lit("isBuyerMaker"), ibm))
+            .otherwise(F.create_map().cast("map<string,string>")))
+    return t.select(
+        "symbol",
+        F.when((F.col("side") == "sell") & (F.col("trade_id") % 50 == 0), F.concat(F.lit("x"), F.col("trade_id_raw")))
+        .otherwise(F.col("trade_id_raw")).alias("id"),
+        F.when(F.col("trade_id") % 40 == 0, F.lit(0).cast("long")).otherwise(F.col("timestamp")).alias("timestamp"),
+        "side", "price", "amount", info.alias("info"),
+        F.when(F.col("trade_id") % 97 == 0, F.lit("kraken")).otherwise(F.col("exchange_id")).alias("exchange_id"),
+        "mkt_type")
+
+
+RAW_LIVE_SQL = """
+raw AS (SELECT symbol, trade_id, trade_id_raw, side, price, amount, mkt_type, is_taker_buyer,
+               CASE WHEN side = 'sell' AND trade_id % 50 = 0 THEN 'x' || trade_id_raw ELSE trade_id_raw END AS id,
+               CASE WHEN trade_id % 40 = 0 THEN 0 ELSE timestamp END AS ts,
+               CASE WHEN trade_id % 97 = 0 THEN 'kraken' ELSE exchange_id END AS exchange_id
+        FROM archive),
+norm AS (SELECT TRY_CAST(id AS BIGINT) AS trade_id, id AS trade_id_raw, symbol, exchange_id, mkt_type, price, amount,
+                side, CASE WHEN exchange_id = 'binance' AND trade_id % 3 = 2 THEN true
+                           WHEN exchange_id IN ('binance', 'okx') THEN is_taker_buyer END AS is_taker_buyer,
+                CASE WHEN ts = 0 THEN 1706745600000 ELSE ts END AS timestamp, 1706745600000 AS local_timestamp
+         FROM raw)
+"""
+
+
+@register("normalize_trades", with_ctes(RAW_LIVE_SQL) + """
+SELECT * FROM norm WHERE is_taker_buyer IS NOT NULL AND trade_id IS NOT NULL
+""")
+def normalize_trades(spark, sf):
+    """NRM-1..3: live trade messages of both venues -> unified trades."""
+    return nm.normalize_trades(_raw_live_trades(spark, sf), NOW_MS)[0]
+
+
+@register("error_counts", with_ctes(RAW_LIVE_SQL) + """
+SELECT exchange_id, symbol, count(*) AS n_errors FROM norm
+WHERE is_taker_buyer IS NULL OR trade_id IS NULL GROUP BY ALL
+""")
+def error_counts(spark, sf):
+    """AGG-11: quarantined messages per exchange and symbol."""
+    return q.error_counts(nm.normalize_trades(_raw_live_trades(spark, sf), NOW_MS)[1])
+
+
+@register("normalize_books", with_ctes() + f"""
+SELECT nonce, symbol, exchange_id, mkt_type, bid_volumes[1] AS bid_volume, bid_prices[1] AS bid_price,
+       ask_volumes[1] AS ask_volume, ask_prices[1] AS ask_price,
+       bid_prices[1:20] AS bid_prices, bid_volumes[1:20] AS bid_volumes,
+       ask_prices[1:20] AS ask_prices, ask_volumes[1:20] AS ask_volumes,
+       CASE WHEN nonce % 9 = 0 THEN {NOW_MS} ELSE timestamp END AS timestamp, {NOW_MS} AS local_timestamp
+FROM books
+""")
+def normalize_books(spark, sf):
+    """NRM-4: raw [price, volume] books (25 levels, some without time) -> top-20 snapshots."""
+    b = fx.books(spark, sf)
+    pair = lambda p, v: F.zip_with(p, v, lambda x, y: F.array(x, y))
+    raw = b.select("symbol", "exchange_id", "mkt_type",
+                   pair(F.col("bid_prices"), F.col("bid_volumes")).alias("bids"),
+                   pair(F.col("ask_prices"), F.col("ask_volumes")).alias("asks"), "nonce",
+                   F.when(F.col("nonce") % 9 == 0, F.lit(None)).otherwise(F.col("timestamp")).alias("timestamp"))
+    return nm.normalize_books(raw, NOW_MS)
+
+
+@register("normalize_backfill", with_ctes() + f"""
+SELECT trade_id, trade_id_raw, symbol, exchange_id, mkt_type, price, amount, side, is_taker_buyer,
+       timestamp, {NOW_MS} AS local_timestamp FROM archive
+""")
+def normalize_backfill(spark, sf):
+    """NRM-5: REST history rows of both venues -> unified trades (all archive trades)."""
+    a = fx.archive_trades(spark, sf)
+    bn = a.where(F.col("exchange_id") == "binance").select(
+        F.col("trade_id").alias("id"), F.col("timestamp").alias("time"), "price", F.col("amount").alias("qty"),
+        (F.col("price") * F.col("amount")).alias("quoteQty"), (~F.col("is_taker_buyer")).alias("isBuyerMaker"),
+        "symbol", "exchange_id", "mkt_type")
+    ok = a.where(F.col("exchange_id") == "okx").select(
+        F.col("trade_id").alias("id"), "timestamp", "price", "amount", "side", "symbol", "exchange_id", "mkt_type")
+    return nm.normalize_backfill(bn, NOW_MS).unionByName(nm.normalize_backfill(ok, NOW_MS))
+
+
+@register("receive_latency", with_ctes() + """
+SELECT exchange_id, symbol, trade_id, local_timestamp - timestamp AS receive_latency FROM local_t
+""")
+def receive_latency(spark, sf):
+    """NRM-6: read-time latency column (created_at is the write time, not compared)."""
+    t = nm.with_trade_derived(fx.local_trades(spark, sf))
+    return t.select("exchange_id", "symbol", "trade_id", "receive_latency")
+
+
+@register("symbol_forms", with_ctes() + """
+SELECT DISTINCT exchange_id, mkt_type, symbol, replace(symbol, '/', '-') AS path_symbol,
+       replace(symbol, '/', '') AS archive_symbol, lower(replace(symbol, '/', '_')) AS weight_symbol,
+       'md:' || exchange_id || ':' || mkt_type || ':' || replace(symbol, '/', '-') || ':trades' AS stream_key,
+       exchange_id AS key_exchange_id, mkt_type AS key_mkt_type, symbol AS key_symbol, 'trades' AS key_data_type
+FROM archive
+""")
+def symbol_forms(spark, sf):
+    """NRM-7/8: symbol spellings and stream keys, built and parsed back."""
+    inst = fx.archive_trades(spark, sf).select(*INSTRUMENT).distinct()
+    return nm.parse_stream_key(nm.with_stream_key(nm.symbol_forms(inst), "trades"))
+
+
+@register("stream_registry", with_ctes() + """
+SELECT DISTINCT 'md:' || exchange_id || ':' || mkt_type || ':' || replace(symbol, '/', '-') || ':' || t AS stream_key
+FROM archive, (SELECT unnest(['tick', 'trades']) AS t)
+""")
+def stream_registry(spark, sf):
+    """NRM-8: registry of distinct stream keys across both message types."""
+    t = nm.with_stream_key(fx.archive_trades(spark, sf), "trades")
+    b = nm.with_stream_key(fx.books(spark, sf), "orderbook")
+    return nm.stream_registry(t.select("stream_key").unionByName(b.select("stream_key")))
+
+
+PATH_SQL = """
+p AS (SELECT trade_id, exchange_id, symbol,
+             'data/raw/' || exchange_id || '/' || mkt_type || '/' || replace(symbol, '/', '-') || '/trades/'
+             || strftime(epoch_ms(timestamp), '%Y/%m/%d') || '/trades_' || strftime(epoch_ms(timestamp), '%Y%m%d_%H')
+             || '.parquet' AS file_path FROM archive)
+"""
+
+
+@register("trade_path_cols", with_ctes(PATH_SQL) + """
+SELECT trade_id, string_split(file_path, '/')[-8] AS exchange, string_split(file_path, '/')[-7] AS mkt_type,
+       string_split(file_path, '/')[-6] AS pair,
+       strptime(substring(string_split(file_path, '/')[-1], 8, 8), '%Y%m%d')::DATE AS trade_date,
+       substring(string_split(file_path, '/')[-1], 17, 2) AS hour
+FROM p
+""")
+def trade_path_cols(spark, sf):
+    """SRC-4: path-derived columns of the raw trade lake (paths built from each trade)."""
+    from tickweave.sources.lake import lake_path, with_trade_path_cols
+    t = fx.archive_trades(spark, sf)
+    t = t.withColumn("file_path", lake_path("trades"))
+    return with_trade_path_cols(t, "file_path").select("trade_id", "exchange", "mkt_type", "pair", "trade_date",
+                                                       "hour")
+
+
+@register("book_path_cols", with_ctes() + """
+, p AS (SELECT nonce, exchange_id, symbol,
+             'data/raw/' || exchange_id || '/' || mkt_type || '/' || replace(symbol, '/', '-') || '/orderbook/'
+             || strftime(epoch_ms(timestamp), '%Y/%m/%d') || '/orderbook_' || strftime(epoch_ms(timestamp), '%Y%m%d_%H')
+             || '.parquet' AS file_path FROM books)
+SELECT nonce, exchange_id, symbol, string_split(file_path, '/')[-8] AS exchange, string_split(file_path, '/')[-7] AS mkt_type,
+       string_split(file_path, '/')[-6] AS pair,
+       strptime(substring(string_split(file_path, '/')[-1], length(string_split(file_path, '/')[-1]) - 18, 8), '%Y%m%d')::DATE AS orderbook_date,
+       substring(string_split(file_path, '/')[-1], length(string_split(file_path, '/')[-1]) - 9, 2) AS hour
+FROM p
+""")
+def book_path_cols(spark, sf):
+    """SRC-5: path-derived columns of the raw book lake (date and hour counted from the end)."""
+    from tickweave.sources.lake import lake_path, with_book_path_cols
+    b = fx.books(spark, sf).withColumn("file_path", lake_path("orderbook"))
+    return with_book_path_cols(b, "file_path").select("nonce", "exchange_id", "symbol", "exchange", "mkt_type",
+                                                      "pair", "orderbook_date", "hour")
+
+
+@register("decode_messages", """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+""")
+def decode_messages(spark, sf):
+    """SRC-9: JSON payload -> typed columns (events.props)."""
+    from tickweave.sources.messages import decode_messages as dec
+    ok, _ = dec(fx.events(spark, sf), "props", "k INT", keep=["event_id"])
+    return ok.select("event_id", "k")
+
+
+@register("silence_events", with_ctes() + """
+, g AS (SELECT exchange_id, symbol,
+               local_timestamp - lag(local_timestamp) OVER (PARTITION BY exchange_id, symbol
+                                                            ORDER BY local_timestamp, trade_id) AS gap_ms
+        FROM local_t)
+SELECT exchange_id, symbol, CASE WHEN gap_ms > 60000 THEN 'dead' ELSE 'reconnect' END AS kind, count(*) AS n
+FROM g WHERE gap_ms > 20000 GROUP BY ALL
+""")
+def silence_events(spark, sf):
+    """STR-5 batch: silences over 20 s (reconnect) and over 60 s (dead feed) per instrument."""
+    from tickweave.streaming.silence import silence_events as se
+    ev = se(fx.local_trades(spark, sf), by=["exchange_id", "symbol"], tie=["trade_id"])
+    return ev.groupBy("exchange_id", "symbol", "kind").agg(F.count(F.lit(1)).alias("n"))
