@@ -928,3 +928,66 @@ def silence_events(spark, sf):
     from tickweave.streaming.silence import silence_events as se
     ev = se(fx.local_trades(spark, sf), by=["exchange_id", "symbol"], tie=["trade_id"])
     return ev.groupBy("exchange_id", "symbol", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ================================================================ STR-1, STR-3/4, STR-6 (end to end)
+
+def _events_stream(spark, sf):
+    """The ``events`` table read as a file stream (one micro-batch under availableNow)."""
+    schema = fx.events(spark, sf).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+def _run_available_now(df_stream: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+    import uuid
+
+    from tickweave.session import scratch_dir
+    spark = df_stream.sparkSession
+    d = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    q_ = (df_stream.writeStream.format(fmt).option("checkpointLocation", d + "/_checkpoint")
+          .outputMode("append").trigger(availableNow=True).start(d + "/out"))
+    q_.awaitTermination()
+    return spark.read.parquet(d + "/out")
+
+
+@register("stream_gaps", with_ctes(GAPS) + "SELECT exchange_id, symbol, start_id, end_id FROM gaps")
+def stream_gaps(spark, sf):
+    """STR-3/4: keyed-state gap detector over the trade stream (equals GAP-1 on in-order input)."""
+    from tickweave.streaming.gaps import stream_gaps as sg
+    t = fx.trades_from_events(_events_stream(spark, sf)).where(~F.col("is_lost")).drop("is_lost")
+    return _run_available_now(sg(t), "stream-gaps").select("exchange_id", "symbol", "start_id", "end_id")
+
+
+@register("stream_sync", with_ctes() + "SELECT * FROM local_t")
+def stream_sync(spark, sf):
+    """STR-1/2 + SNK-4 + SRC-9: trades encoded as keyed JSON messages, streamed into the
+    daily-partitioned table, read back with versions resolved."""
+    import uuid
+
+    from tickweave.session import scratch_dir
+    from tickweave.sources.messages import encode_messages
+    from tickweave.streaming.sync import start_sync
+    d = scratch_dir(spark, f"stream-sync-{uuid.uuid4().hex}")
+    local = fx.local_trades(spark, sf)
+    encode_messages(local, "trades").write.json(d + "/messages")
+    qry = start_sync(spark, d + "/messages", "trades", d + "/table", d + "/_checkpoint",
+                     quarantine_path=d + "/quarantine", trigger={"availableNow": True})
+    qry.awaitTermination()
+    table = spark.read.parquet(d + "/table").drop("date")
+    return q.latest_by_key(table).select(*local.columns)
+
+
+@register("stream_scores", with_ctes(BOOK_FACTORS) + f"""
+SELECT {KEY}, nonce, timestamp, mid_price, round(vamp_bias_bp, 6) AS vamp_bias_bp,
+       factor_ofi_smooth,
+       round(vamp_bias_bp * {fx.W_VAMP!r} + factor_ofi_smooth * {fx.W_OFI!r} + {fx.INTERCEPT!r}, 6) AS combined_alpha
+FROM bf
+""")
+def stream_scores(spark, sf):
+    """STR-6 streaming: every book scored in order with the OFI state kept per instrument."""
+    from tickweave.streaming.scoring import score_stream
+    b = fx.books_from_events(_events_stream(spark, sf))
+    w = {s: (fx.W_VAMP, fx.W_OFI, fx.INTERCEPT) for s in fx.SYMBOLS}
+    out = _run_available_now(score_stream(b, w), "stream-scores")
+    return out.select(*INSTRUMENT, "nonce", "timestamp", "mid_price", r6(F.col("vamp_bias_bp")).alias("vamp_bias_bp"),
+                      "factor_ofi_smooth", r6(F.col("combined_alpha")).alias("combined_alpha"))

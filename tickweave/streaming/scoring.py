@@ -85,13 +85,19 @@ def start_scoring(books_stream: DataFrame, weights: dict[str, tuple[float, float
     ``weights`` maps symbol -> (w_vamp, w_ofi, intercept) (one small record per symbol).
     Within a micro-batch the books of an instrument are scored in (timestamp, nonce) order.
     """
+    scored = score_stream(books_stream, weights, window, threshold)
+    w = scored.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    w = w.trigger(**(trigger or {"processingTime": "10 seconds"}))
+    return w.start(sink_path)
+
+
+def score_stream(books_stream: DataFrame, weights: dict[str, tuple[float, float, float]],
+                 window: int = OFI_WINDOW, threshold: float = 0.05) -> DataFrame:
+    """The scored stream of ``start_scoring`` (books in, one scored row per book out)."""
     x = books_stream.select(*INSTRUMENT, "nonce", "timestamp",
                             fb.best_bid().alias("bp"), fb.level("bid_volumes").alias("bv"),
                             fb.best_ask().alias("ap"), fb.level("ask_volumes").alias("av"),
                             fb.mid_price().alias("mid_price"),
                             fb.vamp_bias_bp(fb.vamp(5), fb.mid_price()).alias("vamp_bias_bp"))
-    scored = x.groupBy(*INSTRUMENT).applyInPandasWithState(
+    return x.groupBy(*INSTRUMENT).applyInPandasWithState(
         _score_group(weights, window, threshold), SCORE_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-    w = scored.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
-    w = w.trigger(**(trigger or {"processingTime": "10 seconds"}))
-    return w.start(sink_path)
