@@ -488,8 +488,10 @@ def _best_lag_sql() -> str:
     parts = []
     for L in LAGS:
         later = "".join(f" AND target_{m}_tick IS NOT NULL" for m in LAGS if m > L)
-        parts.append(f"SELECT {KEY}, {L} AS lag, abs({_corr_sql('vamp_bias_bp', f'target_{L}_tick')}) AS ic "
-                     f"FROM base WHERE i + {L} < split AND target_{L}_tick IS NOT NULL{later} GROUP BY ALL")
+        c = f" FILTER (WHERE i + {L} < split AND target_{L}_tick IS NOT NULL{later})"
+        x, y = "vamp_bias_bp", f"target_{L}_tick"
+        corr = f"covar_pop({x}, {y}){c} / nullif(sqrt(var_pop({x}){c} * var_pop({y}){c}), 0)"
+        parts.append(f"SELECT {KEY}, {L} AS lag, abs({corr}) AS ic FROM base GROUP BY ALL")
     return ("lagic AS (" + " UNION ALL ".join(parts) + "),\n"
             f"bl AS (SELECT *, ic IS NOT NULL AND row_number() OVER (PARTITION BY {KEY} "
             "ORDER BY ic IS NULL, ic DESC, lag) = 1 AS is_best FROM lagic)")
