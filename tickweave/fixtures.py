@@ -90,14 +90,16 @@ def books_from_events(ev: DataFrame) -> DataFrame:
         _grid_price().alias("px"),
         F.expr(f"{EPOCH_MS} - user_id % 200").alias("timestamp"),
     )
+    # 25 levels, written out level by level (same values as the transform(sequence) form,
+    # but a plain array constructor stays inside whole-stage codegen)
+    lv = range(25)
+    ev_id, uid, px = F.col("event_id"), F.col("user_id"), F.col("px")
     return b.select(
         "nonce", "symbol", "exchange_id", F.lit("spot").alias("mkt_type"),
-        F.expr("transform(sequence(0, 24), i -> px - (i + 1) * 0.25D)").alias("bid_prices"),
-        F.expr("transform(sequence(0, 24), i -> CAST(1 + (event_id * 7 + i * 3 + user_id) % 13 AS DOUBLE))")
-        .alias("bid_volumes"),
-        F.expr("transform(sequence(0, 24), i -> px + (i + 1) * 0.25D)").alias("ask_prices"),
-        F.expr("transform(sequence(0, 24), i -> CAST(1 + (event_id * 5 + i * 2 + user_id) % 11 AS DOUBLE))")
-        .alias("ask_volumes"),
+        F.array(*[px - F.lit((i + 1) * 0.25) for i in lv]).alias("bid_prices"),
+        F.array(*[(F.lit(1) + (ev_id * 7 + F.lit(i * 3) + uid) % 13).cast("double") for i in lv]).alias("bid_volumes"),
+        F.array(*[px + F.lit((i + 1) * 0.25) for i in lv]).alias("ask_prices"),
+        F.array(*[(F.lit(1) + (ev_id * 5 + F.lit(i * 2) + uid) % 11).cast("double") for i in lv]).alias("ask_volumes"),
         "timestamp",
         F.expr("timestamp + user_id % 250").alias("local_timestamp"),
     )

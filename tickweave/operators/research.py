@@ -104,7 +104,8 @@ def best_lag(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, split: float = 0
     """
     by = list(by)
     lags = sorted(lags)
-    x_ = series.dense_index(df, by, order, idx_col="_i", count_col="_cnt")
+    x_ = df if {"_i", "_cnt"} <= set(df.columns) else series.dense_index(df, by, order, idx_col="_i",
+                                                                          count_col="_cnt")
     split_n = F.floor(F.col("_cnt") * F.lit(float(split)))
     base = _nn(*base_cols)
     aggs = []
@@ -206,9 +207,13 @@ def evaluate(df: DataFrame, target: str | None = None, best: DataFrame | None =
     else:
         d = df.withColumn("_y", F.col(target)).withColumn("best_lag", F.lit(int(target.split("_")[1])))
     ok = _nn(x1, x2, "_y")
-    usable = d.where(ok)
-    idx = series.dense_index(usable, by, order, idx_col="_i", count_col="_cnt")
-    train = F.col("_i") < F.floor(F.col("_cnt") * F.lit(float(split)))
+    # position among the usable rows: from the factor pass's row index when present (no
+    # second ordering of the books), else a fresh dense index
+    if "_i" in d.columns:
+        idx = series.subset_index(d, by, "_i", ok, out_idx="_j", out_count="_m")
+    else:
+        idx = series.dense_index(d.where(ok), by, list(order), idx_col="_j", count_col="_m")
+    train = F.col("_j") < F.floor(F.col("_m") * F.lit(float(split)))
     all_labels = _nn(x1, x2, *[f"target_{L}_tick" for L in lags])
     aggs = (_moments(train, "_y", xs, "tr") + _moments(~train, "_y", xs, "va")
             + _moments(F.lit(True), "_y", xs, "all") + _moments(all_labels, "_y", xs, "fin")

@@ -101,16 +101,23 @@ def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence, idx_col: st
 def blocked_window(df: DataFrame, keys: Sequence[str], order: Sequence,
                    build: Callable[[DataFrame, WindowSpec], DataFrame],
                    lookback: int = 0, lookahead: int = 0, block_rows: int | None = None,
-                   layout_: str | None = None, n_ranges: int | None = None) -> DataFrame:
+                   layout_: str | None = None, n_ranges: int | None = None,
+                   keep_index: tuple[str, str] | None = None) -> DataFrame:
     """Apply ``build(df, w)`` where ``w`` is an ordered per-key window.
 
     ``build`` may use frames reaching at most ``lookback`` rows back and ``lookahead``
     rows ahead (chained lags count: a 20-row mean of a lag-1 step reaches 20 back).
-    It must only add columns.
+    It must only add columns. ``keep_index=(idx, count)`` also returns each row's 0-based
+    position in its key and the key's row count, for later positional steps.
     """
     keys = list(keys)
     if layout(df, layout_) == "key":
-        return build(df, Window.partitionBy(*keys).orderBy(*_cols(list(order))))
+        w = Window.partitionBy(*keys).orderBy(*_cols(list(order)))
+        y = build(df, w)
+        if keep_index:
+            y = (y.withColumn(keep_index[0], (F.row_number().over(w) - F.lit(1)).cast("long"))
+                 .withColumn(keep_index[1], F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("long")))
+        return y
     b = _block_rows(df, block_rows, max(lookback, lookahead))
     x = dense_index(df, keys, order, idx_col="_idx", count_col="_n", n_ranges=n_ranges)
     blk = F.expr(f"_idx DIV {int(b)}")
@@ -132,4 +139,39 @@ def blocked_window(df: DataFrame, keys: Sequence[str], order: Sequence,
     y = build(x, w)
     helpers = {"_idx", "_n", "_blk", "_halo"}
     added = [c for c in y.columns if c not in helpers and c not in df.columns]
-    return y.where(F.col("_halo") == 0).select(*df.columns, *added)
+    kept = [F.col("_idx").alias(keep_index[0]), F.col("_n").alias(keep_index[1])] if keep_index else []
+    return y.where(F.col("_halo") == 0).select(*df.columns, *added, *kept)
+
+
+def subset_index(df: DataFrame, keys: Sequence[str], idx_col: str, cond, out_idx: str = "_j",
+                 out_count: str = "_m", block_rows: int | None = None) -> DataFrame:
+    """Position among the rows satisfying ``cond``, from an existing dense index ``idx_col``.
+
+    Rows are grouped in blocks of ``B`` consecutive indices; a small (key, block) table of
+    qualifying counts gives each block's offset by a prefix sum, and a window bounded by the
+    block ranks rows inside it. No new range sort of the data. Rows failing ``cond`` are
+    dropped.
+    """
+    keys = list(keys)
+    b = _block_rows(df, block_rows, 1)
+    x = df.where(cond).withColumn("_sb", F.expr(f"{idx_col} DIV {int(b)}"))
+    counts = x.groupBy(*keys, "_sb").agg(F.count(F.lit(1)).alias("_sn"))
+    w_before = Window.partitionBy(*keys).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (counts.withColumn("_soff", F.coalesce(F.sum("_sn").over(w_before), F.lit(0)).cast("long"))
+              .withColumn(out_count, F.sum("_sn").over(Window.partitionBy(*keys)).cast("long"))
+              .drop("_sn"))
+    w = Window.partitionBy(*keys, "_sb").orderBy(idx_col)
+    y = x.join(counts, [*keys, "_sb"], "inner")
+    y = y.withColumn(out_idx, F.col("_soff") + F.row_number().over(w) - F.lit(1))
+    return y.select(*df.columns, out_idx, out_count)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the reliable checkpoint folder and read it from there.
+
+    For frames with several consumers (e.g. factors feeding both the horizon search and
+    the evaluation): computed once, lineage cut, and a lost executor costs a re-read of
+    the written files instead of a recomputation.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

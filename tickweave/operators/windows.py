@@ -102,8 +102,12 @@ def with_targets(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, by: Sequence
 
 def with_book_factors(df: DataFrame, depth: int = 5, window: int = 20, lags: Sequence[int] = (),
                       by: Sequence[str] = INSTRUMENT, order: Sequence = BOOK_ORDER,
-                      layout: str | None = None, block_rows: int | None = None) -> DataFrame:
-    """FEA-5..7 + WIN-3/4 (+ WIN-5 when ``lags``) in one ordered pass over the books."""
+                      layout: str | None = None, block_rows: int | None = None,
+                      keep_index: tuple[str, str] | None = None) -> DataFrame:
+    """FEA-5..7 + WIN-3/4 (+ WIN-5 when ``lags``) in one ordered pass over the books.
+
+    ``keep_index=("_i", "_cnt")`` keeps the row position and row count per instrument, which
+    ``best_lag`` and ``evaluate`` then use instead of ordering the books again."""
     x = (df.withColumn("mid_price", fb.mid_price())
          .withColumn("vamp", fb.vamp(depth))
          .withColumn("vamp_bias_bp", fb.vamp_bias_bp()))
@@ -115,7 +119,8 @@ def with_book_factors(df: DataFrame, depth: int = 5, window: int = 20, lags: Seq
         return y.drop("_ofi_step")
 
     return series.blocked_window(x, by, order, build, lookback=window,
-                                 lookahead=max(lags) if lags else 0, layout_=layout, block_rows=block_rows)
+                                 lookahead=max(lags) if lags else 0, layout_=layout, block_rows=block_rows,
+                                 keep_index=keep_index)
 
 
 # ---------------------------------------------------------------- WIN-6 (previous id)

@@ -327,6 +327,8 @@ def asof_join(spark, sf):
 
 
 def _tca_parts(spark, sf, fresh=True):
+    if fresh:
+        return pl.tca(fx.archive_trades(spark, sf), fx.quotes(spark, sf))
     t = fx.archive_trades(spark, sf).select("exchange_id", "symbol", "timestamp", "trade_id",
                                              F.col("price").alias("trade_price"), "amount")
     b = fx.quotes(spark, sf).select("exchange_id", "symbol", "timestamp", "nonce",
@@ -334,9 +336,7 @@ def _tca_parts(spark, sf, fresh=True):
                                     fb.best_bid().alias("best_bid"), fb.best_ask().alias("best_ask"))
     j = jn.asof_join(t, b, right_cols=["prev_micro_price", "imbalance", "best_bid", "best_ask"], prefix="",
                      left_tie=["trade_id"])
-    if not fresh:
-        return j, None
-    return pl.tca(fx.archive_trades(spark, sf), fx.quotes(spark, sf))
+    return j, None
 
 
 TCA_SQL = ASOF_SQL + """,
@@ -497,8 +497,11 @@ def _best_lag_sql() -> str:
             "ORDER BY ic IS NULL, ic DESC, lag) = 1 AS is_best FROM lagic)")
 
 
-def _factor_frame(spark, sf):
-    return _factors(spark, sf, lags=LAGS)
+def _factor_frame(spark, sf, keep_index=False):
+    if not keep_index:
+        return _factors(spark, sf, lags=LAGS)
+    f = win.with_book_factors(fx.books(spark, sf), lags=LAGS, keep_index=("_i", "_cnt"))
+    return f.drop("bid_prices", "bid_volumes", "ask_prices", "ask_volumes", "local_timestamp")
 
 
 @register("ic", with_ctes(BOOK_FACTORS) + f"""
@@ -516,7 +519,7 @@ SELECT {KEY}, lag, round(ic, 6) AS ic, is_best FROM bl
 """)
 def best_lag(spark, sf):
     """AGG-6: |IC| per horizon on the first 70 % with in-slice labels, and the best horizon."""
-    r = rs.best_lag(_factor_frame(spark, sf))
+    r = rs.best_lag(_factor_frame(spark, sf, keep_index=True))
     return r.select(*INSTRUMENT, "lag", r6(F.col("ic")).alias("ic"), "is_best")
 
 
@@ -585,7 +588,8 @@ FROM k
 @register("evaluate", _evaluate_sql())
 def evaluate(spark, sf):
     """AGG-8: honest 70/30 evaluation at the best horizon, gate, refit and final IC."""
-    f = _factor_frame(spark, sf)
+    from tickweave.operators.series import materialize
+    f = materialize(_factor_frame(spark, sf, keep_index=True))
     r = rs.evaluate(f, best=rs.best_lag(f))
     rounded = ["train_ic", "valid_ic", "decay", "w_vamp", "w_ofi", "intercept", "final_ic"]
     return r.select(*[r6(F.col(c)).alias(c) if c in rounded else F.col(c) for c in r.columns])

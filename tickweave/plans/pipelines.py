@@ -122,7 +122,8 @@ def train_alpha(books: DataFrame, old_weights: DataFrame | None = None, lags=win
     ``on_gate_fail='reference'`` blends the zero weights of a failed gate like the
     reference does; ``'keep'`` keeps the old record for those instruments.
     """
-    f = win.with_book_factors(books, lags=lags, layout=layout)
+    from tickweave.operators.series import materialize
+    f = materialize(win.with_book_factors(books, lags=lags, layout=layout, keep_index=("_i", "_cnt")))
     best = rs.best_lag(f, lags, split)
     ev = rs.evaluate(f, best=best, lags=lags, split=split)
     new = ev.select("symbol", "w_vamp", "w_ofi", "intercept", "best_lag", "passed")
