@@ -19,34 +19,30 @@ from tickweave.plans import catalog  # noqa: E402
 from tickweave.session import get_spark  # noqa: E402
 
 HEADLINE = [
-    "trade_features",      # PIP-2 trades: AGG-1 + WIN-1/2 per instrument and day (flagship)
-    "book_features",       # PIP-2 books
-    "gaps",                # GAP-1
-    "asof_join",           # JON-4
-    "impact_by_category",  # PIP-7 (JON-4 -> FLT-6 -> FEA-11/12 -> AGG-4)
-    "book_factors",        # FEA-6 + WIN-3/4
-    "ma_price",            # WIN-2, blocked layout
-    "ma_price_key",        # WIN-2, plain per-instrument window (for comparison)
-    "evaluate",            # AGG-6 + AGG-8
-    "audit",               # JON-2
-    "gap_fill",            # JON-6
-    "stream_gaps",         # STR-3
+    "trade_features",        # PIP-2 trades: AGG-1 + WIN-1/2 per instrument and day (flagship)
+    "book_features",         # PIP-2 books
+    "gaps",                  # GAP-1
+    "asof_join",             # JON-4
+    "impact_by_category",    # PIP-7 (JON-4 -> FLT-6 -> FEA-11/12 -> AGG-4)
+    "book_factors",          # FEA-6 + WIN-3/4
+    "ma_price",              # WIN-2 (size-checked layout: plain window at this size)
+    "evaluate",              # AGG-6 + AGG-8
+    "audit",                 # JON-2
+    "gap_fill",              # JON-6
+    "stream_gaps",           # STR-3
+    # the scale-out layout on the same inputs (range-partitioned index, halo blocks)
+    "ma_price_blocked",
+    "book_factors_blocked",
+    "asof_join_blocked",
 ]
 
 
-def _ma_price_key(spark, sf):
-    from tickweave import fixtures as fx
-    from tickweave.operators import windows as win
-    return win.with_ma_price(fx.local_trades(spark, sf), layout="key").select(
-        "exchange_id", "symbol", "trade_id", "ma_price_100")
-
-
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus, app="tickweave-bench")
-    fns = dict(catalog.QUERIES, ma_price_key=_ma_price_key)
+    fns = catalog.QUERIES
     rows_in = spark.read.parquet(f"{sf}/events.parquet").count()
     out = {}
     for name in names:

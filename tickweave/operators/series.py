@@ -16,7 +16,9 @@ instrument holding a third of all rows that task is the job. Instead:
    holds at most ``B + lookback + lookahead`` rows per group.
 
 ``layout='key'`` runs the plain ``partitionBy(key)`` window instead (same results); it is
-cheaper for small or evenly spread data and is what the tests compare against.
+cheaper for small data and is what the tests compare against. The default ``'auto'``
+uses it only when the optimizer's size estimate of the whole input is under
+``tickweave.window.keyLayoutMaxBytes`` (256 MB), i.e. when one task can hold any key.
 """
 
 from __future__ import annotations
@@ -28,19 +30,36 @@ from pyspark.sql import functions as F
 
 from tickweave.session import ensure_checkpoint_dir
 
-LAYOUT_CONF = "tickweave.window.layout"          # 'blocked' (default) or 'key'
+LAYOUT_CONF = "tickweave.window.layout"          # 'auto' (default), 'blocked' or 'key'
 BLOCK_ROWS_CONF = "tickweave.window.blockRows"   # rows per block, default 65536
 RANGES_CONF = "tickweave.window.ranges"          # number of ranges; default shuffle partitions
+KEY_MAX_BYTES_CONF = "tickweave.window.keyLayoutMaxBytes"
 DEFAULT_BLOCK_ROWS = 65536
+DEFAULT_KEY_MAX_BYTES = 256 * 1024 * 1024
 
 def _cols(xs: Sequence) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (from file sizes and column widths; no job runs)."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:  # noqa: BLE001 - estimate unavailable: treat as large
+        return None
+
+
 def layout(df: DataFrame, requested: str | None = None) -> str:
-    if requested:
-        return requested
-    return df.sparkSession.conf.get(LAYOUT_CONF, "blocked")
+    """'key' or 'blocked'. 'auto' picks 'key' only when the whole input is estimated below
+    ``keyLayoutMaxBytes`` -- then even a key holding every row fits one task -- and the
+    blocked layout otherwise (the same kind of size check as a broadcast threshold)."""
+    mode = requested or df.sparkSession.conf.get(LAYOUT_CONF, "auto")
+    if mode != "auto":
+        return mode
+    limit = int(df.sparkSession.conf.get(KEY_MAX_BYTES_CONF, str(DEFAULT_KEY_MAX_BYTES)))
+    est = estimated_bytes(df)
+    return "key" if est is not None and est <= limit else "blocked"
 
 
 def _n_ranges(df: DataFrame, n: int | None) -> int:
@@ -102,13 +121,18 @@ def blocked_window(df: DataFrame, keys: Sequence[str], order: Sequence,
                    build: Callable[[DataFrame, WindowSpec], DataFrame],
                    lookback: int = 0, lookahead: int = 0, block_rows: int | None = None,
                    layout_: str | None = None, n_ranges: int | None = None,
-                   keep_index: tuple[str, str] | None = None) -> DataFrame:
+                   keep_index: tuple[str, str] | None = None, inputs: Sequence[str] | None = None) -> DataFrame:
     """Apply ``build(df, w)`` where ``w`` is an ordered per-key window.
 
     ``build`` may use frames reaching at most ``lookback`` rows back and ``lookahead``
     rows ahead (chained lags count: a 20-row mean of a lag-1 step reaches 20 back).
     It must only add columns. ``keep_index=(idx, count)`` also returns each row's 0-based
     position in its key and the key's row count, for later positional steps.
+
+    ``inputs`` names the columns ``build`` reads: the blocked layout then moves only
+    (key, order, inputs) through its shuffles and joins the new columns back on
+    (key, order), which must identify a row; wide rows are shuffled once instead of
+    twice plus a checkpoint.
     """
     keys = list(keys)
     if layout(df, layout_) == "key":
@@ -119,6 +143,14 @@ def blocked_window(df: DataFrame, keys: Sequence[str], order: Sequence,
                  .withColumn(keep_index[1], F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("long")))
         return y
     b = _block_rows(df, block_rows, max(lookback, lookahead))
+    order_names = [o for o in order if isinstance(o, str)]
+    if inputs is not None and len(order_names) == len(order):
+        needed = list(dict.fromkeys([*keys, *order_names, *inputs]))
+        if set(df.columns) - set(needed):
+            narrow = df.select(*needed)
+            y = blocked_window(narrow, keys, order, build, lookback, lookahead, b, "blocked", n_ranges, keep_index)
+            new_cols = [c for c in y.columns if c not in needed]
+            return df.join(y.select(*keys, *order_names, *new_cols), on=[*keys, *order_names], how="inner")
     x = dense_index(df, keys, order, idx_col="_idx", count_col="_n", n_ranges=n_ranges)
     blk = F.expr(f"_idx DIV {int(b)}")
     off = F.col("_idx") % F.lit(b)

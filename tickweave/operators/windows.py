@@ -42,14 +42,41 @@ def with_ma_price(df: DataFrame, n: int = 100, by: Sequence[str] = INSTRUMENT,
     def build(x: DataFrame, w: WindowSpec) -> DataFrame:
         return x.withColumn(out, F.avg(price).over(w.rowsBetween(-n, 0)))
 
-    return series.blocked_window(df, by, order, build, lookback=n, layout_=layout, block_rows=block_rows)
+    return series.blocked_window(df, by, order, build, lookback=n, layout_=layout, block_rows=block_rows,
+                                 inputs=[price])
 
 
 # ---------------------------------------------------------------- WIN-3 / WIN-4 (books)
 
+BEST_LEVELS = {"_pb": ("bid_prices", 0), "_vb": ("bid_volumes", 0), "_pa": ("ask_prices", 0), "_va": ("ask_volumes", 0)}
+
+
+def _narrow_books(df: DataFrame, by: Sequence[str], order: Sequence, build, lookback: int, lookahead: int,
+                  layout: str | None, block_rows: int | None, extra: Sequence[str] = (),
+                  keep_index: tuple[str, str] | None = None) -> DataFrame:
+    """Run a book window on the best levels only, then join the results back.
+
+    The blocked layout moves its input through a range shuffle, a checkpoint and a window
+    shuffle; book rows carry four depth arrays, while OFI and labels need four scalars and
+    the mid price. So the window runs on (key, order, best levels, ``extra``) and its new
+    columns are joined back on (key, order), which must be unique (true after AGG-1).
+    With ``layout='key'`` the plain window runs on the rows directly.
+    """
+    by, order = list(by), list(order)
+    if series.layout(df, layout) == "key":
+        x = df.select("*", *[fb.level(a, i).alias(n) for n, (a, i) in BEST_LEVELS.items()])
+        y = series.blocked_window(x, by, order, build, lookback=lookback, lookahead=lookahead, layout_="key",
+                                  keep_index=keep_index)
+        return y.drop(*BEST_LEVELS)
+    narrow = df.select(*by, *order, *extra, *[fb.level(a, i).alias(n) for n, (a, i) in BEST_LEVELS.items()])
+    y = series.blocked_window(narrow, by, order, build, lookback=lookback, lookahead=lookahead,
+                              block_rows=block_rows, keep_index=keep_index, layout_="blocked")
+    new_cols = [c for c in y.columns if c not in narrow.columns]
+    return df.join(y.select(*by, *order, *new_cols), on=by + order, how="inner")
+
+
 def _ofi_step_expr(w: WindowSpec):
-    pb, vb = fb.level("bid_prices"), fb.level("bid_volumes")
-    pa, va = fb.level("ask_prices"), fb.level("ask_volumes")
+    pb, vb, pa, va = F.col("_pb"), F.col("_vb"), F.col("_pa"), F.col("_va")
     pb0, vb0 = F.lag(pb, 1).over(w), F.lag(vb, 1).over(w)
     pa0, va0 = F.lag(pa, 1).over(w), F.lag(va, 1).over(w)
     db = F.when(pb > pb0, vb).when(pb == pb0, vb - vb0).otherwise(-vb0)
@@ -68,8 +95,7 @@ def _add_ofi(x: DataFrame, w: WindowSpec, window: int, step: str, out: str | Non
 def with_ofi_step(df: DataFrame, by: Sequence[str] = INSTRUMENT, order: Sequence = BOOK_ORDER,
                   out: str = "ofi_step", layout: str | None = None, block_rows: int | None = None) -> DataFrame:
     """WIN-3: order-flow imbalance step e = db - da from the best levels; first row NULL."""
-    return series.blocked_window(df, by, order, lambda x, w: _add_ofi(x, w, 1, out, None),
-                                 lookback=1, layout_=layout, block_rows=block_rows)
+    return _narrow_books(df, by, order, lambda x, w: _add_ofi(x, w, 1, out, None), 1, 0, layout, block_rows)
 
 
 def with_ofi(df: DataFrame, window: int = 20, by: Sequence[str] = INSTRUMENT, order: Sequence = BOOK_ORDER,
@@ -77,8 +103,7 @@ def with_ofi(df: DataFrame, window: int = 20, by: Sequence[str] = INSTRUMENT, or
              block_rows: int | None = None) -> DataFrame:
     """WIN-4: rolling mean of ``window`` OFI steps, NULL until ``window`` non-null steps exist."""
     step = "ofi_step" if keep_step else "_ofi_step"
-    y = series.blocked_window(df, by, order, lambda x, w: _add_ofi(x, w, window, step, out),
-                              lookback=window, layout_=layout, block_rows=block_rows)
+    y = _narrow_books(df, by, order, lambda x, w: _add_ofi(x, w, window, step, out), window, 0, layout, block_rows)
     return y if keep_step else y.drop(step)
 
 
@@ -97,7 +122,7 @@ def with_targets(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, by: Sequence
         return x.select("*", *[target_expr(w, lag, mid).alias(f"target_{lag}_tick") for lag in lags])
 
     return series.blocked_window(df, by, order, build, lookahead=max(lags), layout_=layout,
-                                 block_rows=block_rows)
+                                 block_rows=block_rows, inputs=[mid])
 
 
 def with_book_factors(df: DataFrame, depth: int = 5, window: int = 20, lags: Sequence[int] = (),
@@ -118,9 +143,8 @@ def with_book_factors(df: DataFrame, depth: int = 5, window: int = 20, lags: Seq
             y = y.select("*", *[target_expr(w, lag).alias(f"target_{lag}_tick") for lag in lags])
         return y.drop("_ofi_step")
 
-    return series.blocked_window(x, by, order, build, lookback=window,
-                                 lookahead=max(lags) if lags else 0, layout_=layout, block_rows=block_rows,
-                                 keep_index=keep_index)
+    return _narrow_books(x, by, order, build, window, max(lags) if lags else 0, layout, block_rows,
+                         extra=["mid_price"], keep_index=keep_index)
 
 
 # ---------------------------------------------------------------- WIN-6 (previous id)

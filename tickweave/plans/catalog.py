@@ -997,3 +997,80 @@ def stream_scores(spark, sf):
     out = _run_available_now(score_stream(b, w), "stream-scores")
     return out.select(*INSTRUMENT, "nonce", "timestamp", "mid_price", r6(F.col("vamp_bias_bp")).alias("vamp_bias_bp"),
                       "factor_ofi_smooth", r6(F.col("combined_alpha")).alias("combined_alpha"))
+
+
+# ================================================================ blocked layout, checked explicitly
+# The default layout is size-checked ('auto'): at these test sizes it runs the plain
+# per-instrument window. These variants force the scale-out layout (range-partitioned dense
+# index, 500-row blocks with halo rows) on the same inputs, against the same oracles.
+
+BLOCK = 500
+
+
+@register("ma_price_blocked", ORACLE["ma_price"])
+def ma_price_blocked(spark, sf):
+    """WIN-2 on the blocked layout."""
+    t = win.with_ma_price(fx.local_trades(spark, sf), layout="blocked", block_rows=BLOCK)
+    return t.select("exchange_id", "symbol", "trade_id", "ma_price_100")
+
+
+@register("trade_seq_blocked", ORACLE["trade_seq"])
+def trade_seq_blocked(spark, sf):
+    """WIN-1 from the range-partitioned dense index."""
+    t = win.with_trade_seq(fx.local_trades(spark, sf), layout="blocked")
+    return t.select("exchange_id", "symbol", "trade_id", "sub_ms_seq")
+
+
+@register("book_factors_blocked", ORACLE["book_factors"])
+def book_factors_blocked(spark, sf):
+    """FEA-5..7 + WIN-3/4 on the blocked layout (narrow window input, joined back)."""
+    b = fx.books(spark, sf).withColumn("mid_price", fb.mid_price()).withColumn("vamp", fb.vamp(5)) \
+        .withColumn("vamp_bias_bp", fb.vamp_bias_bp())
+    f = win.with_ofi(b, 20, keep_step=True, layout="blocked", block_rows=BLOCK)
+    return f.select("exchange_id", "mkt_type", "symbol", "nonce", "timestamp", "mid_price", "vamp",
+                    "vamp_bias_bp", "ofi_step", "factor_ofi_smooth")
+
+
+@register("targets_blocked", ORACLE["targets"])
+def targets_blocked(spark, sf):
+    """WIN-5 on the blocked layout (forward halo)."""
+    b = fx.books(spark, sf).withColumn("mid_price", fb.mid_price())
+    t = win.with_targets(b, layout="blocked", block_rows=BLOCK)
+    return t.select("exchange_id", "symbol", "nonce", *[f"target_{x}_tick" for x in win.DEFAULT_LAGS])
+
+
+@register("gaps_blocked", ORACLE["gaps"])
+def gaps_blocked(spark, sf):
+    """GAP-1 on the blocked layout."""
+    return gp.detect_gaps(fx.local_trades(spark, sf), layout="blocked", block_rows=BLOCK)
+
+
+@register("asof_join_blocked", ORACLE["asof_join"])
+def asof_join_blocked(spark, sf):
+    """JON-4 on ranges with the carried quote of earlier ranges."""
+    t = fx.archive_trades(spark, sf).select("exchange_id", "symbol", "timestamp", "trade_id",
+                                             F.col("price").alias("trade_price"), "amount")
+    b = fx.quotes(spark, sf).select("exchange_id", "symbol", "timestamp", "nonce",
+                                    fb.micro_price().alias("prev_micro_price"), fb.imbalance().alias("imbalance"),
+                                    fb.best_bid().alias("best_bid"), fb.best_ask().alias("best_ask"))
+    return jn.asof_join(t, b, right_cols=["prev_micro_price", "imbalance", "best_bid", "best_ask"], prefix="",
+                        left_tie=["trade_id"], layout="blocked")
+
+
+@register("positional_split_blocked", ORACLE["positional_split"])
+def positional_split_blocked(spark, sf):
+    """RNK-5 from the range-partitioned dense index."""
+    return win.positional_split(fx.books(spark, sf), INSTRUMENT, ["timestamp", "nonce"], layout="blocked").select(
+        *INSTRUMENT, "nonce", "is_train")
+
+
+@register("evaluate_blocked", ORACLE["evaluate"])
+def evaluate_blocked(spark, sf):
+    """AGG-6/8 with factors on the blocked layout and the subset index for the split."""
+    from tickweave.operators.series import materialize
+    f = win.with_book_factors(fx.books(spark, sf), lags=LAGS, keep_index=("_i", "_cnt"), layout="blocked",
+                              block_rows=BLOCK)
+    f = materialize(f.drop("bid_prices", "bid_volumes", "ask_prices", "ask_volumes", "local_timestamp"))
+    r = rs.evaluate(f, best=rs.best_lag(f))
+    rounded = ["train_ic", "valid_ic", "decay", "w_vamp", "w_ofi", "intercept", "final_ic"]
+    return r.select(*[r6(F.col(c)).alias(c) if c in rounded else F.col(c) for c in r.columns])
