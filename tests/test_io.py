@@ -77,3 +77,37 @@ def test_messages_roundtrip_and_quarantine(spark):
                                 required=["trade_id", "symbol"])
     assert good.count() == t.count() and bad.count() == 2
     assert rows(good.drop("stream_key")) == rows(t)
+
+
+def test_raw_book_lake(spark, tmp_path):
+    b = fx.books(spark, SF_SMALL).where("exchange_id = 'okx' AND symbol = 'ETH/USDT'")
+    root = tmp_path / "raw"
+    pdf = b.withColumn("file_path", lake.lake_path("orderbook", str(root))).toPandas()
+    import os
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    for path, g in list(pdf.groupby("file_path"))[:4]:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        g = g.assign(bid_price=g["bid_prices"].str[0], bid_volume=g["bid_volumes"].str[0],
+                     ask_price=g["ask_prices"].str[0], ask_volume=g["ask_volumes"].str[0])
+        cols = ["nonce", "symbol", "exchange_id", "bid_volume", "bid_price", "ask_volume", "ask_price",
+                "bid_prices", "bid_volumes", "ask_prices", "ask_volumes", "timestamp"]
+        pq.write_table(pa.Table.from_pandas(g[cols], preserve_index=False), path)
+    df = lake.read_raw_books(spark, str(root))
+    r = df.select("exchange", "mkt_type", "pair", "orderbook_date", "hour", "spread").collect()
+    assert {x.pair for x in r} == {"ETH-USDT"} and all(x.spread == 0.5 for x in r)
+    assert all(x.hour is not None and x.orderbook_date is not None for x in r)
+
+
+def test_instrument_matrix_and_metrics(spark):
+    from tickweave.operators.joins import instrument_matrix
+    from tickweave.operators.quality import batch_metrics
+    from pyspark.sql import Observation
+    m = instrument_matrix(spark, fx.EXCHANGES, ["spot"], fx.SYMBOLS)
+    assert m.count() == 2 * 1 * 4 * 2 and m.distinct().count() == 16
+    obs = Observation("batch")
+    t = fx.local_trades(spark, SF_SMALL)
+    t.observe(obs, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == t.count()
+    named = batch_metrics(t, "b1")
+    named.write.format("noop").mode("overwrite").save()

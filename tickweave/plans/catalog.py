@@ -574,18 +574,27 @@ s AS (SELECT *, j < floor(mm * 0.7::DOUBLE) AS tr, x1 IS NOT NULL AND x2 IS NOT
 g AS (SELECT {KEY}, first(best_lag) AS best_lag, {_moments_sql('tr', 'tr')}, {_moments_sql('va', 'NOT tr')},
              {_moments_sql('all', 'true')}, {_moments_sql('fin', 'fin')} FROM s GROUP BY ALL),
 h AS (SELECT *, {_pred_ic_sql(tr[0], tr[1], 'tr')} AS train_ic, {_pred_ic_sql(tr[0], tr[1], 'va')} AS valid_ic FROM g),
-k AS (SELECT *, coalesce(valid_ic > 0.02, false) AS passed FROM h)
-SELECT {KEY}, best_lag, n_tr AS n_train, n_va AS n_valid, round(train_ic, 6) AS train_ic, round(valid_ic, 6) AS valid_ic,
-       round((train_ic - valid_ic) / nullif(train_ic, 0), 6) AS decay, passed,
-       round(CASE WHEN passed THEN {al[0]} ELSE 0 END, 6) AS w_vamp,
-       round(CASE WHEN passed THEN {al[1]} ELSE 0 END, 6) AS w_ofi,
-       round(CASE WHEN passed THEN {al[2]} ELSE 0 END, 6) AS intercept,
-       round(CASE WHEN passed THEN {_pred_ic_sql(al[0], al[1], 'fin')} END, 6) AS final_ic
-FROM k
+k AS (SELECT *, coalesce(valid_ic > 0.02, false) AS passed FROM h),
+ev AS (SELECT {KEY}, best_lag, n_tr AS n_train, n_va AS n_valid, train_ic, valid_ic,
+              (train_ic - valid_ic) / nullif(train_ic, 0) AS decay, passed,
+              CASE WHEN passed THEN {al[0]} ELSE 0 END AS w_vamp,
+              CASE WHEN passed THEN {al[1]} ELSE 0 END AS w_ofi,
+              CASE WHEN passed THEN {al[2]} ELSE 0 END AS intercept,
+              CASE WHEN passed THEN {_pred_ic_sql(al[0], al[1], 'fin')} END AS final_ic
+       FROM k)
 """
 
 
-@register("evaluate", _evaluate_sql())
+def _evaluate_final_sql() -> str:
+    return _evaluate_sql() + f"""
+SELECT {KEY}, best_lag, n_train, n_valid, round(train_ic, 6) AS train_ic, round(valid_ic, 6) AS valid_ic,
+       round(decay, 6) AS decay, passed, round(w_vamp, 6) AS w_vamp, round(w_ofi, 6) AS w_ofi,
+       round(intercept, 6) AS intercept, round(final_ic, 6) AS final_ic
+FROM ev
+"""
+
+
+@register("evaluate", _evaluate_final_sql())
 def evaluate(spark, sf):
     """AGG-8: honest 70/30 evaluation at the best horizon, gate, refit and final IC."""
     from tickweave.operators.series import materialize
@@ -1074,3 +1083,43 @@ def evaluate_blocked(spark, sf):
     r = rs.evaluate(f, best=rs.best_lag(f))
     rounded = ["train_ic", "valid_ic", "decay", "w_vamp", "w_ofi", "intercept", "final_ic"]
     return r.select(*[r6(F.col(c)).alias(c) if c in rounded else F.col(c) for c in r.columns])
+
+
+
+# ================================================================ SET-1, PIP-1, PIP-6
+
+@register("concat_history", with_ctes() + f"""
+SELECT {KEY}, nonce, timestamp FROM books WHERE timestamp < epoch_ms(TIMESTAMP '{DAY}')
+UNION ALL
+SELECT {KEY}, nonce, timestamp FROM books WHERE timestamp >= epoch_ms(TIMESTAMP '{DAY}')
+""")
+def concat_history(spark, sf):
+    """SET-1: history (before the day) and today's books as one frame."""
+    b = fx.books(spark, sf).select(*INSTRUMENT, "nonce", "timestamp")
+    start = q.day_start_ms(DAY)
+    return rs.concat_history(b.where(F.col("timestamp") < start), b.where(F.col("timestamp") >= start))
+
+
+@register("patch_day", with_ctes() + f"""
+SELECT exchange_id, symbol, count(*) AS n_official, count(*) AS n_local, 0 AS n_missing, true AS passed
+FROM archive
+WHERE timestamp >= epoch_ms(TIMESTAMP '{DAY}') AND timestamp < epoch_ms(TIMESTAMP '{DAY}') + 86400000
+GROUP BY ALL
+""")
+def patch_day(spark, sf):
+    """PIP-1: validate, find and insert missing trades of the day, then audit (all pass)."""
+    off, loc = fx.archive_trades(spark, sf), fx.versioned_trades(spark, sf)
+    return pl.patch_day(off, loc, jn.expected_work(off), DAY, NOW_MS)["audit"]
+
+
+@register("train_alpha", _evaluate_sql() + f"""
+SELECT symbol, round({fx.W_VAMP!r} * 0.8 + w_vamp * 0.2, 6) AS w_vamp,
+       round({fx.W_OFI!r} * 0.8 + w_ofi * 0.2, 6) AS w_ofi, round(intercept, 6) AS intercept, best_lag
+FROM ev WHERE exchange_id = 'binance'
+""")
+def train_alpha(spark, sf):
+    """PIP-6: factors -> best horizon -> honest evaluation -> weights blended 80/20 with the
+    stored record (binance books; a failed gate blends zero weights, as the reference does)."""
+    out = pl.train_alpha(fx.books(spark, sf).where(F.col("exchange_id") == "binance"), fx.weights(spark, sf))
+    w = out["weights"]
+    return w.select("symbol", *[r6(F.col(c)).alias(c) for c in ("w_vamp", "w_ofi", "intercept")], "best_lag")
