@@ -34,11 +34,17 @@ def consolidate_trades(trades: DataFrame, date: str | None = None, layout: str |
 
     With ``date=None`` every day is done in the same job (windows per instrument and day).
     """
-    t = q.latest_by_key(_days(trades, date), q.TRADE_KEY)
-    t = t.withColumn("date", ft.utc_date("timestamp"))
+    from tickweave.operators import series
+    t = _days(trades, date).withColumn("date", ft.utc_date("timestamp"))
     by = INSTRUMENT + ["date"]
-    t = win.with_trade_seq(t, by=by, layout=layout)
-    t = win.with_ma_price(t, n=100, by=by, layout=layout, block_rows=block_rows)
+    lay = series.layout(t, layout)
+    if lay == "key":
+        # one exchange on (instrument, day) serves the version dedup (its keys include them;
+        # date is a function of timestamp) and both windows
+        t = t.repartition(*by)
+    t = q.latest_by_key(t, q.TRADE_KEY + ["date"])
+    t = win.with_trade_seq(t, by=by, layout=lay)
+    t = win.with_ma_price(t, n=100, by=by, layout=lay, block_rows=block_rows)
     t = (t.withColumn("dt", ft.ms_to_utc("timestamp"))
          .withColumn("turnover", ft.turnover())
          .withColumn("is_high_impact", ft.is_high_impact()))
