@@ -79,3 +79,14 @@ def test_asof_blocked_equals_key(spark, n_ranges):
     b = jn.asof_join(t, q, right_cols=["nonce"], left_tie=["trade_id"], n_ranges=n_ranges)
     assert rows(a) == rows(b)
     assert a.count() == t.count()
+
+
+@pytest.mark.parametrize("n", [1, 37, 777])
+def test_top_rows_blocked_equals_key(spark, skewed, n):
+    order = ["timestamp", "trade_id"]
+    a = win.first_n(skewed, order, n, layout="key")
+    b = win.first_n(skewed, order, n, layout="blocked")
+    assert rows(a) == rows(b) and a.count() == n
+    c = win.latest_n(skewed, ["exchange_id", "symbol"], order, n, rank_col="rk", layout="key")
+    d = win.latest_n(skewed, ["exchange_id", "symbol"], order, n, rank_col="rk", layout="blocked")
+    assert rows(c) == rows(d)

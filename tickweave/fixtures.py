@@ -19,7 +19,10 @@ W_OFI = 0.8143071892929232
 INTERCEPT = -0.0039007099336663287
 BEST_LAG = 100
 
-EPOCH_MS = "timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
+# epoch milliseconds of the TIMESTAMP_NTZ column ``ts``, truncated, built from calendar
+# fields so that no session time zone enters (timestampdiff would cast through it)
+EPOCH_MS = ("(datediff(CAST(ts AS DATE), DATE'1970-01-01') * 86400000L + hour(ts) * 3600000L"
+            " + minute(ts) * 60000L + CAST(floor(extract(SECOND FROM ts) * 1000) AS BIGINT))")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

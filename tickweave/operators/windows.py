@@ -158,29 +158,44 @@ def with_prev(df: DataFrame, col: str, by: Sequence[str], order: Sequence, out:
 
 # ---------------------------------------------------------------- RNK-*
 
-def first_n(df: DataFrame, order: Sequence, n: int, by: Sequence[str] | None = None) -> DataFrame:
-    """RNK-1: the first ``n`` rows by ``order`` (per group when ``by``).
-
-    Without ``by`` this is a TakeOrdered (per-partition top-n, then a merge of n per
-    partition); with ``by`` Catalyst adds a partial WindowGroupLimit before the shuffle.
+def _top_rows(df: DataFrame, by: Sequence[str], order_cols: list, n: int, layout: str | None,
+              rank_col: str | None = None) -> DataFrame:
+    """The first ``n`` rows of each group under ``order_cols`` (all rows when ``by`` is empty).
+
+    Key layout (input under the size bound): ``row_number`` with Catalyst's partial
+    WindowGroupLimit, or a TakeOrdered when ungrouped. Blocked layout: the range-partitioned
+    dense index in that order, then ``index < n`` -- exact, and no task ever receives
+    ``n`` rows per partition of the input (what a limit's final merge would get).
     """
-    if not by:
-        return df.orderBy(*order).limit(n)
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    by = list(by or [])
+    if series.layout(df, layout) == "key":
+        if not by and not rank_col:
+            return df.orderBy(*order_cols).limit(n)
+        w = Window.partitionBy(*by).orderBy(*order_cols)
+        out = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+        return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
+    x = series.dense_index(df, by, order_cols, idx_col="_rn").where(F.col("_rn") < n)
+    if rank_col:
+        return x.withColumn(rank_col, F.col("_rn") + F.lit(1)).drop("_rn")
+    return x.drop("_rn")
+
+
+def first_n(df: DataFrame, order: Sequence, n: int, by: Sequence[str] | None = None,
+            layout: str | None = None) -> DataFrame:
+    """RNK-1: the first ``n`` rows by ``order`` (per group when ``by``)."""
+    return _top_rows(df, by or [], [F.col(c) if isinstance(c, str) else c for c in order], n, layout)
 
 
-def latest_n(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int, rank_col: str | None = None) -> DataFrame:
-    """RNK-2: newest ``n`` rows per group (descending ``order``), pre-limited map-side."""
-    w = Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in order])
-    out = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
-    return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
+def latest_n(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int, rank_col: str | None = None,
+             layout: str | None = None) -> DataFrame:
+    """RNK-2: newest ``n`` rows per group (descending ``order``)."""
+    return _top_rows(df, by, [F.col(c).desc() for c in order], n, layout, rank_col)
 
 
 def cap_stream(df: DataFrame, n: int = 10000, by: Sequence[str] = ("stream_key",),
-               order: Sequence[str] = ("timestamp", "nonce")) -> DataFrame:
+               order: Sequence[str] = ("timestamp", "nonce"), layout: str | None = None) -> DataFrame:
     """RNK-3: keep only the newest ``n`` messages of each stream (exact, unlike the reference)."""
-    return latest_n(df, list(by), list(order), n)
+    return latest_n(df, list(by), list(order), n, layout=layout)
 
 
 def latest_row(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:

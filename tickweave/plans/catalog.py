@@ -1123,3 +1123,24 @@ def train_alpha(spark, sf):
     out = pl.train_alpha(fx.books(spark, sf).where(F.col("exchange_id") == "binance"), fx.weights(spark, sf))
     w = out["weights"]
     return w.select("symbol", *[r6(F.col(c)).alias(c) for c in ("w_vamp", "w_ofi", "intercept")], "best_lag")
+
+
+@register("first_n_blocked", ORACLE["first_n"])
+def first_n_blocked(spark, sf):
+    """RNK-1 from the global dense index (no single-task merge of per-partition top-n)."""
+    return win.first_n(fx.books(spark, sf), ["timestamp", "nonce"], 100000, layout="blocked").select(
+        "exchange_id", "symbol", "nonce", "timestamp")
+
+
+@register("latest_n_blocked", ORACLE["latest_n"])
+def latest_n_blocked(spark, sf):
+    """RNK-2 from the per-instrument dense index in descending time."""
+    return win.latest_n(fx.books(spark, sf), INSTRUMENT, ["timestamp", "nonce"], 300, layout="blocked").select(
+        *INSTRUMENT, "nonce", "timestamp")
+
+
+@register("cap_stream_blocked", ORACLE["cap_stream"])
+def cap_stream_blocked(spark, sf):
+    """RNK-3 on the blocked layout."""
+    b = nm.with_stream_key(fx.books(spark, sf), "orderbook")
+    return win.cap_stream(b, layout="blocked").select("stream_key", "nonce")
