@@ -2,7 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tickweave import fixtures as fx

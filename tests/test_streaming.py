@@ -1,8 +1,6 @@
 """Streaming operators on file streams with availableNow triggers."""
 
-import uuid
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from tickweave import fixtures as fx

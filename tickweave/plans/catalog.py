@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 
 from tickweave import fixtures as fx
 from tickweave.functions import book as fb
-from tickweave.functions import keys as fk
 from tickweave.functions import signal as fs
-from tickweave.functions import trade as ft
 from tickweave.operators import gaps as gp
 from tickweave.operators import joins as jn
 from tickweave.operators import normalize as nm
@@ -1144,3 +1142,23 @@ def cap_stream_blocked(spark, sf):
     """RNK-3 on the blocked layout."""
     b = nm.with_stream_key(fx.books(spark, sf), "orderbook")
     return win.cap_stream(b, layout="blocked").select("stream_key", "nonce")
+
+
+@register("activity_sessions", with_ctes() + """
+, g AS (SELECT exchange_id, symbol, local_timestamp,
+               CASE WHEN local_timestamp - lag(local_timestamp) OVER w > 20000 THEN 1 ELSE 0 END AS new_session
+        FROM local_t WINDOW w AS (PARTITION BY exchange_id, symbol ORDER BY local_timestamp)),
+s AS (SELECT *, sum(new_session) OVER (PARTITION BY exchange_id, symbol ORDER BY local_timestamp
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM g),
+ss AS (SELECT exchange_id, symbol, count(*) AS n_messages, min(local_timestamp) AS first_ms,
+              max(local_timestamp) AS last_ms FROM s GROUP BY exchange_id, symbol, sid)
+SELECT * FROM ss WHERE last_ms + 20000 <= (SELECT max(local_timestamp) FROM local_t) - 60000
+""")
+def activity_sessions(spark, sf):
+    """STR-5 streaming: event-time session windows (20 s gap, 1 min watermark) over the
+    trade stream; sessions closed by the watermark are emitted (the still-open last ones
+    wait for more data)."""
+    from tickweave.streaming.silence import activity_sessions as sessions
+    t = fx.trades_from_events(_events_stream(spark, sf)).where(~F.col("is_lost")).drop("is_lost")
+    out = _run_available_now(sessions(t), "sessions")
+    return out.select("exchange_id", "symbol", "n_messages", "first_ms", "last_ms")

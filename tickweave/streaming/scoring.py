@@ -12,7 +12,6 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickweave.functions import book as fb

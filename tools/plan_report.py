@@ -15,7 +15,7 @@ sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 from tickweave.plans import catalog  # noqa: E402
 from tickweave.session import get_spark  # noqa: E402
 
-STREAMING = {"stream_gaps", "stream_sync", "stream_scores"}
+STREAMING = {"stream_gaps", "stream_sync", "stream_scores", "activity_sessions"}
 PATTERNS = {
     "shuffles": r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)",
     "range": r"Exchange rangepartitioning",
