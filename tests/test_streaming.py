@@ -2,6 +2,8 @@
 
 
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL, rows
 from tickweave import fixtures as fx
 from tickweave.operators import gaps as gp
@@ -63,3 +65,45 @@ def test_activity_sessions(spark, tmp_path):
     got = _run(activity_sessions(s), tmp_path, "sess")
     # the open session at the end is still waiting for the watermark
     assert sorted(r.n_messages for r in got.collect()) == [2, 3]
+
+
+def _files_by_time(spark, df, tmp_path, name, cuts):
+    """Write ``df`` as one folder of files, one file per time slice, oldest first."""
+    import os
+    import time as _t
+    p = str(tmp_path / name)
+    bounds = [None, *cuts, None]
+    for i in range(len(bounds) - 1):
+        part = df
+        if bounds[i] is not None:
+            part = part.where(F.col("timestamp") >= bounds[i])
+        if bounds[i + 1] is not None:
+            part = part.where(F.col("timestamp") < bounds[i + 1])
+        part.coalesce(1).write.mode("append").parquet(p)
+        _t.sleep(0.05)
+    assert len([f for f in os.listdir(p) if f.endswith(".parquet")]) == len(bounds) - 1
+    return p
+
+
+def test_scoring_state_across_micro_batches(spark, tmp_path):
+    from tickweave.operators import windows as win
+    from tickweave.streaming.scoring import score_stream
+    books = fx.books(spark, SF_SMALL)
+    ts = sorted(r.timestamp for r in books.select("timestamp").collect())
+    path = _files_by_time(spark, books, tmp_path, "books", [ts[len(ts) // 3], ts[2 * len(ts) // 3]])
+    s = spark.readStream.schema(books.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    w = {sym: (fx.W_VAMP, fx.W_OFI, fx.INTERCEPT) for sym in fx.SYMBOLS}
+    got = _run(score_stream(s, w), tmp_path, "scores")
+    want = win.with_book_factors(books, layout="key")
+    cols = ["exchange_id", "symbol", "nonce", "factor_ofi_smooth"]
+    assert rows(got.select(*cols)) == rows(want.select(*cols))
+
+
+def test_gap_watch_across_micro_batches(spark, tmp_path):
+    local = fx.local_trades(spark, SF_SMALL)
+    ts = sorted(r.timestamp for r in local.select("timestamp").collect())
+    path = _files_by_time(spark, local, tmp_path, "trades", [ts[len(ts) // 2]])
+    s = spark.readStream.schema(local.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = _run(stream_gaps(s), tmp_path, "gaps2")
+    want = gp.detect_gaps(local, layout="key")
+    assert rows(got.select("exchange_id", "symbol", "start_id", "end_id")) == rows(want)
