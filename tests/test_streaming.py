@@ -52,10 +52,14 @@ def test_stream_sync_quarantines_bad_messages(spark, tmp_path):
     encode_messages(t, "trades").write.json(src)
     spark.createDataFrame([("k", "{broken")], "stream_key string, data string").write.mode("append").json(src)
     q = start_sync(spark, src, "trades", str(tmp_path / "tbl"), str(tmp_path / "ck"),
-                   quarantine_path=str(tmp_path / "bad"), trigger={"availableNow": True}, max_files_per_trigger=1)
+                   quarantine_path=str(tmp_path / "bad"), trigger={"availableNow": True}, max_files_per_trigger=1,
+                   metrics_path=str(tmp_path / "metrics"))
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "tbl")).count() == t.count()
     assert spark.read.parquet(str(tmp_path / "bad")).count() == 1
+    m = spark.read.parquet(str(tmp_path / "metrics"))
+    assert m.agg(F.sum("rows")).first()[0] == t.count() and m.agg(F.sum("rows_quarantined")).first()[0] == 1
+    assert m.count() > 1 and m.where("write_ms IS NULL").count() == 0
 
 
 def test_activity_sessions(spark, tmp_path):

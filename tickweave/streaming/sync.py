@@ -9,7 +9,10 @@ streams (new instruments) appear as new files / keys without a restart.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.operators.quality import BOOK_KEY, TRADE_KEY
@@ -38,7 +41,8 @@ def decode_stream(messages: DataFrame, data_type: str) -> tuple[DataFrame, DataF
 
 def start_sync(spark: SparkSession, src: str, data_type: str, table_path: str, checkpoint: str,
                quarantine_path: str | None = None, trigger: dict | None = None,
-               max_files_per_trigger: int | None = None):
+               max_files_per_trigger: int | None = None, metrics_path: str | None = None,
+               interval_s: float = 10.0):
     """STR-1: start the stream -> table query; returns the ``StreamingQuery``.
 
     ``trigger`` defaults to a 10-second processing-time trigger (the flush interval);
@@ -46,16 +50,37 @@ def start_sync(spark: SparkSession, src: str, data_type: str, table_path: str, c
     table key inside each daily partition, and bad messages to ``quarantine_path``.
     A replayed micro-batch appends identical rows again; readers resolve versions with
     ``latest_by_key``, which makes the replay harmless.
+
+    AGG-10: with ``metrics_path`` every micro-batch appends one row (batch id, rows written,
+    rows quarantined, write milliseconds, ``pressure`` when the write took more than 80 % of
+    ``interval_s``). Row counts come from ``DataFrame.observe`` on the write itself.
     """
     key = TRADE_KEY if data_type == "trades" else BOOK_KEY
     msgs = read_messages(spark, src, max_files_per_trigger)
 
     def flush(batch: DataFrame, batch_id: int) -> None:
+        started = time.perf_counter()
+        # the micro-batch feeds two writes (rows, quarantine): read the source once
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK) if quarantine_path else batch
         good, bad = decode_stream(batch, data_type)
         rows = with_partition_date(good.drop("stream_key"))
+        seen = Observation(f"sync_{batch_id}")
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         rows.sortWithinPartitions("date", *key).write.mode("append").partitionBy("date").parquet(table_path)
+        n_bad = None
+        if quarantine_path:
+            seen_bad = Observation(f"bad_{batch_id}")
+            (bad.withColumn("batch_id", F.lit(batch_id)).observe(seen_bad, F.count(F.lit(1)).alias("rows"))
+             .write.mode("append").parquet(quarantine_path))
+            n_bad = seen_bad.get["rows"]
+        if metrics_path:
+            ms = int((time.perf_counter() - started) * 1000)
+            m = batch.sparkSession.createDataFrame(
+                [(int(batch_id), int(seen.get["rows"]), n_bad, ms, ms > 0.8 * interval_s * 1000)],
+                "batch_id long, rows long, rows_quarantined long, write_ms long, pressure boolean")
+            m.coalesce(1).write.mode("append").parquet(metrics_path)
         if quarantine_path:
-            bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine_path)
+            batch.unpersist()
 
     w = msgs.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": FLUSH_INTERVAL}))
