@@ -31,6 +31,7 @@ HEADLINE = [
     "gap_fill",              # JON-6
     "stream_gaps",           # STR-3
     # the scale-out layout on the same inputs (range-partitioned index, halo blocks)
+    "trade_features_blocked",
     "ma_price_blocked",
     "book_factors_blocked",
     "asof_join_blocked",

@@ -35,15 +35,19 @@ def with_trade_seq(df: DataFrame, by: Sequence[str] = INSTRUMENT, order: Sequenc
 
 def with_ma_price(df: DataFrame, n: int = 100, by: Sequence[str] = INSTRUMENT,
                   order: Sequence = TRADE_ORDER, price: str = "price", out: str | None = None,
-                  layout: str | None = None, block_rows: int | None = None) -> DataFrame:
-    """WIN-2: mean price over the current and up to ``n`` preceding rows (short frames allowed)."""
+                  layout: str | None = None, block_rows: int | None = None,
+                  keep_index: tuple[str, str] | None = None) -> DataFrame:
+    """WIN-2: mean price over the current and up to ``n`` preceding rows (short frames allowed).
+
+    ``keep_index=(idx, count)`` also returns the 0-based row position and row count per group
+    (WIN-1 for free: ``sub_ms_seq = idx + 1``)."""
     out = out or f"ma_price_{n}"
 
     def build(x: DataFrame, w: WindowSpec) -> DataFrame:
         return x.withColumn(out, F.avg(price).over(w.rowsBetween(-n, 0)))
 
     return series.blocked_window(df, by, order, build, lookback=n, layout_=layout, block_rows=block_rows,
-                                 inputs=[price])
+                                 inputs=[price], keep_index=keep_index)
 
 
 # ---------------------------------------------------------------- WIN-3 / WIN-4 (books)

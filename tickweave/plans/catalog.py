@@ -1162,3 +1162,9 @@ def activity_sessions(spark, sf):
     t = fx.trades_from_events(_events_stream(spark, sf)).where(~F.col("is_lost")).drop("is_lost")
     out = _run_available_now(sessions(t), "sessions")
     return out.select("exchange_id", "symbol", "n_messages", "first_ms", "last_ms")
+
+
+@register("trade_features_blocked", ORACLE["trade_features"])
+def trade_features_blocked(spark, sf):
+    """PIP-2 trades on the blocked layout (one range pass for WIN-1 and WIN-2)."""
+    return pl.consolidate_trades(fx.versioned_trades(spark, sf), layout="blocked", block_rows=BLOCK)

@@ -43,8 +43,9 @@ def consolidate_trades(trades: DataFrame, date: str | None = None, layout: str |
         # date is a function of timestamp) and both windows
         t = t.repartition(*by)
     t = q.latest_by_key(t, q.TRADE_KEY + ["date"])
-    t = win.with_trade_seq(t, by=by, layout=lay)
-    t = win.with_ma_price(t, n=100, by=by, layout=lay, block_rows=block_rows)
+    # one ordered pass gives both the moving price and the row position (sub_ms_seq)
+    t = win.with_ma_price(t, n=100, by=by, layout=lay, block_rows=block_rows, keep_index=("_i", "_cnt"))
+    t = t.withColumn("sub_ms_seq", F.col("_i") + F.lit(1)).drop("_i", "_cnt")
     t = (t.withColumn("dt", ft.ms_to_utc("timestamp"))
          .withColumn("turnover", ft.turnover())
          .withColumn("is_high_impact", ft.is_high_impact()))
