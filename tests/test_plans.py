@@ -63,3 +63,16 @@ def test_auto_layout_is_size_checked(spark):
         assert series.layout(t) == "blocked"
     finally:
         spark.conf.unset(series.KEY_MAX_BYTES_CONF)
+
+
+def test_tune_partitions_scales_with_input(spark):
+    from tickweave.session import tune_partitions
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        t = fx.local_trades(spark, SF_SMALL)
+        assert tune_partitions(spark, t, minimum=1) == 1
+        assert tune_partitions(spark, t, target_bytes=1024, minimum=1) > 10
+        assert spark.conf.get("tickweave.window.ranges") == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("tickweave.window.ranges")
