@@ -195,3 +195,15 @@ def test_blend_without_old(spark):
     assert rows(rs.blend_weights(None, new)) == [("BTC/USDT", 1.0, 2.0, 0.5, 20)]
     r = rs.blend_weights(old, new).first()
     assert (r.w_vamp, r.w_ofi, r.intercept, r.best_lag) == (pytest.approx(0.2), pytest.approx(1.2), 0.5, 20)
+
+
+def test_one_row_instrument_and_empty_input(spark):
+    one = books_df(spark, [book(1, 1, [100.0], [1.0], [101.0], [2.0])])
+    for layout in ("key", "blocked"):
+        f = win.with_book_factors(one, lags=(5,), layout=layout, block_rows=32).collect()
+        assert len(f) == 1 and f[0].factor_ofi_smooth is None and f[0].target_5_tick is None
+        assert f[0].mid_price == 100.5
+        empty = one.where("nonce < 0")
+        assert win.with_book_factors(empty, lags=(5,), layout=layout, block_rows=32).count() == 0
+        assert gp.detect_gaps(_trades(spark, [5]), layout=layout).count() == 0
+        assert win.positional_split(one, ["symbol"], ["timestamp", "nonce"], layout=layout).first().is_train is False
