@@ -1099,7 +1099,7 @@ def concat_history(spark, sf):
 
 
 @register("patch_day", with_ctes() + f"""
-SELECT exchange_id, symbol, count(*) AS n_official, count(*) AS n_local, 0 AS n_missing, true AS passed
+SELECT exchange_id, symbol, count(*) AS n_official, count(*) AS n_local, 0::BIGINT AS n_missing, true AS passed
 FROM archive
 WHERE timestamp >= epoch_ms(TIMESTAMP '{DAY}') AND timestamp < epoch_ms(TIMESTAMP '{DAY}') + 86400000
 GROUP BY ALL
