@@ -35,9 +35,16 @@ def test_every_query_has_an_oracle():
     assert missing == [], missing
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "DOUBLE[]": "array<double>"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
+    rel = duck.sql(ORACLE[name])
+    dtypes = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert {f.name: f.dataType.simpleString() for f in df.schema.fields} == dtypes
     scols, srows = _canon(df.columns, [tuple(r) for r in df.collect()])
     res = duck.execute(ORACLE[name])
     dcols, drows = _canon([d[0] for d in res.description], res.fetchall())
