@@ -207,3 +207,12 @@ def test_one_row_instrument_and_empty_input(spark):
         assert win.with_book_factors(empty, lags=(5,), layout=layout, block_rows=32).count() == 0
         assert gp.detect_gaps(_trades(spark, [5]), layout=layout).count() == 0
         assert win.positional_split(one, ["symbol"], ["timestamp", "nonce"], layout=layout).first().is_train is False
+
+
+def test_null_order_rows_survive_the_blocked_layout(spark):
+    items = [book(i, None if i == 3 else 1000 + i, [100.0], [1.0 + i], [101.0], [2.0]) for i in range(6)]
+    df = books_df(spark, items)
+    a = rows(win.with_ofi(df, 2, keep_step=True, layout="key"), ["nonce", "ofi_step", "factor_ofi_smooth"])
+    b = rows(win.with_ofi(df, 2, keep_step=True, layout="blocked", block_rows=4),
+             ["nonce", "ofi_step", "factor_ofi_smooth"])
+    assert len(b) == 6 and a == b

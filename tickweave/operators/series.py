@@ -153,7 +153,7 @@ def blocked_window(df: DataFrame, keys: Sequence[str], order: Sequence,
             narrow = df.select(*needed)
             y = blocked_window(narrow, keys, order, build, lookback, lookahead, b, "blocked", n_ranges, keep_index)
             new_cols = [c for c in y.columns if c not in needed]
-            return df.join(y.select(*keys, *order_names, *new_cols), on=[*keys, *order_names], how="inner")
+            return join_back(df, y, [*keys, *order_names], new_cols)
     x = dense_index(df, keys, order, idx_col="_idx", count_col="_n", n_ranges=n_ranges)
     blk = F.expr(f"_idx DIV {int(b)}")
     off = F.col("_idx") % F.lit(b)
@@ -178,6 +178,14 @@ def blocked_window(df: DataFrame, keys: Sequence[str], order: Sequence,
     return y.where(F.col("_halo") == 0).select(*df.columns, *added, *kept)
 
 
+def join_back(df: DataFrame, computed: DataFrame, on: Sequence[str], new_cols: Sequence[str]) -> DataFrame:
+    """Attach ``new_cols`` of ``computed`` to ``df`` on the row identity ``on`` (NULL-safe,
+    so rows with a NULL in an order column are kept)."""
+    y = computed.select(*[F.col(c).alias("_jb_" + c) for c in on], *new_cols)
+    cond = [df[c].eqNullSafe(y["_jb_" + c]) for c in on]
+    return df.join(y, cond, "inner").drop(*["_jb_" + c for c in on])
+
+
 def subset_index(df: DataFrame, keys: Sequence[str], idx_col: str, cond, out_idx: str = "_j",
                  out_count: str = "_m", block_rows: int | None = None) -> DataFrame:
     """Position among the rows satisfying ``cond``, from an existing dense index ``idx_col``.

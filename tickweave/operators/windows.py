@@ -76,7 +76,7 @@ def _narrow_books(df: DataFrame, by: Sequence[str], order: Sequence, build, look
     y = series.blocked_window(narrow, by, order, build, lookback=lookback, lookahead=lookahead,
                               block_rows=block_rows, keep_index=keep_index, layout_="blocked")
     new_cols = [c for c in y.columns if c not in narrow.columns]
-    return df.join(y.select(*by, *order, *new_cols), on=by + order, how="inner")
+    return series.join_back(df, y, by + order, new_cols)
 
 
 def _ofi_step_expr(w: WindowSpec):
