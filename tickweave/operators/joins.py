@@ -38,12 +38,13 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] = VENUE_SYMBO
         return [F.col(cols[i]).cast("long").alias(t) if i < len(cols) else F.lit(None).cast("long").alias(t)
                 for i, t in enumerate(ties)]
 
+    # one time line: left rows carry their columns in _l, right rows theirs in _r
+    l_struct = F.struct(*lcols)
     r_struct = F.struct(*[F.col(c).alias(prefix + c) for c in rcols], F.col(right_ts).alias("_rts"))
     L = left.select(*by, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"), *tie_vals(lt),
-                    F.struct(*lcols).alias("_l"), F.lit(None).cast(r_struct_type(right, rcols, right_ts, prefix)).alias("_r"))
+                    l_struct.alias("_l"), F.lit(None).cast(_struct_type(right, r_struct)).alias("_r"))
     R = right.select(*by, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), *tie_vals(rt),
-                     F.lit(None).cast(left.select(F.struct(*lcols).alias("s")).schema["s"].dataType).alias("_l"),
-                     r_struct.alias("_r"))
+                     F.lit(None).cast(_struct_type(left, l_struct)).alias("_l"), r_struct.alias("_r"))
     u = L.unionByName(R)
     order = ["_ts", "_side", *ties]
 
@@ -68,9 +69,8 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] = VENUE_SYMBO
     return out
 
 
-def r_struct_type(right: DataFrame, rcols: list[str], right_ts: str, prefix: str):
-    return right.select(F.struct(*[F.col(c).alias(prefix + c) for c in rcols],
-                                 F.col(right_ts).alias("_rts")).alias("s")).schema["s"].dataType
+def _struct_type(df: DataFrame, struct_col):
+    return df.select(struct_col.alias("s")).schema["s"].dataType
 
 
 def incremental_rows(remote: DataFrame, local: DataFrame, by: Sequence[str] = INSTRUMENT,
