@@ -76,3 +76,14 @@ def test_tune_partitions_scales_with_input(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("tickweave.window.ranges")
+
+
+def test_day_filter_prunes_partitions_when_latency_is_bounded(spark, tmp_path):
+    from tickweave.sources.sinks import write_table
+    path = str(tmp_path / "tbl")
+    write_table(fx.local_trades(spark, SF_SMALL), path, ["exchange_id", "symbol", "trade_id"], mode="overwrite")
+    t = spark.read.parquet(path)
+    df = q.on_day(t, "2024-01-03", max_latency_days=1)
+    p = plan(df)
+    assert "PartitionFilters: [isnotnull(date" in p and "2024-01-03" in p and "2024-01-04" in p
+    assert df.count() == q.on_day(t, "2024-01-03").count()

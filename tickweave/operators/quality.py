@@ -25,13 +25,23 @@ def day_start_ms(date: str | _dt.date) -> int:
 
 # ---------------------------------------------------------------- FLT-*
 
-def on_day(df: DataFrame, date: str | _dt.date, ts: str = "timestamp") -> DataFrame:
+def on_day(df: DataFrame, date: str | _dt.date, ts: str = "timestamp", partition_col: str = "date",
+           max_latency_days: int | None = None) -> DataFrame:
     """FLT-1: rows whose epoch-ms ``ts`` falls in the UTC day ``[day, day + 1)``.
 
     Compares the bare column to literals so the predicate reaches the Parquet scan.
+    Tables are partitioned by the day of ``local_timestamp`` (ingest time), which is at
+    or after ``timestamp``; with ``max_latency_days`` the partition column is also limited
+    to ``[day, day + max_latency_days]`` so partition pruning applies. Only set it when
+    ingest delay is bounded: rows patched from an archive carry their load time.
     """
     start = day_start_ms(date)
-    return df.where((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(start + DAY_MS)))
+    cond = (F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(start + DAY_MS))
+    if max_latency_days is not None and partition_col in df.columns:
+        d = _dt.date.fromisoformat(date) if isinstance(date, str) else date
+        hi = d + _dt.timedelta(days=max_latency_days)
+        cond = cond & F.col(partition_col).between(F.lit(d), F.lit(hi))
+    return df.where(cond)
 
 
 def for_instrument(df: DataFrame, exchange_id: str | None = None, symbol: str | None = None,
