@@ -30,8 +30,6 @@ ORACLE: dict[str, str] = {}
 
 NOW_MS = 1706745600000          # 2024-02-01 00:00:00 UTC, the fixed "now" of the checks
 DAY = "2024-01-15"
-FACTOR_COLS = ["exchange_id", "mkt_type", "symbol", "nonce", "timestamp", "mid_price", "vamp",
-               "vamp_bias_bp", "factor_ofi_smooth"]
 
 
 def register(name: str, sql: str | None = None):
