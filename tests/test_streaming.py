@@ -96,8 +96,7 @@ def test_scoring_state_across_micro_batches(spark, tmp_path):
     ts = sorted(r.timestamp for r in books.select("timestamp").collect())
     path = _files_by_time(spark, books, tmp_path, "books", [ts[len(ts) // 3], ts[2 * len(ts) // 3]])
     s = spark.readStream.schema(books.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    w = {sym: (fx.W_VAMP, fx.W_OFI, fx.INTERCEPT) for sym in fx.SYMBOLS}
-    got = _run(score_stream(s, w), tmp_path, "scores")
+    got = _run(score_stream(s, fx.weights(spark, SF_SMALL)), tmp_path, "scores")
     want = win.with_book_factors(books, layout="key")
     cols = ["exchange_id", "symbol", "nonce", "factor_ofi_smooth"]
     assert rows(got.select(*cols)) == rows(want.select(*cols))

@@ -998,8 +998,7 @@ def stream_scores(spark, sf):
     """STR-6 streaming: every book scored in order with the OFI state kept per instrument."""
     from tickweave.streaming.scoring import score_stream
     b = fx.books_from_events(_events_stream(spark, sf))
-    w = {s: (fx.W_VAMP, fx.W_OFI, fx.INTERCEPT) for s in fx.SYMBOLS}
-    out = _run_available_now(score_stream(b, w), "stream-scores")
+    out = _run_available_now(score_stream(b, fx.weights(spark, sf)), "stream-scores")
     return out.select(*INSTRUMENT, "nonce", "timestamp", "mid_price", r6(F.col("vamp_bias_bp")).alias("vamp_bias_bp"),
                       "factor_ofi_smooth", r6(F.col("combined_alpha")).alias("combined_alpha"))
 

@@ -69,7 +69,7 @@ def _window_mean(steps: np.ndarray, window: int, n_new: int) -> np.ndarray:
         return np.where(count >= window, total / count, np.nan)
 
 
-def _score_group(weights: dict, window: int, threshold: float):
+def _score_group(window: int, threshold: float):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["timestamp", "nonce"], kind="stable")
         if state.exists:
@@ -83,8 +83,12 @@ def _score_group(weights: dict, window: int, threshold: float):
         steps_all = np.concatenate((old, e))
         ofi = _window_mean(steps_all, window, len(pdf))
         bias = pdf["vamp_bias_bp"].to_numpy(dtype="float64", na_value=np.nan)
-        w = weights.get(key[2])
-        alpha = bias * w[0] + ofi * w[1] + w[2] if w is not None else np.full(len(pdf), np.nan)
+        w = pdf[["w_vamp", "w_ofi", "intercept"]].dropna()
+        if len(w):
+            w_vamp, w_ofi, icpt = (float(x) for x in w.iloc[0])
+            alpha = bias * w_vamp + ofi * w_ofi + icpt
+        else:
+            alpha = np.full(len(pdf), np.nan)
         sig = np.where(alpha > threshold, "buy", np.where(alpha < -threshold, "sell", "none"))
         out = pd.DataFrame({
             "exchange_id": key[0], "mkt_type": key[1], "symbol": key[2],
@@ -102,13 +106,15 @@ def _score_group(weights: dict, window: int, threshold: float):
     return fn
 
 
-def start_scoring(books_stream: DataFrame, weights: dict[str, tuple[float, float, float]], sink_path: str,
+def start_scoring(books_stream: DataFrame, weights: DataFrame, sink_path: str,
                   checkpoint: str, window: int = OFI_WINDOW, threshold: float = 0.05,
                   trigger: dict | None = None):
     """Streaming STR-6: score every arriving book with the OFI state kept per instrument.
 
-    ``weights`` maps symbol -> (w_vamp, w_ofi, intercept) (one small record per symbol).
-    Within a micro-batch the books of an instrument are scored in (timestamp, nonce) order.
+    ``weights`` is the weight table (symbol, w_vamp, w_ofi, intercept), joined to the
+    stream as a static side, so a refreshed weight file is picked up by later micro-batches
+    of a restarted query. Within a micro-batch the books of an instrument are scored in
+    (timestamp, nonce) order.
     """
     scored = score_stream(books_stream, weights, window, threshold)
     w = scored.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
@@ -116,7 +122,7 @@ def start_scoring(books_stream: DataFrame, weights: dict[str, tuple[float, float
     return w.start(sink_path)
 
 
-def score_stream(books_stream: DataFrame, weights: dict[str, tuple[float, float, float]],
+def score_stream(books_stream: DataFrame, weights: DataFrame,
                  window: int = OFI_WINDOW, threshold: float = 0.05) -> DataFrame:
     """The scored stream of ``start_scoring`` (books in, one scored row per book out)."""
     x = books_stream.select(*INSTRUMENT, "nonce", "timestamp",
@@ -124,5 +130,6 @@ def score_stream(books_stream: DataFrame, weights: dict[str, tuple[float, float,
                             fb.best_ask().alias("ap"), fb.level("ask_volumes").alias("av"),
                             fb.mid_price().alias("mid_price"),
                             fb.vamp_bias_bp(fb.vamp(5), fb.mid_price()).alias("vamp_bias_bp"))
+    x = x.join(weights.select("symbol", "w_vamp", "w_ofi", "intercept"), "symbol", "left")
     return x.groupBy(*INSTRUMENT).applyInPandasWithState(
-        _score_group(weights, window, threshold), SCORE_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _score_group(window, threshold), SCORE_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
