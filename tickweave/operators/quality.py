@@ -103,13 +103,20 @@ def drop_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 # ---------------------------------------------------------------- AGG-1..3
 
 def latest_by_key(df: DataFrame, key: Sequence[str] = TRADE_KEY, version: str = "local_timestamp",
-                  tie: Sequence[str] = ()) -> DataFrame:
+                  tie: Sequence[str] = (), pre_partition: bool | Sequence[str] = False) -> DataFrame:
     """AGG-1: one row per ``key``, the one with the greatest ``version`` (then ``tie``).
 
     ``max_by`` aggregates partially on the map side, so duplicate versions collapse
     before the shuffle; its struct buffer plans as a spillable SortAggregate.
+    ``pre_partition`` hash-partitions by the key (or by the given subset of it) first: when
+    versions are rare the map side has nothing to collapse, and this way the rows are sorted
+    once (after the shuffle) instead of once on each side of it. A subset of the key still
+    satisfies the aggregate's clustering, and leaves out columns the optimizer may fold to
+    constants.
     """
     key = list(key)
+    if pre_partition:
+        df = df.repartition(*(key if pre_partition is True else list(pre_partition)))
     rest = [c for c in df.columns if c not in key]
     agg = df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(version, *tie)).alias("_r"))
     return agg.select(*key, *[F.col("_r." + c).alias(c) for c in rest]).select(*df.columns)

@@ -39,10 +39,12 @@ def consolidate_trades(trades: DataFrame, date: str | None = None, layout: str |
     by = INSTRUMENT + ["date"]
     lay = series.layout(t, layout)
     if lay == "key":
-        # one exchange on (instrument, day) serves the version dedup (its keys include them;
-        # date is a function of timestamp) and both windows
-        t = t.repartition(*by)
-    t = q.latest_by_key(t, q.TRADE_KEY + ["date"])
+        # one exchange on (exchange, symbol, day) serves the version dedup (its keys include
+        # them; date is a function of timestamp) and both windows
+        t = t.repartition("exchange_id", "symbol", "date")
+        t = q.latest_by_key(t, q.TRADE_KEY + ["date"])
+    else:
+        t = q.latest_by_key(t, q.TRADE_KEY + ["date"], pre_partition=["exchange_id", "symbol", "trade_id"])
     # one ordered pass gives both the moving price and the row position (sub_ms_seq)
     t = win.with_ma_price(t, n=100, by=by, layout=lay, block_rows=block_rows, keep_index=("_i", "_cnt"))
     t = t.withColumn("sub_ms_seq", F.col("_i") + F.lit(1)).drop("_i", "_cnt")
@@ -55,7 +57,7 @@ def consolidate_trades(trades: DataFrame, date: str | None = None, layout: str |
 def consolidate_books(books: DataFrame, date: str | None = None, depth: int = 20) -> DataFrame:
     """PIP-2, books: day filter -> latest version -> micro price, imbalance, spread, top
     ``depth`` levels, UTC time; plus ``date``."""
-    b = q.latest_by_key(_days(books, date), q.BOOK_KEY)
+    b = q.latest_by_key(_days(books, date), q.BOOK_KEY, pre_partition=["exchange_id", "symbol", "timestamp", "nonce"])
     return b.select(
         "nonce", "symbol", "mkt_type", "exchange_id", ft.ms_to_utc("timestamp").alias("dt"),
         fb.micro_price().alias("micro_price"), fb.imbalance().alias("imbalance"), fb.spread().alias("spread"),
