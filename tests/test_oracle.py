@@ -13,7 +13,7 @@ ORACLE = E.oracle_sql()
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 9)
+        return "nan" if math.isnan(v) else v
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     return v
