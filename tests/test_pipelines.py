@@ -75,3 +75,13 @@ def test_tca_report(spark):
     per_trade, rep = pl.tca(fx.archive_trades(spark, SF_SMALL), fx.quotes(spark, SF_SMALL))
     assert per_trade.where("abs(data_lag_ms) > 100").count() == 0
     assert rep.agg(F.sum("trade_count")).first()[0] == per_trade.count()
+
+
+def test_automated_days_per_exchange(spark):
+    t = fx.archive_trades(spark, SF_SMALL)
+    now = 1704672000000 + 3_600_000          # 2024-01-08 01:00 UTC
+    got = q.on_automated_day(t, now).withColumn("d", F.to_date(F.timestamp_millis("timestamp")))
+    days = {(r.exchange_id, str(r.d)) for r in got.select("exchange_id", "d").distinct().collect()}
+    assert days == {("binance", "2024-01-07"), ("okx", "2024-01-06")}
+    out = pl.consolidate_trades(t, now_ms=now)
+    assert {str(r.date) for r in out.select("date").distinct().collect()} == {"2024-01-06", "2024-01-07"}

@@ -44,6 +44,31 @@ def on_day(df: DataFrame, date: str | _dt.date, ts: str = "timestamp", partition
     return df.where(cond)
 
 
+# fixed values: days back of the automated daily run per exchange (archives publish later for okx)
+DAYS_BACK = {"okx": 2}
+DEFAULT_DAYS_BACK = 1
+
+
+def on_automated_day(df: DataFrame, now_ms: int, ts: str = "timestamp", days_back: dict | None = None,
+                     default_days_back: int = DEFAULT_DAYS_BACK) -> DataFrame:
+    """FLT-1 for the scheduled run without a date: per exchange the UTC day ``days_back``
+    before ``now`` (yesterday; two days back for okx). An OR of plain ranges, so it still
+    reaches the scan."""
+    days_back = DAYS_BACK if days_back is None else days_back
+    today = _dt.datetime.fromtimestamp(now_ms / 1000, tz=_dt.timezone.utc).date()
+
+    def day_range(n: int) -> Column:
+        start = day_start_ms(today - _dt.timedelta(days=n))
+        return (F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(start + DAY_MS))
+
+    special = list(days_back)
+    cond = ~F.col("exchange_id").isin(special) & day_range(default_days_back) if special \
+        else day_range(default_days_back)
+    for ex, n in days_back.items():
+        cond = cond | ((F.col("exchange_id") == F.lit(ex)) & day_range(n))
+    return df.where(cond)
+
+
 def for_instrument(df: DataFrame, exchange_id: str | None = None, symbol: str | None = None,
                    mkt_type: str | None = None) -> DataFrame:
     """FLT-2: equality filters on the instrument columns that are given."""

@@ -23,19 +23,25 @@ BOOK_EXPORT_COLS = ["nonce", "symbol", "mkt_type", "exchange_id", "dt", "micro_p
                     "bid_prices", "bid_volumes", "ask_prices", "ask_volumes", "timestamp"]
 
 
-def _days(df: DataFrame, date: str | None) -> DataFrame:
-    return q.on_day(df, date) if date else df
+def _days(df: DataFrame, date: str | None, now_ms: int | None = None) -> DataFrame:
+    if date:
+        return q.on_day(df, date)
+    if now_ms is not None:
+        return q.on_automated_day(df, now_ms)
+    return df
 
 
 def consolidate_trades(trades: DataFrame, date: str | None = None, layout: str | None = None,
-                       block_rows: int | None = None) -> DataFrame:
+                       block_rows: int | None = None, now_ms: int | None = None) -> DataFrame:
     """PIP-2, trades: day filter -> latest version per key -> turnover, UTC time, per-day
     sequence number and 101-row moving price, high-impact flag; plus the ``date`` column.
 
-    With ``date=None`` every day is done in the same job (windows per instrument and day).
+    With ``date=None`` and ``now_ms`` the scheduled run's days are used (yesterday, two days
+    back for okx); with neither, every day is done in the same job (windows per instrument
+    and day).
     """
     from tickweave.operators import series
-    t = _days(trades, date).withColumn("date", ft.utc_date("timestamp"))
+    t = _days(trades, date, now_ms).withColumn("date", ft.utc_date("timestamp"))
     by = INSTRUMENT + ["date"]
     lay = series.layout(t, layout)
     if lay == "key":
@@ -54,10 +60,11 @@ def consolidate_trades(trades: DataFrame, date: str | None = None, layout: str |
     return t.select(*TRADE_EXPORT_COLS, "date")
 
 
-def consolidate_books(books: DataFrame, date: str | None = None, depth: int = 20) -> DataFrame:
+def consolidate_books(books: DataFrame, date: str | None = None, depth: int = 20,
+                      now_ms: int | None = None) -> DataFrame:
     """PIP-2, books: day filter -> latest version -> micro price, imbalance, spread, top
     ``depth`` levels, UTC time; plus ``date``."""
-    b = q.latest_by_key(_days(books, date), q.BOOK_KEY, pre_partition=["exchange_id", "symbol", "timestamp", "nonce"])
+    b = q.latest_by_key(_days(books, date, now_ms), q.BOOK_KEY, pre_partition=["exchange_id", "symbol", "timestamp", "nonce"])
     return b.select(
         "nonce", "symbol", "mkt_type", "exchange_id", ft.ms_to_utc("timestamp").alias("dt"),
         fb.micro_price().alias("micro_price"), fb.imbalance().alias("imbalance"), fb.spread().alias("spread"),
@@ -65,11 +72,12 @@ def consolidate_books(books: DataFrame, date: str | None = None, depth: int = 20
         "timestamp", ft.utc_date("timestamp").alias("date"))
 
 
-def consolidate_day(trades: DataFrame, books: DataFrame, root: str, date: str | None = None) -> None:
+def consolidate_day(trades: DataFrame, books: DataFrame, root: str, date: str | None = None,
+                    now_ms: int | None = None) -> None:
     """PIP-2 with the export (SNK-3): both feature tables written, re-run safe."""
     from tickweave.sources.sinks import export_daily
-    export_daily(consolidate_trades(trades, date), root, "trades")
-    export_daily(consolidate_books(books, date), root, "orderbook")
+    export_daily(consolidate_trades(trades, date, now_ms=now_ms), root, "trades")
+    export_daily(consolidate_books(books, date, now_ms=now_ms), root, "orderbook")
 
 
 def patch_day(official: DataFrame, local: DataFrame, expected: DataFrame, date: str, now_ms: int,
