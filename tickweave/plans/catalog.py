@@ -1165,3 +1165,22 @@ def activity_sessions(spark, sf):
 def trade_features_blocked(spark, sf):
     """PIP-2 trades on the blocked layout (one range pass for WIN-1 and WIN-2)."""
     return pl.consolidate_trades(fx.versioned_trades(spark, sf), layout="blocked", block_rows=BLOCK)
+
+
+@register("trade_features_scheduled", with_ctes() + f"""
+, d AS (
+  SELECT * FROM versioned
+  WHERE (exchange_id <> 'okx' AND timestamp >= {NOW_MS} - 86400000 AND timestamp < {NOW_MS})
+     OR (exchange_id = 'okx' AND timestamp >= {NOW_MS} - 2 * 86400000 AND timestamp < {NOW_MS} - 86400000)
+  QUALIFY row_number() OVER (PARTITION BY exchange_id, symbol, mkt_type, timestamp, trade_id
+                             ORDER BY local_timestamp DESC) = 1)
+SELECT trade_id, symbol, exchange_id, CAST(epoch_ms(timestamp) AS DATE) AS date,
+       row_number() OVER (PARTITION BY exchange_id, mkt_type, symbol ORDER BY trade_id) AS sub_ms_seq,
+       avg(price) OVER (PARTITION BY exchange_id, mkt_type, symbol ORDER BY trade_id
+                        ROWS BETWEEN 100 PRECEDING AND CURRENT ROW) AS ma_price_100
+FROM d
+""")
+def trade_features_scheduled(spark, sf):
+    """PIP-2 as scheduled without a date: yesterday, two days back for okx (at the fixed now)."""
+    return pl.consolidate_trades(fx.versioned_trades(spark, sf), now_ms=NOW_MS).select(
+        "trade_id", "symbol", "exchange_id", "date", "sub_ms_seq", "ma_price_100")
