@@ -90,3 +90,12 @@ def test_top_rows_blocked_equals_key(spark, skewed, n):
     c = win.latest_n(skewed, ["exchange_id", "symbol"], order, n, rank_col="rk", layout="key")
     d = win.latest_n(skewed, ["exchange_id", "symbol"], order, n, rank_col="rk", layout="blocked")
     assert rows(c) == rows(d)
+
+
+def test_asof_wide_left_blocked_equals_key(spark):
+    t = fx.archive_trades(spark, SF_MID)          # 11 columns: identity + payload
+    q = fx.quotes(spark, SF_MID).select("exchange_id", "symbol", "timestamp", "nonce")
+    a = jn.asof_join(t, q, right_cols=["nonce"], left_tie=["trade_id"], layout="key")
+    b = jn.asof_join(t, q, right_cols=["nonce"], left_tie=["trade_id"], layout="blocked")
+    assert sorted(a.columns) == sorted(b.columns)
+    assert rows(a.select(*sorted(a.columns))) == rows(b.select(*sorted(a.columns)))

@@ -26,12 +26,22 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] = VENUE_SYMBO
     many); inside a range a running ``last(ignoreNulls)`` finds the quote, and rows that
     start a range before any quote take the carry of earlier ranges from a small
     (range, key) table. ``layout='key'`` uses one running window per instrument.
-    Right columns come back prefixed with ``prefix``.
+    Right columns come back prefixed with ``prefix``. With ``left_tie`` given, (by, left_ts,
+    left_tie) must identify a left row; the blocked layout then moves only that identity
+    and joins the left columns back once.
     """
     by = list(by)
     rcols = list(right_cols) if right_cols is not None else [c for c in right.columns if c not in by]
-    lcols = left.columns
     lt, rt = list(left_tie), list(right_tie)
+    ident = list(dict.fromkeys([*by, left_ts, *lt]))
+    if lt and set(left.columns) - set(ident) and series.layout(left, layout) != "key":
+        # Wide left rows: only their identity (key, time, tie; unique by contract) travels
+        # through the range shuffle; the left columns are joined back to the matches.
+        m = asof_join(left.select(*ident), right, by, left_ts, right_ts, rcols, prefix, lt, rt, lag_col,
+                      "blocked", n_ranges)
+        new_cols = [c for c in m.columns if c not in ident]
+        return series.join_back(left, m, ident, new_cols)
+    lcols = left.columns
     ties = [f"_t{i}" for i in range(max(len(lt), len(rt)))]
 
     def tie_vals(cols: list[str]) -> list:
