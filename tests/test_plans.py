@@ -87,3 +87,20 @@ def test_day_filter_prunes_partitions_when_latency_is_bounded(spark, tmp_path):
     p = plan(df)
     assert "PartitionFilters: [isnotnull(date" in p and "2024-01-03" in p and "2024-01-04" in p
     assert df.count() == q.on_day(t, "2024-01-03").count()
+
+
+def test_bucketed_local_table_shuffles_only_the_archive(spark, tmp_path):
+    from tickweave.sources.sinks import write_bucketed_table
+    name = "local_trades_bucketed"
+    write_bucketed_table(fx.local_trades(spark, SF_SMALL), name, n_buckets=8, path=str(tmp_path / "b"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        local = spark.table(name)
+        miss = q.missing_trades(fx.archive_trades(spark, SF_SMALL), local)
+        p = miss._jdf.queryExecution().executedPlan().toString()
+        assert p.count("Exchange hashpartitioning") == 1
+        assert miss.count() == fx.trades(spark, SF_SMALL).where("is_lost").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

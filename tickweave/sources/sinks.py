@@ -62,3 +62,15 @@ def save_weights(df: DataFrame, path: str) -> None:
 def load_weights(spark: SparkSession, path: str) -> DataFrame:
     """SNK-5: read weight records back with the fixed schema."""
     return spark.read.schema(WEIGHTS).json(path)
+
+
+def write_bucketed_table(df: DataFrame, name: str, key: Sequence[str] = ("exchange_id", "symbol", "trade_id"),
+                         n_buckets: int = 256, path: str | None = None, mode: str = "overwrite") -> None:
+    """A catalog table bucketed (and sorted) by ``key``: joins on ``key`` with it shuffle only
+    the other side (e.g. a day's archive against the whole local table in JON-1/2/3), and
+    repeated joins of two such tables shuffle neither. ``path`` makes it an external table.
+    """
+    w = df.write.mode(mode).bucketBy(n_buckets, *key).sortBy(*key)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
