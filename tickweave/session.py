@@ -29,7 +29,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     if master and master.startswith("local"):
-        builder = builder.config("spark.driver.memory", "8g")
+        builder = (builder.config("spark.driver.memory", "8g")
+                   .config("spark.sql.warehouse.dir",
+                           tempfile.mkdtemp(prefix="tickweave-wh-", dir=os.environ.get("TMPDIR", "/tmp"))))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
