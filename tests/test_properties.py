@@ -77,3 +77,23 @@ def test_evaluate_recovers_a_planted_signal(spark):
     assert r.n_train == 2100 and r.n_valid == 900
     best = rs.best_lag(df.withColumn("vamp", F.lit(1.0)).withColumn("mid_price", F.lit(1.0)))
     assert best.where("is_best").first().lag == 20
+
+
+@settings(**SETTINGS)
+@given(n=st.integers(1, 300), keep=st.floats(0.0, 1.0), ratio=st.sampled_from([0.0, 0.3, 0.7, 1.0]),
+       block=st.integers(1, 50), seed=st.integers(0, 10_000))
+def test_subset_cutoff_equals_brute_force(spark, n, keep, ratio, block, seed):
+    from tickweave.operators import series
+    rnd = random.Random(seed)
+    rows = [("A" if i % 3 else "B", i, rnd.random() < keep) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, i long, ok boolean")
+    got = {r.k: (r._cut, r._m) for r in series.subset_cutoff(df, ["k"], "i", F.col("ok"), ratio,
+                                                             block_rows=block).collect()}
+    for key in {r[0] for r in rows}:
+        usable = sorted(r[1] for r in rows if r[0] == key and r[2])
+        if not usable:
+            assert key not in got
+            continue
+        k = int(len(usable) * ratio)
+        want_cut = usable[k] if k < len(usable) else None
+        assert got[key] == (want_cut, len(usable))

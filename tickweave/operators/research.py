@@ -207,13 +207,16 @@ def evaluate(df: DataFrame, target: str | None = None, best: DataFrame | None =
     else:
         d = df.withColumn("_y", F.col(target)).withColumn("best_lag", F.lit(int(target.split("_")[1])))
     ok = _nn(x1, x2, "_y")
-    # position among the usable rows: from the factor pass's row index when present (no
-    # second ordering of the books), else a fresh dense index
+    # the positional split over the usable rows: from the factor pass's row index when
+    # present, only the first validation row per instrument is located (one block ranked);
+    # otherwise a fresh dense index over the usable rows
     if "_i" in d.columns:
-        idx = series.subset_index(d, by, "_i", ok, out_idx="_j", out_count="_m")
+        cut = series.subset_cutoff(d, by, "_i", ok, split)
+        idx = d.where(ok).join(cut.select(*by, "_cut"), by, "inner")
+        train = F.col("_cut").isNull() | (F.col("_i") < F.col("_cut"))
     else:
         idx = series.dense_index(d.where(ok), by, list(order), idx_col="_j", count_col="_m")
-    train = F.col("_j") < F.floor(F.col("_m") * F.lit(float(split)))
+        train = F.col("_j") < F.floor(F.col("_m") * F.lit(float(split)))
     all_labels = _nn(x1, x2, *[f"target_{L}_tick" for L in lags])
     aggs = (_moments(train, "_y", xs, "tr") + _moments(~train, "_y", xs, "va")
             + _moments(F.lit(True), "_y", xs, "all") + _moments(all_labels, "_y", xs, "fin")
