@@ -186,29 +186,6 @@ def join_back(df: DataFrame, computed: DataFrame, on: Sequence[str], new_cols: S
     return df.join(y, cond, "inner").drop(*["_jb_" + c for c in on])
 
 
-def subset_index(df: DataFrame, keys: Sequence[str], idx_col: str, cond, out_idx: str = "_j",
-                 out_count: str = "_m", block_rows: int | None = None) -> DataFrame:
-    """Position among the rows satisfying ``cond``, from an existing dense index ``idx_col``.
-
-    Rows are grouped in blocks of ``B`` consecutive indices; a small (key, block) table of
-    qualifying counts gives each block's offset by a prefix sum, and a window bounded by the
-    block ranks rows inside it. No new range sort of the data. Rows failing ``cond`` are
-    dropped.
-    """
-    keys = list(keys)
-    b = _block_rows(df, block_rows, 1)
-    x = df.where(cond).withColumn("_sb", F.expr(f"{idx_col} DIV {int(b)}"))
-    counts = x.groupBy(*keys, "_sb").agg(F.count(F.lit(1)).alias("_sn"))
-    w_before = Window.partitionBy(*keys).orderBy("_sb").rowsBetween(Window.unboundedPreceding, -1)
-    counts = (counts.withColumn("_soff", F.coalesce(F.sum("_sn").over(w_before), F.lit(0)).cast("long"))
-              .withColumn(out_count, F.sum("_sn").over(Window.partitionBy(*keys)).cast("long"))
-              .drop("_sn"))
-    w = Window.partitionBy(*keys, "_sb").orderBy(idx_col)
-    y = x.join(counts, [*keys, "_sb"], "inner")
-    y = y.withColumn(out_idx, F.col("_soff") + F.row_number().over(w) - F.lit(1))
-    return y.select(*df.columns, out_idx, out_count)
-
-
 def subset_cutoff(df: DataFrame, keys: Sequence[str], idx_col: str, cond, ratio: float,
                   block_rows: int | None = None) -> DataFrame:
     """Per key, the ``idx_col`` value of the first row past the first ``floor(m * ratio)``
