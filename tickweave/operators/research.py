@@ -212,7 +212,7 @@ def evaluate(df: DataFrame, target: str | None = None, best: DataFrame | None =
     # otherwise a fresh dense index over the usable rows
     if "_i" in d.columns:
         cut = series.subset_cutoff(d, by, "_i", ok, split)
-        idx = d.where(ok).join(cut.select(*by, "_cut"), by, "inner")
+        idx = d.where(ok).join(cut, by, "left")
         train = F.col("_cut").isNull() | (F.col("_i") < F.col("_cut"))
     else:
         idx = series.dense_index(d.where(ok), by, list(order), idx_col="_j", count_col="_m")

@@ -189,8 +189,9 @@ def join_back(df: DataFrame, computed: DataFrame, on: Sequence[str], new_cols: S
 def subset_cutoff(df: DataFrame, keys: Sequence[str], idx_col: str, cond, ratio: float,
                   block_rows: int | None = None) -> DataFrame:
     """Per key, the ``idx_col`` value of the first row past the first ``floor(m * ratio)``
-    rows satisfying ``cond`` (``m`` = their count): columns keys, ``_cut`` (NULL when every
-    qualifying row is inside the fraction) and ``_m``.
+    rows satisfying ``cond`` (``m`` = their count): columns keys, ``_cut``. Keys whose
+    qualifying rows all fall inside the fraction have no row (left-join and treat NULL as
+    "all inside").
 
     Qualifying rows are counted per block of ``B`` consecutive indices (a small table);
     its prefix sums name the single block per key that holds the cut, and only that
@@ -204,14 +205,13 @@ def subset_cutoff(df: DataFrame, keys: Sequence[str], idx_col: str, cond, ratio:
     counts = (counts.withColumn("_soff", F.coalesce(F.sum("_sn").over(w_before), F.lit(0)).cast("long"))
               .withColumn("_m", F.sum("_sn").over(Window.partitionBy(*keys)).cast("long"))
               .withColumn("_k", F.floor(F.col("_m") * F.lit(float(ratio))).cast("long")))
-    totals = counts.select(*keys, "_m").distinct()
     target = counts.where((F.col("_soff") <= F.col("_k")) & (F.col("_k") < F.col("_soff") + F.col("_sn")))
     w = Window.partitionBy(*keys, "_sb").orderBy(idx_col)
     hit = (x.join(target.select(*keys, "_sb", "_soff", "_k"), [*keys, "_sb"], "inner")
            .withColumn("_r", F.col("_soff") + F.row_number().over(w) - F.lit(1))
            .where(F.col("_r") == F.col("_k"))
            .select(*keys, F.col(idx_col).alias("_cut")))
-    return totals.join(hit, keys, "left")
+    return hit
 
 
 def materialize(df: DataFrame) -> DataFrame:
