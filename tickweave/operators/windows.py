@@ -6,6 +6,7 @@ ever one task; ``layout='key'`` gives the plain ``partitionBy(key)`` form.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, WindowSpec
@@ -166,22 +167,36 @@ def _top_rows(df: DataFrame, by: Sequence[str], order_cols: list, n: int, layout
               rank_col: str | None = None) -> DataFrame:
     """The first ``n`` rows of each group under ``order_cols`` (all rows when ``by`` is empty).
 
-    Key layout (input under the size bound): ``row_number`` with Catalyst's partial
-    WindowGroupLimit, or a TakeOrdered when ungrouped. Blocked layout: the range-partitioned
-    dense index in that order, then ``index < n`` -- exact, and no task ever receives
-    ``n`` rows per partition of the input (what a limit's final merge would get).
+    Key layout (input under the size bound): ``row_number <= n``, which Catalyst plans with a
+    partial WindowGroupLimit before the shuffle (or a TakeOrdered when ungrouped).
+    Blocked layout, small ``n`` (up to ``spark.sql.optimizer.windowGroupLimitThreshold``,
+    where Catalyst pre-limits map-side): a two-level limit. Rows get a salt ``input
+    partition id mod S`` with ``S ~ sqrt(P)``; the top ``n`` per (group, salt) -- itself
+    pre-limited per input partition -- then the top ``n`` per group. Only about
+    ``n * sqrt(P)`` rows per group are ever shuffled to or held by one task, and the rest of
+    the table never leaves its input partition.
+    Blocked layout, large ``n``: the range-partitioned dense index and ``index < n``
+    (balanced, exact, one range shuffle).
     """
     by = list(by or [])
-    if series.layout(df, layout) == "key":
-        if not by and not rank_col:
-            return df.orderBy(*order_cols).limit(n)
-        w = Window.partitionBy(*by).orderBy(*order_cols)
-        out = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
-        return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
-    x = series.dense_index(df, by, order_cols, idx_col="_rn").where(F.col("_rn") < n)
-    if rank_col:
-        return x.withColumn(rank_col, F.col("_rn") + F.lit(1)).drop("_rn")
-    return x.drop("_rn")
+    lay = series.layout(df, layout)
+    limit_threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if lay != "key" and n > limit_threshold:
+        x = series.dense_index(df, by, order_cols, idx_col="_rn").where(F.col("_rn") < n)
+        if rank_col:
+            return x.withColumn(rank_col, F.col("_rn") + F.lit(1)).drop("_rn")
+        return x.drop("_rn")
+    if lay != "key":
+        p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = max(2, math.isqrt(max(p, 1)) + 1)
+        x = df.withColumn("_salt", F.spark_partition_id() % F.lit(salts))
+        w1 = Window.partitionBy(*by, "_salt").orderBy(*order_cols)
+        df = x.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= n).drop("_rn", "_salt")
+    if not by and not rank_col:
+        return df.orderBy(*order_cols).limit(n)
+    w = Window.partitionBy(*by).orderBy(*order_cols)
+    out = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+    return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
 
 
 def first_n(df: DataFrame, order: Sequence, n: int, by: Sequence[str] | None = None,
