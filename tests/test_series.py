@@ -81,7 +81,7 @@ def test_asof_blocked_equals_key(spark, n_ranges):
     assert a.count() == t.count()
 
 
-@pytest.mark.parametrize("n", [1, 37, 777])
+@pytest.mark.parametrize("n", [1, 37, 777, 1500])
 def test_top_rows_blocked_equals_key(spark, skewed, n):
     order = ["timestamp", "trade_id"]
     a = win.first_n(skewed, order, n, layout="key")
