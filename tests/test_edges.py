@@ -216,3 +216,14 @@ def test_null_order_rows_survive_the_blocked_layout(spark):
     b = rows(win.with_ofi(df, 2, keep_step=True, layout="blocked", block_rows=4),
              ["nonce", "ofi_step", "factor_ofi_smooth"])
     assert len(b) == 6 and a == b
+
+
+def test_fill_gaps_with_a_huge_gap_stays_bounded(spark):
+    gaps = spark.createDataFrame([Row(exchange_id="binance", symbol="BTC/USDT", start_id=10, end_id=5_000_000_010),
+                                  Row(exchange_id="binance", symbol="BTC/USDT", start_id=6_000_000_000,
+                                      end_id=6_000_000_002)])
+    bf = _trades(spark, [5, 11, 2_500_000_000, 5_000_000_010, 5_000_000_011, 6_000_000_001])
+    rec, rep = gp.fill_gaps(gaps, bf)
+    assert sorted(r.trade_id for r in rec.collect()) == [11, 2_500_000_000, 5_000_000_010, 6_000_000_001]
+    r = {x.start_id: x for x in rep.collect()}
+    assert r[10].n_recovered == 3 and r[6_000_000_000].n_missing == 2

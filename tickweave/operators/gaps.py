@@ -63,27 +63,44 @@ def close_jobs(active: DataFrame, done: DataFrame) -> DataFrame:
 def _gap_buckets(gaps: DataFrame, by: Sequence[str], bucket: int) -> DataFrame:
     # Each gap becomes one row per id bucket it touches, so the range join below is an
     # equi-join on (instrument, bucket) plus a BETWEEN: a hash join, not a nested loop.
-    b = F.lit(bucket).cast("long")
     return gaps.select(*by, "start_id", "end_id",
-                       F.explode(F.sequence(F.floor(F.col("start_id") / b).cast("long"),
-                                            F.floor(F.col("end_id") / b).cast("long"))).alias("_bkt"))
+                       F.explode(F.sequence(F.expr(f"start_id DIV {int(bucket)}"),
+                                            F.expr(f"end_id DIV {int(bucket)}"))).alias("_bkt"))
+
+
+def _matches(gaps: DataFrame, backfill: DataFrame, by: list[str], id_col: str, bucket: int,
+             coarse: int, how: str) -> DataFrame:
+    """Backfill rows joined to the gaps containing them. Gaps up to ``coarse`` ids wide use
+    ``bucket``-sized id buckets, wider ones ``coarse``-sized buckets, so exploding a gap
+    never yields more than about ``coarse / bucket`` rows, and a bucket never holds more
+    than ``coarse`` ids."""
+    width = F.col("end_id") - F.col("start_id") + F.lit(1)
+    parts = []
+    for size, cond in ((bucket, width <= F.lit(coarse)), (coarse, width > F.lit(coarse))):
+        gb = _gap_buckets(gaps.where(cond), by, size)
+        bf = backfill.withColumn("_bkt", F.expr(f"`{id_col}` DIV {int(size)}"))
+        on = [bf[c] == gb[c] for c in by] + [bf["_bkt"] == gb["_bkt"],
+                                              bf[id_col].between(gb["start_id"], gb["end_id"])]
+        if how == "left_semi":
+            parts.append(bf.join(gb, on, "left_semi").drop("_bkt"))
+        else:
+            parts.append(bf.select(*by, "_bkt", id_col).join(gb, by + ["_bkt"], "inner")
+                         .where(F.col(id_col).between(F.col("start_id"), F.col("end_id")))
+                         .select(*by, "start_id", "end_id", id_col))
+    return parts[0].unionByName(parts[1])
 
 
 def fill_gaps(gaps: DataFrame, backfill: DataFrame, by: Sequence[str] = VENUE_SYMBOL,
-              id_col: str = "trade_id", bucket: int = FILL_BUCKET) -> tuple[DataFrame, DataFrame]:
+              id_col: str = "trade_id", bucket: int = FILL_BUCKET,
+              coarse: int = FILL_BUCKET * 1000) -> tuple[DataFrame, DataFrame]:
     """JON-6: (backfill rows whose id lies inside a gap of the same instrument, per-gap report).
 
     The report has ``n_expected``, ``n_recovered`` and ``n_missing`` ids per gap.
-    Every backfill row is returned at most once (left semi join).
+    Every backfill row is returned at most once (left semi join; gaps do not overlap).
     """
     by = list(by)
-    gb = _gap_buckets(gaps, by, bucket)
-    bf = backfill.withColumn("_bkt", F.floor(F.col(id_col) / F.lit(bucket)).cast("long"))
-    cond = [bf[c] == gb[c] for c in by] + [bf["_bkt"] == gb["_bkt"],
-                                           bf[id_col].between(gb["start_id"], gb["end_id"])]
-    recovered = bf.join(gb, cond, "left_semi").drop("_bkt")
-    hits = (bf.select(*by, "_bkt", id_col).join(gb, by + ["_bkt"], "inner")
-            .where(F.col(id_col).between(F.col("start_id"), F.col("end_id")))
+    recovered = _matches(gaps, backfill, by, id_col, bucket, coarse, "left_semi")
+    hits = (_matches(gaps, backfill, by, id_col, bucket, coarse, "inner")
             .groupBy(*by, "start_id", "end_id").agg(F.count_distinct(id_col).alias("n_recovered")))
     report = (gaps.select(*by, "start_id", "end_id").join(hits, by + ["start_id", "end_id"], "left")
               .withColumn("n_expected", F.col("end_id") - F.col("start_id") + F.lit(1))
