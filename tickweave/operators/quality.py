@@ -179,10 +179,12 @@ def _official_ranges(official: DataFrame, by: Sequence[str], id_col: str) -> Dat
 
 def _local_in_range(official: DataFrame, local: DataFrame, by: Sequence[str], id_col: str,
                     key: Sequence[str]) -> DataFrame:
+    # restrict to the archive's id range first (the id is part of the version key, so this
+    # commutes with the dedup), then resolve versions of only those rows
     rng = _official_ranges(official, by, id_col).select(*by, "_lo", "_hi")
-    dedup = latest_by_key(local, key)
-    return (dedup.join(rng, list(by), "inner")
-            .where(F.col(id_col).between(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi"))
+    inside = (local.join(rng, list(by), "inner")
+              .where(F.col(id_col).between(F.col("_lo"), F.col("_hi"))).select(*local.columns))
+    return latest_by_key(inside, key)
 
 
 def audit(official: DataFrame, local: DataFrame, by: Sequence[str] = VENUE_SYMBOL,
