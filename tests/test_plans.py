@@ -98,8 +98,21 @@ def test_bucketed_local_table_shuffles_only_the_archive(spark, tmp_path):
     try:
         local = spark.table(name)
         miss = q.missing_trades(fx.archive_trades(spark, SF_SMALL), local)
-        p = miss._jdf.queryExecution().executedPlan().toString()
-        assert p.count("Exchange hashpartitioning") == 1
+        lines = miss._jdf.queryExecution().sparkPlan().toString().split("\n")
+        scan = next(i for i, ln in enumerate(lines) if f"default.{name}" in ln)
+        assert "Bucketed: true" in lines[scan]
+
+        def depth(ln):
+            return len(ln) - len(ln.lstrip(" :+-"))
+
+        # walk up from the bucketed scan to the anti join: no exchange on the way
+        d, i, path = depth(lines[scan]), scan, []
+        while i > 0 and "LeftAnti" not in lines[i]:
+            i -= 1
+            if depth(lines[i]) < d:
+                d = depth(lines[i])
+                path.append(lines[i])
+        assert "LeftAnti" in lines[i] and not any("Exchange" in ln for ln in path)
         assert miss.count() == fx.trades(spark, SF_SMALL).where("is_lost").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

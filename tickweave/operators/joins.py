@@ -88,11 +88,11 @@ def incremental_rows(remote: DataFrame, local: DataFrame, by: Sequence[str] = IN
     """JON-5: remote rows with an id above the local high-water mark of their instrument.
 
     Instruments absent locally are not copied. The mark table has one row per instrument;
-    AQE broadcasts it once its measured size is under the broadcast threshold and keeps a
-    shuffle join otherwise.
+    it is broadcast after a count shows it small, and joined by shuffle otherwise.
     """
+    from tickweave.operators.quality import broadcast_if_small
     by = list(by)
-    hwm = local.groupBy(*by).agg(F.max(id_col).alias("_hwm"))
+    hwm = broadcast_if_small(local.groupBy(*by).agg(F.max(id_col).alias("_hwm")))
     return remote.join(hwm, by, "inner").where(F.col(id_col) > F.col("_hwm")).drop("_hwm")
 
 

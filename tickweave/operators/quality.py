@@ -165,11 +165,37 @@ def day_coverage(df: DataFrame, expected: DataFrame, date: str, by: Sequence[str
 
 # ---------------------------------------------------------------- JON-1..3
 
+SMALL_TABLE_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
+    """``broadcast(df)`` when a count shows at most ``max_rows`` rows, else ``df`` unchanged
+    (a shuffle join). For per-instrument tables (id ranges, high-water marks): the count is
+    one small job, and the broadcast never grows with the data it is joined to."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def _id_ranges(official: DataFrame, by: Sequence[str], id_col: str) -> DataFrame:
+    rng = official.groupBy(*by).agg(F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"))
+    return broadcast_if_small(rng)
+
+
+def _within_ranges(local: DataFrame, rng: DataFrame, by: Sequence[str], id_col: str) -> DataFrame:
+    return (local.join(rng, list(by), "inner")
+            .where(F.col(id_col).between(F.col("_lo"), F.col("_hi"))).select(*local.columns))
+
 def missing_trades(official: DataFrame, local: DataFrame, by: Sequence[str] = VENUE_SYMBOL,
                    id_col: str = "trade_id") -> DataFrame:
-    """JON-1: archive rows whose id is absent locally (left anti join on instrument + id)."""
-    keys = list(by) + [id_col]
-    return official.join(local.select(*keys), keys, "left_anti")
+    """JON-1: archive rows whose id is absent locally (left anti join on instrument + id).
+
+    Only local ids inside the archive's id range of the instrument can match, so the local
+    side is restricted to that range first (a join with the tiny per-instrument range table)
+    and a day's archive is never shuffled against the whole history.
+    """
+    by = list(by)
+    keys = by + [id_col]
+    candidates = _within_ranges(local.select(*keys), _id_ranges(official, by, id_col), by, id_col)
+    return official.join(candidates, keys, "left_anti")
 
 
 def _official_ranges(official: DataFrame, by: Sequence[str], id_col: str) -> DataFrame:
@@ -181,9 +207,7 @@ def _local_in_range(official: DataFrame, local: DataFrame, by: Sequence[str], id
                     key: Sequence[str]) -> DataFrame:
     # restrict to the archive's id range first (the id is part of the version key, so this
     # commutes with the dedup), then resolve versions of only those rows
-    rng = _official_ranges(official, by, id_col).select(*by, "_lo", "_hi")
-    inside = (local.join(rng, list(by), "inner")
-              .where(F.col(id_col).between(F.col("_lo"), F.col("_hi"))).select(*local.columns))
+    inside = _within_ranges(local, _id_ranges(official, by, id_col), by, id_col)
     return latest_by_key(inside, key)
 
 
