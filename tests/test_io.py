@@ -44,7 +44,7 @@ def test_raw_lake_roundtrip(spark, tmp_path):
 
 
 def test_export_daily_is_rerun_safe(spark, tmp_path):
-    from tickweave.plans.pipelines import consolidate_books
+    from tickweave.plans.workflows import consolidate_books
     b = consolidate_books(fx.books(spark, SF_SMALL))
     root = str(tmp_path / "processed")
     sinks.export_daily(b, root, "orderbook")

@@ -7,7 +7,7 @@ from tickweave import fixtures as fx
 from tickweave.operators import gaps as gp
 from tickweave.operators import joins as jn
 from tickweave.operators import quality as q
-from tickweave.plans import pipelines as pl
+from tickweave.plans import workflows as pl
 
 DAY = "2024-01-15"
 NOW = 1706745600000

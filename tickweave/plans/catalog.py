@@ -21,7 +21,7 @@ from tickweave.operators import normalize as nm
 from tickweave.operators import quality as q
 from tickweave.operators import research as rs
 from tickweave.operators import windows as win
-from tickweave.plans import pipelines as pl
+from tickweave.plans import workflows as pl
 from tickweave.plans.oracle import BOOK_FACTORS, GAPS, with_ctes
 from tickweave.schemas import INSTRUMENT
 
