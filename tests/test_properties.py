@@ -93,3 +93,27 @@ def test_subset_cutoff_equals_brute_force(spark, n, keep, ratio, block, seed):
         usable = sorted(r[1] for r in rows if r[0] == key and r[2])
         k = int(len(usable) * ratio)
         assert got.get(key) == (usable[k] if k < len(usable) else None)
+
+
+@settings(**SETTINGS)
+@given(n_t=st.integers(1, 60), n_q=st.integers(0, 60), span=st.integers(1, 200), ranges=st.integers(1, 9),
+       seed=st.integers(0, 10_000))
+def test_asof_join_equals_brute_force(spark, n_t, n_q, span, ranges, seed):
+    from tickweave.operators import joins as jn
+    rnd = random.Random(seed)
+    syms = ["A", "B"]
+    trades = [(rnd.choice(syms), rnd.randint(0, span), i) for i in range(n_t)]
+    quotes = [(rnd.choice(syms), rnd.randint(0, span), j) for j in range(n_q)]
+    t = spark.createDataFrame(trades, "symbol string, timestamp long, trade_id long")
+    q = spark.createDataFrame(quotes, "symbol string, timestamp long, nonce long") if quotes else \
+        spark.createDataFrame([], "symbol string, timestamp long, nonce long")
+    want = {}
+    for s, ts, i in trades:
+        cands = [(qts, n) for qs, qts, n in quotes if qs == s and qts <= ts]
+        best = max(cands) if cands else None
+        want[i] = (best[1] if best else None, ts - best[0] if best else None)
+    for layout in ("key", "blocked"):
+        got = {r.trade_id: (r.ob_nonce, r.data_lag_ms) for r in
+               jn.asof_join(t, q, by=["symbol"], right_cols=["nonce"], left_tie=["trade_id"],
+                            layout=layout, n_ranges=ranges).collect()}
+        assert got == want
