@@ -117,3 +117,39 @@ def test_asof_join_equals_brute_force(spark, n_t, n_q, span, ranges, seed):
                jn.asof_join(t, q, by=["symbol"], right_cols=["nonce"], left_tie=["trade_id"],
                             layout=layout, n_ranges=ranges).collect()}
         assert got == want
+
+
+@settings(**SETTINGS)
+@given(n=st.integers(5, 300), drop=st.floats(0.05, 0.7), have=st.floats(0.0, 1.0), bucket=st.integers(2, 40),
+       seed=st.integers(0, 10_000))
+def test_fill_gaps_equals_brute_force(spark, n, drop, have, bucket, seed):
+    rnd = random.Random(seed)
+    kept = sorted({1, n} | {i for i in range(2, n) if rnd.random() >= drop})
+    backfill = sorted(i for i in range(1, n + 1) if rnd.random() < have)
+    local = spark.createDataFrame([("binance", "X", i) for i in kept], "exchange_id string, symbol string, trade_id long")
+    bf = spark.createDataFrame([("binance", "X", i) for i in backfill] or [("binance", "Y", 0)],
+                               "exchange_id string, symbol string, trade_id long")
+    gaps = gp.detect_gaps(local, layout="key")
+    rec, rep = gp.fill_gaps(gaps, bf, bucket=bucket, coarse=bucket * 5)
+    missing = set(range(1, n + 1)) - set(kept)
+    assert sorted(r.trade_id for r in rec.collect()) == sorted(set(backfill) & missing)
+    assert (rep.agg(F.sum("n_missing")).first()[0] or 0) == len(missing - set(backfill))
+
+
+@settings(**SETTINGS)
+@given(n=st.integers(1, 120), block=st.integers(21, 60), seed=st.integers(0, 10_000))
+def test_book_factors_blocked_equals_key_on_random_books(spark, n, block, seed):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        bp = 100 + rnd.randint(-2, 2) * 0.25
+        rows.append(dict(exchange_id="binance", mkt_type="spot", symbol=rnd.choice(["X", "Y"]), nonce=i,
+                         timestamp=rnd.randint(0, 50), local_timestamp=0,
+                         bid_prices=[bp, bp - 0.25], bid_volumes=[float(rnd.randint(0, 5)), 1.0],
+                         ask_prices=[bp + 0.5, bp + 0.75], ask_volumes=[float(rnd.randint(0, 5)), 2.0]))
+    from tickweave.schemas import BOOK
+    df = spark.createDataFrame(rows, BOOK)
+    cols = ["symbol", "nonce", "factor_ofi_smooth", "target_5_tick", "target_20_tick"]
+    a = win.with_book_factors(df, lags=(5, 20), layout="key").select(*cols).collect()
+    b = win.with_book_factors(df, lags=(5, 20), layout="blocked", block_rows=block).select(*cols).collect()
+    assert sorted(map(tuple, a), key=repr) == sorted(map(tuple, b), key=repr)
