@@ -51,3 +51,8 @@ def test_query_matches_oracle(spark, duck, name):
     assert scols == dcols
     assert len(srows) == len(drows)
     assert srows == drows
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema and a.count() == b.count()
