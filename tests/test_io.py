@@ -111,3 +111,18 @@ def test_instrument_matrix_and_metrics(spark):
     assert obs.get["rows"] == t.count()
     named = batch_metrics(t, "b1")
     named.write.format("noop").mode("overwrite").save()
+
+
+def test_many_archive_files_in_one_scan(spark, tmp_path):
+    d = tmp_path / "arch"
+    d.mkdir()
+    (d / "BTCUSDT-trades-2024-01-01.csv").write_text("1,100.0,1.0,100.0,1704067200000000,true,true\n")
+    (d / "ETHUSDT-trades-2024-01-02.csv").write_text("7,50.0,2.0,100.0,1704153600000000,false,true\n")
+    (d / "BTC-USDT-trades-2024-01-01.csv").write_text(
+        "instrument_name,trade_id,side,price,size,created_time\nBTC-USDT,3,sell,99.0,1.0,1704067200500\n")
+    bn = archive.read_binance_archives(spark, str(d / "*USDT-trades-*.csv").replace("*USDT", "[A-Z]*USDT"),
+                                       ["BTC/USDT", "ETH/USDT"], 9)
+    got = {(r.symbol, r.trade_id, r.side) for r in bn.where("symbol IS NOT NULL").collect()}
+    assert got == {("BTC/USDT", 1, "sell"), ("ETH/USDT", 7, "buy")}
+    ok = archive.read_okx_archives(spark, str(d / "*-USDT-trades-*.csv"), 9).collect()
+    assert [(r.symbol, r.trade_id, r.is_taker_buyer) for r in ok] == [("BTC/USDT", 3, False)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.schemas import BINANCE_ARCHIVE, OKX_ARCHIVE
@@ -33,3 +33,41 @@ def read_okx_archive(spark: SparkSession, path: str, symbol: str, load_ms: int)
         "price", F.col("size").alias("amount"), F.col("created_time").alias("timestamp"), "side",
         (F.col("side") == F.lit("buy")).alias("is_taker_buyer"),
         F.lit(int(load_ms)).cast("long").alias("local_timestamp"))
+
+
+def _file_name() -> Column:
+    return F.col("_metadata.file_name")
+
+
+def read_binance_archives(spark: SparkSession, path_glob: str, symbols: list[str], load_ms: int) -> DataFrame:
+    """SRC-6 over many daily files at once (every symbol and day in one scan): the symbol
+    comes from the file name ``<BTCUSDT>-trades-<date>.csv``, mapped back to the unified
+    spelling through ``symbols`` (e.g. ``["BTC/USDT", ...]``); unknown names give NULL."""
+    from tickweave.functions.keys import archive_symbol
+    df = spark.read.csv(path_glob, schema=BINANCE_ARCHIVE, header=False)
+    pairs = []
+    for s in symbols:
+        pairs += [archive_symbol(F.lit(s)), F.lit(s)]
+    unified = F.element_at(F.create_map(*pairs), F.regexp_extract(_file_name(), r"^([A-Za-z0-9]+)-trades-", 1))
+    out = df.select(
+        F.col("trade_id"), F.col("trade_id").cast("string").alias("trade_id_raw"),
+        F.lit("binance").alias("exchange_id"), unified.alias("symbol"), F.lit("spot").alias("mkt_type"),
+        "price", "amount", F.expr("timestamp DIV 1000").alias("timestamp"),
+        F.when(~F.col("is_maker"), F.lit("buy")).otherwise(F.lit("sell")).alias("side"),
+        (~F.col("is_maker")).alias("is_taker_buyer"), F.lit(int(load_ms)).cast("long").alias("local_timestamp"))
+    return out.select(*UNIFIED)
+
+
+def read_okx_archives(spark: SparkSession, path_glob: str, load_ms: int) -> DataFrame:
+    """SRC-7 over many daily files at once: the pair comes from the file name
+    ``<BTC-USDT>-trades-<date>.csv`` and becomes ``BTC/USDT``."""
+    df = spark.read.csv(path_glob, header=True, inferSchema=False)
+    pair = F.regexp_extract(_file_name(), r"^([A-Za-z0-9]+-[A-Za-z0-9]+)-trades-", 1)
+    df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in OKX_ARCHIVE.fields],
+                   F.translate(pair, "-", "/").alias("symbol"))
+    return df.select(
+        F.col("trade_id"), F.col("trade_id").cast("string").alias("trade_id_raw"),
+        F.lit("okx").alias("exchange_id"), "symbol", F.lit("spot").alias("mkt_type"),
+        "price", F.col("size").alias("amount"), F.col("created_time").alias("timestamp"), "side",
+        (F.col("side") == F.lit("buy")).alias("is_taker_buyer"),
+        F.lit(int(load_ms)).cast("long").alias("local_timestamp"))
