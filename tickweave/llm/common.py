@@ -34,6 +34,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one where ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_key() -> F.Column:
     """Tells rows of one doc_id with different texts apart."""
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))

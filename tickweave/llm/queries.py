@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import byte_bpe, token_counts
+from tickweave.llm import byte_bpe, line_dedup, packing, token_counts
 from tickweave.llm.common import documents
 
 
@@ -13,11 +13,21 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text in sequences of at most 2048 tokens."""
+    return packing.with_crc32(packing.pack(documents(spark, sf_dir)))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of every whole text without its repeated lines."""
+    return line_dedup.line_digests(documents(spark, sf_dir))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids and decoded bytes of every whole text, as digests."""
     return byte_bpe.encode_documents(documents(spark, sf_dir), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op8_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_packing, op4_token_counts, op5_line_dedup, op8_byte_bpe)}
 #: None of these can be written in SQL as it stands, unless listed here.
 ORACLE: dict[str, str] = {}
