@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import byte_bpe, line_dedup, packing, token_counts
+from tickweave.llm import byte_bpe, language_id, line_dedup, packing, token_counts
 from tickweave.llm.common import documents
 
 
@@ -13,6 +13,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every whole text, learned from the documents not held out."""
+    return language_id.identify(documents(spark, sf_dir))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text in sequences of at most 2048 tokens."""
     return packing.with_crc32(packing.pack(documents(spark, sf_dir)))
@@ -28,6 +33,6 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(documents(spark, sf_dir), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_token_counts, op5_line_dedup, op8_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_token_counts, op5_line_dedup, op8_byte_bpe)}
 #: None of these can be written in SQL as it stands, unless listed here.
 ORACLE: dict[str, str] = {}
