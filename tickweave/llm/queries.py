@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import byte_bpe, language_id, line_dedup, packing, token_counts
+from tickweave.llm import byte_bpe, language_id, line_dedup, ngram_join, packing, token_counts
 from tickweave.llm.common import documents
 
 
@@ -33,6 +33,42 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(documents(spark, sf_dir), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_token_counts, op5_line_dedup, op8_byte_bpe)}
-#: None of these can be written in SQL as it stands, unless listed here.
-ORACLE: dict[str, str] = {}
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets have Jaccard 0.85 or more."""
+    return ngram_join.link(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_token_counts, op5_line_dedup, op8_byte_bpe, op9_ngram_join)}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: The others learn from the text, follow a tokenizer or search approximately; their tests
+#: hold them against plain rules, the libraries, held-out accuracy and brute force.
+ORACLE = {
+    "op5_line_dedup": f"""
+        WITH lines AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   unnest(string_split({_LOWER}, chr(10))) AS low,
+                   unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+            FROM documents),
+        keyed AS (SELECT doc_id, pos, line, trim(low, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM lines),
+        heavy AS (SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        marked AS (SELECT k.*, h.key IS NOT NULL AND h.top <> k.doc_id AS gone FROM keyed k LEFT JOIN heavy h ON k.key = h.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
+    "op9_ngram_join": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[ \t\n\x0b\x0c\r]+'), x -> x <> '') AS words FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                   ELSE list_distinct([array_to_string(words[i:i + 3], ' ') FOR i IN range(1, len(words) - 2)]) END AS set
+            FROM w),
+        g AS (SELECT doc_id, len(set) AS n, unnest(set) AS gram FROM s),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (max(a.n) + max(b.n) - count(*))),
+        reach AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a)
+        SELECT s.doc_id, len(s.set) AS n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS component_id
+        FROM s LEFT JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.set""",
+}
