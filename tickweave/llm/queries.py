@@ -59,7 +59,7 @@ ORACLE = {
         FROM marked GROUP BY doc_id""",
     "op9_ngram_join": f"""
         WITH RECURSIVE w AS (
-            SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[ \t\n\x0b\x0c\r]+'), x -> x <> '') AS words FROM documents),
+            SELECT doc_id, [x FOR x IN regexp_split_to_array({_LOWER}, '[ \t\n\x0b\x0c\r]+') IF x <> ''] AS words FROM documents),
         s AS (
             SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
                    ELSE list_distinct([array_to_string(words[i:i + 3], ' ') FOR i IN range(1, len(words) - 2)]) END AS set
