@@ -243,8 +243,8 @@ def identify(docs: DataFrame, sample_docs: int = 4000) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5, sample_docs: int = 4000) -> DataFrame:
-    """The rows of ``docs`` with a language: not ``und``, and likelier than not. All columns
-    stay as they are."""
+    """The rows of ``docs`` with a language: not ``und``, and likelier than not. Where no
+    language could be learned, the rows with a letter stay. All columns stay as they are."""
     model = train(docs, sample_docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -259,7 +259,10 @@ def keep_identified(docs: DataFrame, min_score: float = 0.5, sample_docs: int =
             held.append(t or "")
             if i + 1 == len(texts) or sum(map(len, held)) >= 1 << 21 or len(held) == 1000:
                 names, score = shared.value.predict(held)
-                out += [n != "und" and s >= min_score for n, s in zip(names, score)]
+                if shared.value.languages:
+                    out += [n != "und" and s >= min_score for n, s in zip(names, score)]
+                else:
+                    out += [has_letter(x) for x in held]
                 held = []
         return pd.Series(out, dtype=bool)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.llm import byte_bpe, language_id, line_dedup, ngram_join, packing, token_counts
+from tickweave.llm import byte_bpe, language_id, line_dedup, ngram_join, order_minhash, packing, token_counts
 from tickweave.llm.common import documents
 
 
@@ -38,7 +38,12 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_token_counts, op5_line_dedup, op8_byte_bpe, op9_ngram_join)}
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash of every whole text and of its edited text."""
+    return order_minhash.edit_digests(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_token_counts, op5_line_dedup, op8_byte_bpe, op9_ngram_join, op10_order_minhash)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
