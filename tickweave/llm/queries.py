@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickweave.llm import byte_bpe, language_id, line_dedup, ngram_join, order_minhash, packing, token_counts
+from tickweave.llm import byte_bpe, language_id, line_dedup, nearest, ngram_join, order_minhash, packing, token_counts
 from tickweave.llm.common import documents
 
 
@@ -28,6 +29,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(documents(spark, sf_dir))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows by cosine of every fiftieth vector."""
+    return nearest.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids and decoded bytes of every whole text, as digests."""
     return byte_bpe.encode_documents(documents(spark, sf_dir), with_ids=False)
@@ -43,7 +49,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edit_digests(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_token_counts, op5_line_dedup, op8_byte_bpe, op9_ngram_join, op10_order_minhash)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_token_counts, op5_line_dedup, op6_nearest, op8_byte_bpe, op9_ngram_join, op10_order_minhash)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
