@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import byte_bpe, language_id, line_dedup, nearest, ngram_join, order_minhash, packing, token_counts
+from tickweave.llm import byte_bpe, language_id, line_dedup, nearest, ngram_join, order_minhash, packing, token_counts, tool_calls
 from tickweave.llm.common import documents
 
 
@@ -34,6 +34,12 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
 
 
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tool calls and results derived from all conversations, linked, ordered and checked."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return tool_calls.link_tool_calls(*tool_calls.calls_of_conversations(spark, turns))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids and decoded bytes of every whole text, as digests."""
     return byte_bpe.encode_documents(documents(spark, sf_dir), with_ids=False)
@@ -49,7 +55,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edit_digests(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_token_counts, op5_line_dedup, op6_nearest, op8_byte_bpe, op9_ngram_join, op10_order_minhash)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_token_counts, op5_line_dedup, op6_nearest, op7_tool_calls, op8_byte_bpe, op9_ngram_join, op10_order_minhash)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
