@@ -59,8 +59,14 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words ([^\\x20\\x09-\\x0D]+, A-Z lower-cased), and words of each text."""
+    return words_of(texts)[:2]
+
+
+def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """``word_hashes``, and where each word begins and ends in the lower-cased bytes."""
     raw = [t.encode("utf-8", "surrogatepass").lower() for t in texts]
-    data = np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)
+    joined = b" " + b" ".join(raw) + b" "
+    data = np.frombuffer(joined, np.uint8)
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     begin, end = edge[::2], edge[1::2]
@@ -68,7 +74,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     total = np.cumsum((data.astype(np.uint64) + _U(1)) * up[:len(data)])
     h = (total[end - 1] - total[begin - 1]) * down[begin]
     start = np.cumsum([1] + [len(b) + 1 for b in raw])
-    return mix(h ^ (end - begin).astype(np.uint64) * _U(0xD6E8FEB86659FD93)), np.diff(np.searchsorted(begin, start))
+    return mix(h ^ (end - begin).astype(np.uint64) * _U(0xD6E8FEB86659FD93)), np.diff(np.searchsorted(begin, start)), begin, end, joined
 
 
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:

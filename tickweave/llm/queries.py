@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import byte_bpe, language_id, line_dedup, nearest, ngram_join, order_minhash, packing, token_counts, tool_calls
+from tickweave.llm import attention_lm, byte_bpe, language_id, line_dedup, nearest, ngram_join, order_minhash, packing, token_counts, tool_calls
 from tickweave.llm.common import documents
 
 
@@ -19,6 +19,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
 
 
+def op2_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Self-attention and unigram scores of every whole text."""
+    return attention_lm.score(documents(spark, sf_dir))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text in sequences of at most 2048 tokens."""
     return packing.with_crc32(packing.pack(documents(spark, sf_dir)))
@@ -55,7 +60,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edit_digests(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_packing, op4_token_counts, op5_line_dedup, op6_nearest, op7_tool_calls, op8_byte_bpe, op9_ngram_join, op10_order_minhash)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_attention_lm, op3_packing, op4_token_counts, op5_line_dedup, op6_nearest, op7_tool_calls, op8_byte_bpe, op9_ngram_join, op10_order_minhash)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
