@@ -16,7 +16,10 @@ a window that no tail is left for isn't made; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,48 +29,63 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickweave.llm.byte_bpe import cut
+from tickweave.llm.byte_bpe import cut, read_ranks
 from tickweave.llm.common import blocks, store
 
-REMEMBERED = 400_000
+REMEMBERED = 700_000
+#: Characters that every Unicode version classes alike.
+_PLAIN = re.compile("[\t\n\r -~¡-ɏ]*")
 #: Rows that one cell of the rank count holds at most, about.
 CELL_ROWS = 50_000
 
 
+if sys.byteorder != "little":
+    raise ImportError("ids are held as little-endian 16-bit numbers")
+
+
 class Ids:
-    """Token ids of whole texts; the tokenizer sees each distinct part of a block once."""
+    """Token ids of whole texts as the tokenizers file gives them; each distinct part of a
+    block is tokenised once. ``ranks``, the same vocabulary as a rank file, serves plain
+    parts, which is several times as fast; all others go through the file's own tokenizer."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str | None):
+        import tiktoken
+        import public_tokenizers
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         if self._tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("ids are held in 16 bits")
-        self._seen: dict[str, bytes] = {}
+        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._fast = ranks and tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(ranks), special_tokens={})._core_bpe.encode_ordinary
+        self._part: dict[str, bytes] = {}
+        self._head: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        for lo in range(0, len(words), 20_000):
-            part = words[lo:lo + 20_000]
-            for w, e in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self._seen[w] = np.array(e.ids, "<u2").tobytes()
+    def _encode(self, text: str, special: list[str]) -> bytes:
+        if self._fast and _PLAIN.fullmatch(text) and not (special and any(x in text for x in special)):
+            return array("H", self._fast(text)).tobytes()
+        return array("H", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self._seen) > REMEMBERED:
-            self._seen.clear()
-        out, split = [], []
-        for t in texts:
-            head, *rest = cut(t)
-            split.append([head, *[" " + x for x in rest]])
-        self._learn(list(set().union(*split) - self._seen.keys()))
-        get = self._seen.__getitem__
-        for parts in split:
-            out.append(b"".join(map(get, parts)))
-        return out
+        if len(self._part) > REMEMBERED:
+            self._part.clear(), self._head.clear()
+        split = [cut(t) for t in texts]
+        parts = set()
+        for s in split:
+            parts.update(s[1:])
+        special = [x for x in self._special if any(x in t for t in texts)]
+        for x in parts - self._part.keys():
+            self._part[x] = self._encode(" " + x, special)
+        for x in {s[0] for s in split} - self._head.keys():
+            self._head[x] = self._encode(x, special)
+        get = self._part.__getitem__
+        return [self._head[s[0]] + b"".join(map(get, s[1:])) for s in split]
 
 
 @lru_cache(maxsize=2)
-def _ids(path: str) -> Ids:
-    return Ids(path)
+def _ids(path: str, ranks: str | None) -> Ids:
+    return Ids(path, ranks)
 
 
 def _pieces(docs: DataFrame, path: str | None, end_id: int, window: int) -> DataFrame:
@@ -76,7 +94,7 @@ def _pieces(docs: DataFrame, path: str | None, end_id: int, window: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        ids = _ids(path or public_tokenizers.path("byte_bpe_50k.json"))
+        ids = _ids(path, None) if path else _ids(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
         rid = TaskContext.get().partitionId() << 33
         end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
