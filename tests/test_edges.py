@@ -124,9 +124,9 @@ def test_asof_tie_and_no_quote(spark):
                                for i, t in enumerate([5, 10, 20])])
     qt = spark.createDataFrame([Row(exchange_id="binance", symbol="X", timestamp=10, nonce=n, px=float(n))
                                 for n in (1, 2)])
-    for layout in ("key", None):
+    for layout in ("key", "blocked"):
         out = {r.trade_id: r for r in jn.asof_join(t, qt, right_cols=["px"], left_tie=["trade_id"],
-                                                   layout=layout, n_ranges=3).collect()}
+                                                   layout=layout).collect()}
         assert out[0].ob_px is None and out[0].data_lag_ms is None       # no earlier quote
         assert out[1].ob_px == 2.0 and out[1].data_lag_ms == 0           # equal time counts, latest nonce
         assert out[2].ob_px == 2.0 and out[2].data_lag_ms == 10

@@ -115,7 +115,7 @@ def test_asof_join_equals_brute_force(spark, n_t, n_q, span, ranges, seed):
     for layout in ("key", "blocked"):
         got = {r.trade_id: (r.ob_nonce, r.data_lag_ms) for r in
                jn.asof_join(t, q, by=["symbol"], right_cols=["nonce"], left_tie=["trade_id"],
-                            layout=layout, n_ranges=ranges).collect()}
+                            layout=layout, bin_ms=ranges * 7).collect()}
         assert got == want
 
 
@@ -153,3 +153,27 @@ def test_book_factors_blocked_equals_key_on_random_books(spark, n, block, seed):
     a = win.with_book_factors(df, lags=(5, 20), layout="key").select(*cols).collect()
     b = win.with_book_factors(df, lags=(5, 20), layout="blocked", block_rows=block).select(*cols).collect()
     assert sorted(map(tuple, a), key=repr) == sorted(map(tuple, b), key=repr)
+
+
+@settings(**SETTINGS)
+@given(n=st.integers(1, 80), span=st.integers(1, 30), block=st.integers(5, 40), width=st.integers(1, 12), seed=st.integers(0, 10_000))
+def test_layouts_agree_on_duplicates(spark, n, span, block, width, seed):
+    """Rows that share key and order, some of them equal in every column, keep their number
+    and values on both layouts."""
+    from tickweave.operators import series
+    from tickweave.operators import windows as win
+    rnd = random.Random(seed)
+    rows = [(rnd.choice(["A", "B", None]), rnd.choice([None, rnd.randint(0, span)]), float(rnd.randint(0, 3))) for _ in range(n)]
+    rows += rows[: n // 3]
+    df = spark.createDataFrame(rows, "symbol string, trade_id long, price double")
+
+    def out(layout):
+        x = win.with_ma_price(df, 4, ["symbol"], ["trade_id"], layout=layout, block_rows=block, keep_index=("i", "c"))
+        return sorted(map(tuple, x.collect()), key=str)
+
+    assert out("key") == out("blocked") and len(out("key")) == len(rows)
+    idx = series.dense_index(df, ["symbol"], ["trade_id"], count_col="c", bin_width=width).collect()
+    for s in {r.symbol for r in idx}:
+        own = [r for r in idx if r.symbol == s]
+        assert sorted(r._idx for r in own) == list(range(len(own))) and {r.c for r in own} == {len(own)}
+        assert [r.trade_id for r in sorted(own, key=lambda r: r._idx)] == sorted((r.trade_id for r in own), key=lambda v: (v is not None, v or 0))

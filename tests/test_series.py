@@ -30,16 +30,15 @@ def test_ma_price_blocked_equals_key(spark, skewed, block):
 
 
 def test_dense_index_is_exact(spark, skewed):
-    x = series.dense_index(skewed, ["exchange_id", "symbol"], ["trade_id"], count_col="n", n_ranges=13)
+    x = series.dense_index(skewed, ["exchange_id", "symbol"], ["trade_id"], count_col="n", bin_width=13)
     bad = x.groupBy("exchange_id", "symbol").agg(F.min("_idx").alias("lo"), F.max("_idx").alias("hi"),
                                                   F.count("*").alias("c"), F.countDistinct("_idx").alias("d"),
                                                   F.first("n").alias("n"))
     for r in bad.collect():
         assert r.lo == 0 and r.hi == r.c - 1 and r.d == r.c == r.n
-    # a hot key spans several ranges
-    r = series.ranged(skewed, ["exchange_id", "symbol"], ["trade_id"], 13)
-    hot_ranges = r.where("symbol = 'BTC/USDT'").select("_rng").distinct().count()
-    assert hot_ranges > 5
+    # a hot key spans many bins
+    hot = skewed.withColumn("_bin", series.bin_of(skewed, "trade_id", 13)).where("symbol = 'BTC/USDT'")
+    assert hot.select("_bin").distinct().count() > 5
 
 
 def test_book_factors_blocked_equals_key(spark):
@@ -71,12 +70,12 @@ def test_positional_split_blocked_equals_key(spark):
     assert rows(a, ["nonce", "symbol", "is_train"]) == rows(c, ["nonce", "symbol", "is_train"])
 
 
-@pytest.mark.parametrize("n_ranges", [3, 8, 29])
-def test_asof_blocked_equals_key(spark, n_ranges):
+@pytest.mark.parametrize("bin_ms", [50, 3000, 10**9])
+def test_asof_blocked_equals_key(spark, bin_ms):
     t = fx.archive_trades(spark, SF_MID).select("exchange_id", "symbol", "timestamp", "trade_id", "price")
     q = fx.quotes(spark, SF_MID).select("exchange_id", "symbol", "timestamp", "nonce")
     a = jn.asof_join(t, q, right_cols=["nonce"], left_tie=["trade_id"], layout="key")
-    b = jn.asof_join(t, q, right_cols=["nonce"], left_tie=["trade_id"], n_ranges=n_ranges)
+    b = jn.asof_join(t, q, right_cols=["nonce"], left_tie=["trade_id"], bin_ms=bin_ms, layout='blocked')
     assert rows(a) == rows(b)
     assert a.count() == t.count()
 

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 # fixed values: symbol by event_id % 4, exchange by (event_id div 4) % 2
 SYMBOLS = ["BTC/USDT", "ETH/USDT", "SOL/USDT", "PEPE/USDT"]
 EXCHANGES = ["binance", "okx"]
-# fixed values: the stored BTC/USDT weight record
-W_VAMP = 0.7718863311984836
-W_OFI = 0.8143071892929232
-INTERCEPT = -0.0039007099336663287
+# a stored weight record (invented numbers)
+W_VAMP = 0.8125
+W_OFI = 0.75
+INTERCEPT = -0.00390625
 BEST_LAG = 100
 
 # epoch milliseconds of the TIMESTAMP_NTZ column ``ts``, truncated, built from calendar
@@ -113,22 +113,48 @@ def books(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Books for the as-of join: some removed so that some trades find no or stale quotes."""
-    return books(spark, sf_dir).where((F.col("nonce") > 3) & (F.col("nonce") % 5 != 0))
+    """All books, as quotes for the as-of join: some come later, so that some trades find a
+    stale quote and the first ones of an instrument find none."""
+    late = F.when(F.col("nonce") <= 3, F.lit(7200_000)).when(F.col("nonce") % 5 == 0, F.lit(150)).otherwise(F.lit(0))
+    return books(spark, sf_dir).withColumn("timestamp", F.col("timestamp") + late)
 
 
 def replication_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """remote = all trades; local = trades with id <= 100, PEPE/USDT left out."""
+    """remote = all trades; local = the older half of each instrument, PEPE/USDT left out."""
     remote = archive_trades(spark, sf_dir)
-    local = remote.where((F.col("trade_id") <= 100) & (F.col("symbol") != "PEPE/USDT"))
+    top = remote.groupBy("exchange_id", "symbol").agg(F.max("trade_id").alias("top"))
+    local = remote.where(F.col("symbol") != "PEPE/USDT").join(top, ["exchange_id", "symbol"]) \
+        .where(F.col("trade_id") * 2 <= F.col("top")).select(*remote.columns)
     return remote, local
 
 
+def audited_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versioned local table, without holes for BTC/USDT."""
+    whole = trades(spark, sf_dir).where(F.col("is_lost") & (F.col("symbol") == "BTC/USDT")).drop("is_lost")
+    return versioned_trades(spark, sf_dir).unionByName(whole)
+
+
+def patch_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(archive, local): every 500th archive price is negated, and every third lost trade is
+    held locally under the day before."""
+    bad = F.when(F.col("trade_id") % 500 == 0, -F.col("price")).otherwise(F.col("price"))
+    moved = trades(spark, sf_dir).where(F.col("is_lost") & (F.col("trade_id") % 3 == 0)).drop("is_lost") \
+        .withColumn("timestamp", F.col("timestamp") - F.lit(86_400_000))
+    return archive_trades(spark, sf_dir).withColumn("price", bad), versioned_trades(spark, sf_dir).unionByName(moved)
+
+
+def versioned_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All books, and of every fourth a second, later version with the same time and nonce."""
+    b = books(spark, sf_dir)
+    return b.unionByName(b.where(F.col("nonce") % 4 == 0).withColumn("local_timestamp", F.col("local_timestamp") + F.lit(1000)))
+
+
 def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored weight record, one row per symbol seen in the data."""
-    syms = archive_trades(spark, sf_dir).select("symbol").distinct()
-    return syms.select(
-        "symbol",
+    """The stored weight record of every instrument seen in the data but one."""
+    known = archive_trades(spark, sf_dir).select("exchange_id", "mkt_type", "symbol").distinct() \
+        .where((F.col("exchange_id") != "okx") | (F.col("symbol") != "PEPE/USDT"))
+    return known.select(
+        "exchange_id", "mkt_type", "symbol",
         F.lit(W_VAMP).alias("w_vamp"),
         F.lit(W_OFI).alias("w_ofi"),
         F.lit(INTERCEPT).alias("intercept"),

@@ -18,11 +18,12 @@ def combined_alpha(w_vamp="w_vamp", w_ofi="w_ofi", intercept="intercept",
 
 
 def trade_signal(score="combined_alpha", threshold: float = 0.05) -> Column:
-    """FEA-14: 'buy' above +threshold, 'sell' below -threshold, else 'none' (strict)."""
+    """FEA-14: 'buy' above +threshold, 'sell' below -threshold, else 'none' (strict); a NULL
+    score has no signal (NULL), in batch and stream."""
     s = _c(score)
     return (F.when(s > F.lit(threshold), F.lit("buy"))
             .when(s < F.lit(-threshold), F.lit("sell"))
-            .otherwise(F.lit("none")))
+            .when(s.isNotNull(), F.lit("none")))
 
 
 def blend(old, new, alpha: float = 0.2) -> Column:

@@ -16,32 +16,23 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] = VENUE_SYMBO
               right_cols: Sequence[str] | None = None, prefix: str = "ob_",
               left_tie: Sequence[str] = (), right_tie: Sequence[str] = ("nonce",),
               lag_col: str = "data_lag_ms", layout: str | None = None,
-              n_ranges: int | None = None) -> DataFrame:
+              bin_ms: int = series.DEFAULT_BIN_MS) -> DataFrame:
     """JON-4: as-of LEFT join: each left row gets the latest right row of the same ``by``
     with ``right_ts <= left_ts`` (ties on time: right rows count as earlier; among equal
-    right times the greatest ``right_tie`` wins), plus ``lag_col = left_ts - right_ts``.
+    right times the greatest ``right_tie`` wins, then a hash of the row), plus
+    ``lag_col = left_ts - right_ts``. Every left row comes out exactly once.
 
     Both sides are unioned into one time line and the last right row is carried forward.
-    Blocked layout: the time line is cut into balanced ranges (a hot instrument spans
-    many); inside a range a running ``last(ignoreNulls)`` finds the quote, and rows that
-    start a range before any quote take the carry of earlier ranges from a small
-    (range, key) table. ``layout='key'`` uses one running window per instrument.
-    Right columns come back prefixed with ``prefix``. With ``left_tie`` given, (by, left_ts,
-    left_tie) must identify a left row; the blocked layout then moves only that identity
-    and joins the left columns back once.
+    Blocked layout: the time line is cut into bins of ``bin_ms``. The last right row of each
+    (by, bin) is one partial aggregate; carried forward over the bins it enters each bin that
+    has left rows as one more right row, so a window over (by, bin) finds every match: one
+    shuffle of each side and no join. ``layout='key'`` uses one window per instrument.
+    Right columns come back prefixed with ``prefix``.
     """
     by = list(by)
+    right = right.where(F.col(right_ts).isNotNull())  # a quote without a time is before no trade
     rcols = list(right_cols) if right_cols is not None else [c for c in right.columns if c not in by]
     lt, rt = list(left_tie), list(right_tie)
-    ident = list(dict.fromkeys([*by, left_ts, *lt]))
-    if lt and set(left.columns) - set(ident) and series.layout(left, layout) != "key":
-        # Wide left rows: only their identity (key, time, tie; unique by contract) travels
-        # through the range shuffle; the left columns are joined back to the matches.
-        m = asof_join(left.select(*ident), right, by, left_ts, right_ts, rcols, prefix, lt, rt, lag_col,
-                      "blocked", n_ranges)
-        new_cols = [c for c in m.columns if c not in ident]
-        return series.join_back(left, m, ident, new_cols)
-    lcols = left.columns
     ties = [f"_t{i}" for i in range(max(len(lt), len(rt)))]
 
     def tie_vals(cols: list[str]) -> list:
@@ -49,34 +40,31 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str] = VENUE_SYMBO
                 for i, t in enumerate(ties)]
 
     # one time line: left rows carry their columns in _l, right rows theirs in _r
-    l_struct = F.struct(*lcols)
+    l_struct = F.struct(*left.columns)
     r_struct = F.struct(*[F.col(c).alias(prefix + c) for c in rcols], F.col(right_ts).alias("_rts"))
-    L = left.select(*by, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"), *tie_vals(lt),
-                    l_struct.alias("_l"), F.lit(None).cast(_struct_type(right, r_struct)).alias("_r"))
-    R = right.select(*by, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), *tie_vals(rt),
-                     F.lit(None).cast(_struct_type(left, l_struct)).alias("_l"), r_struct.alias("_r"))
-    u = L.unionByName(R)
-    order = ["_ts", "_side", *ties]
-
-    if series.layout(u, layout) == "key":
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        m = u.withColumn("_q", F.last("_r", ignorenulls=True).over(w))
+    l_none, r_none = (F.lit(None).cast(_struct_type(df, x)) for df, x in ((left, l_struct), (right, r_struct)))
+    L = left.select(*by, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"), *tie_vals(lt), series.tie_break(left).alias("_tie"),
+                    l_struct.alias("_l"), r_none.alias("_r"))
+    R = right.select(*by, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), *tie_vals(rt), series.tie_break(right).alias("_tie"),
+                     l_none.alias("_l"), r_struct.alias("_r"))
+    order = ["_ts", "_side", *ties, "_tie"]
+    if series.layout(L.unionByName(R), layout) == "key":
+        u, group = L.unionByName(R), by
     else:
-        r = series.ranged(u, by, order, n_ranges)
-        w = Window.partitionBy(*by, "_rng").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-        inner = r.withColumn("_q", F.last("_r", ignorenulls=True).over(w))
-        last_in_rng = (r.where(F.col("_side") == 0).groupBy(*by, "_rng")
-                       .agg(F.max_by("_r", "_pos").alias("_lastq")))
-        w_prev = Window.partitionBy(*by).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-        carry = (r.select(*by, "_rng").distinct().join(last_in_rng, by + ["_rng"], "left")
-                 .withColumn("_carry", F.last("_lastq", ignorenulls=True).over(w_prev))
-                 .select(*by, "_rng", "_carry"))
-        m = (inner.where(F.col("_side") == 1).join(carry, by + ["_rng"], "left")
-             .withColumn("_q", F.coalesce("_q", "_carry")))
-    m = m.where(F.col("_side") == 1)
-    out = m.select("_l.*", *[F.col("_q." + prefix + c).alias(prefix + c) for c in rcols],
-                   (F.col("_ts") - F.col("_q._rts")).alias(lag_col))
-    return out
+        group = [*by, "_bin"]
+        cut = series.bin_of(L, "_ts", bin_ms)
+        L, R = L.withColumn("_bin", cut), R.withColumn("_bin", cut)
+        last = R.groupBy(*group).agg(F.max_by(F.struct("_ts", "_side", *ties, "_tie", "_r"), F.struct(*order)).alias("_last"))
+        bins = last.unionByName(L.select(*group).distinct(), allowMissingColumns=True).groupBy(*group).agg(
+            F.first("_last", ignorenulls=True).alias("_last"), F.max(F.col("_last").isNull()).alias("_asked"))
+        earlier = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+        carried = bins.withColumn("_last", F.last("_last", ignorenulls=True).over(earlier)).where("_asked and _last is not null") \
+            .select(*group, "_last.*", l_none.alias("_l"))
+        u = L.unionByName(R).unionByName(carried)
+    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    m = u.withColumn("_q", F.last("_r", ignorenulls=True).over(w)).where(F.col("_side") == 1)
+    return m.select("_l.*", *[F.col("_q." + prefix + c).alias(prefix + c) for c in rcols],
+                    (F.col("_ts") - F.col("_q._rts")).alias(lag_col))
 
 
 def _struct_type(df: DataFrame, struct_col):
@@ -88,11 +76,10 @@ def incremental_rows(remote: DataFrame, local: DataFrame, by: Sequence[str] = IN
     """JON-5: remote rows with an id above the local high-water mark of their instrument.
 
     Instruments absent locally are not copied. The mark table has one row per instrument;
-    it is broadcast after a count shows it small, and joined by shuffle otherwise.
+    the join takes whatever form its measured size allows.
     """
-    from tickweave.operators.quality import broadcast_if_small
     by = list(by)
-    hwm = broadcast_if_small(local.groupBy(*by).agg(F.max(id_col).alias("_hwm")))
+    hwm = local.groupBy(*by).agg(F.max(id_col).alias("_hwm"))
     return remote.join(hwm, by, "inner").where(F.col(id_col) > F.col("_hwm")).drop("_hwm")
 
 

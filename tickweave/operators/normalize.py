@@ -56,8 +56,10 @@ def normalize_trades(df: DataFrame, now_ms: int | None = None) -> tuple[DataFram
         F.coalesce(F.nullif(F.col("timestamp").cast("long"), F.lit(0).cast("long")), now).alias("timestamp"),
         now.alias("local_timestamp"),
     )
-    reason = (F.when(F.col("is_taker_buyer").isNull(), F.lit("unknown exchange"))
-              .when(F.col("trade_id").isNull(), F.lit("bad id")))
+    known = F.coalesce(F.lower(F.col("exchange_id")).isin("binance", "okx"), F.lit(False))
+    reason = (F.when(~known, F.lit("unknown exchange"))
+              .when(F.col("trade_id").isNull(), F.lit("bad id"))
+              .when(F.col("is_taker_buyer").isNull(), F.lit("no side")))
     x = x.withColumn("_reason", reason)
     good = x.where(F.col("_reason").isNull()).drop("_reason")
     bad = x.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")

@@ -88,7 +88,7 @@ def validate_trades(df: DataFrame, by: Sequence[str] = INSTRUMENT, max_range: fl
                     strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """FLT-4: (rows with a non-null price <= 0, report per group).
 
-    The report holds row and error counts, min/max price, the range ratio
+    The report holds row and error counts, min/max of the good prices (> 0), the range ratio
     ``(max - min) / min`` and ``warn`` when it is strictly above ``max_range``.
     ``strict=True`` runs one small action and raises when any price is bad.
     """
@@ -97,10 +97,9 @@ def validate_trades(df: DataFrame, by: Sequence[str] = INSTRUMENT, max_range: fl
     report = (df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count(F.when(p <= F.lit(0.0), F.lit(1))).alias("n_bad_price"),
-        F.min(p).alias("min_price"),
-        F.max(p).alias("max_price"))
-        .withColumn("range_ratio", (F.col("max_price") - F.col("min_price"))
-                    / F.nullif(F.col("min_price"), F.lit(0.0)))
+        F.min(F.when(p > F.lit(0.0), p)).alias("min_price"),
+        F.max(F.when(p > F.lit(0.0), p)).alias("max_price"))
+        .withColumn("range_ratio", (F.col("max_price") - F.col("min_price")) / F.col("min_price"))
         .withColumn("warn", F.coalesce(F.col("range_ratio") > F.lit(max_range), F.lit(False))))
     if strict and not bad.isEmpty():
         raise ValueError("abnormal price data detected (price <= 0)")
@@ -165,65 +164,35 @@ def day_coverage(df: DataFrame, expected: DataFrame, date: str, by: Sequence[str
 
 # ---------------------------------------------------------------- JON-1..3
 
-SMALL_TABLE_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """``broadcast(df)`` when a count shows at most ``max_rows`` rows, else ``df`` unchanged
-    (a shuffle join). For per-instrument tables (id ranges, high-water marks): the count is
-    one small job, and the broadcast never grows with the data it is joined to."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def missing_trades(official: DataFrame, local: DataFrame, by: Sequence[str] = VENUE_SYMBOL,
+                   id_col: str = "trade_id") -> DataFrame:
+    """JON-1: archive rows whose id is absent locally (left anti join on instrument + id)."""
+    keys = [*by, id_col]
+    return official.join(local.select(*keys), keys, "left_anti")
 
 
-def _id_ranges(official: DataFrame, by: Sequence[str], id_col: str) -> DataFrame:
+def _within_archive(official: DataFrame, local: DataFrame, by: Sequence[str], id_col: str) -> DataFrame:
+    """Local rows inside the archive's id range of their instrument."""
     rng = official.groupBy(*by).agg(F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"))
-    return broadcast_if_small(rng)
-
-
-def _within_ranges(local: DataFrame, rng: DataFrame, by: Sequence[str], id_col: str) -> DataFrame:
     return (local.join(rng, list(by), "inner")
             .where(F.col(id_col).between(F.col("_lo"), F.col("_hi"))).select(*local.columns))
 
-def missing_trades(official: DataFrame, local: DataFrame, by: Sequence[str] = VENUE_SYMBOL,
-                   id_col: str = "trade_id") -> DataFrame:
-    """JON-1: archive rows whose id is absent locally (left anti join on instrument + id).
-
-    Only local ids inside the archive's id range of the instrument can match, so the local
-    side is restricted to that range first (a join with the tiny per-instrument range table)
-    and a day's archive is never shuffled against the whole history.
-    """
-    by = list(by)
-    keys = by + [id_col]
-    candidates = _within_ranges(local.select(*keys), _id_ranges(official, by, id_col), by, id_col)
-    return official.join(candidates, keys, "left_anti")
-
-
-def _official_ranges(official: DataFrame, by: Sequence[str], id_col: str) -> DataFrame:
-    return official.groupBy(*by).agg(F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"),
-                                     F.count(F.lit(1)).alias("n_official"))
-
-
-def _local_in_range(official: DataFrame, local: DataFrame, by: Sequence[str], id_col: str,
-                    key: Sequence[str]) -> DataFrame:
-    # restrict to the archive's id range first (the id is part of the version key, so this
-    # commutes with the dedup), then resolve versions of only those rows
-    inside = _within_ranges(local, _id_ranges(official, by, id_col), by, id_col)
-    return latest_by_key(inside, key)
-
 
 def audit(official: DataFrame, local: DataFrame, by: Sequence[str] = VENUE_SYMBOL,
           id_col: str = "trade_id", key: Sequence[str] = TRADE_KEY) -> DataFrame:
     """JON-2: per instrument: archive rows, deduplicated local rows inside the archive's
-    id range, archive ids missing locally, and ``passed`` (nothing missing, equal counts)."""
+    id range, archive ids missing locally, and ``passed`` (nothing missing, equal counts).
+
+    Ids of both sides meet in one aggregate on (instrument, id), counts in a second."""
     by = list(by)
-    stats = _official_ranges(official, by, id_col).select(*by, "n_official")
-    local_n = (_local_in_range(official, local, by, id_col, key)
-               .groupBy(*by).agg(F.count(F.lit(1)).alias("n_local")))
-    missing_n = (missing_trades(official, local, by, id_col)
-                 .groupBy(*by).agg(F.count(F.lit(1)).alias("n_missing")))
-    out = stats.join(local_n, by, "left").join(missing_n, by, "left")
-    out = (out.withColumn("n_local", F.coalesce("n_local", F.lit(0)).cast("long"))
-           .withColumn("n_missing", F.coalesce("n_missing", F.lit(0)).cast("long")))
+    ids = [*by, id_col]
+    have = _within_archive(official, local.select(*dict.fromkeys([*ids, *key])), by, id_col).distinct()
+    met = (official.select(*ids, F.lit(1).alias("_o"), F.lit(0).alias("_l"))
+           .unionAll(have.select(*ids, F.lit(0).alias("_o"), F.lit(1).alias("_l")))
+           .groupBy(*ids).agg(F.sum("_o").alias("_o"), F.sum("_l").alias("_l")))
+    out = met.groupBy(*by).agg(
+        F.sum("_o").alias("n_official"), F.sum("_l").alias("n_local"),
+        F.coalesce(F.sum(F.when(F.col("_l") == 0, F.col("_o"))), F.lit(0)).alias("n_missing"))
     return out.withColumn("passed", (F.col("n_missing") == 0) & (F.col("n_official") == F.col("n_local")))
 
 
@@ -243,7 +212,8 @@ def audit_attributes(official: DataFrame, local: DataFrame, by: Sequence[str] =
                 for a in attrs]
         return df.select(*by, id_col, *cols)
 
-    loc = _local_in_range(official, local, by, id_col, key)
+    # the id is part of the version key, so the range filter commutes with the dedup
+    loc = latest_by_key(_within_archive(official, local, by, id_col), key)
     j = norm(official, "_official").join(norm(loc, "_local"), by + [id_col], "inner")
     differs = F.lit(False)
     for a in attrs:

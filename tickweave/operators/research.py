@@ -240,7 +240,7 @@ def evaluate(df: DataFrame, target: str | None = None, best: DataFrame | None =
 # ---------------------------------------------------------------- FEA-16, SET-1
 
 def blend_weights(old: DataFrame | None, new: DataFrame, alpha: float = 0.2,
-                  by: Sequence[str] = ("symbol",)) -> DataFrame:
+                  by: Sequence[str] = INSTRUMENT) -> DataFrame:
     """FEA-16: w = old * (1 - alpha) + new * alpha for both weights; intercept and best_lag
     come from the new record. No old record -> the new one unchanged."""
     by = list(by)

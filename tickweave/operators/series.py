@@ -3,22 +3,29 @@
 A window ``partitionBy(instrument)`` puts a whole instrument into one task; with a hot
 instrument holding a third of all rows that task is the job. Instead:
 
-1. ``ranged``: ``repartitionByRange(n, key, order)`` splits the (key, order) space into
-   ``n`` sampled ranges of about equal size, so a hot key spans many ranges. Each row is
-   tagged with its range id and its position inside the sorted range, and the result is
-   checkpointed to the reliable checkpoint folder, which fixes the tags and cuts lineage.
-2. ``dense_index``: a tiny table of row counts per (range, key) gives, by a prefix sum over
-   ranges, the exact 0-based index of every row inside its key. No row-level window.
-3. ``blocked_window``: rows are cut into blocks of ``B`` consecutive indices; the last
+1. Rows are binned by their first order column (``bin_width`` ids or milliseconds). The
+   histogram of (key, bin) is one small aggregate over two columns; its prefix sums give the
+   number of rows before each bin.
+2. ``dense_index``: every row gets its exact 0-based position inside its key: rows before
+   its bin plus its rank inside the bin. A window holds one bin of one key.
+3. ``blocked_window``: rows are cut into blocks of ``B`` consecutive positions; the last
    ``lookback`` rows of a block are copied into the next block and the first ``lookahead``
    rows into the previous one. An ordinary window over (key, block) then sees exactly the
    frame it would see over the whole key; copies are dropped afterwards. Every window task
    holds at most ``B + lookback + lookahead`` rows per group.
 
-``layout='key'`` runs the plain ``partitionBy(key)`` window instead (same results); it is
-cheaper for small data and is what the tests compare against. The default ``'auto'``
-uses it only when the optimizer's size estimate of the whole input is under
-``tickweave.window.keyLayoutMaxBytes`` (256 MB), i.e. when one task can hold any key.
+Rows travel whole and once through each of the two shuffles (by key and bin, by key and
+block); nothing is joined back, sampled or checkpointed, so rows with equal keys and order
+come out as often as they went in. Ties in ``order`` are settled by a hash of the whole row,
+so the order is the same on every layout and every task retry; rows equal in all columns are
+interchangeable.
+
+``layout='key'`` runs the plain ``partitionBy(key)`` window instead. Its rows and values are
+the same; it is cheaper for small data. The default ``'auto'`` uses it only when the
+optimizer's size estimate of the whole input is under
+``tickweave.window.keyLayoutMaxBytes``. That estimate counts compressed files and takes an
+array for one element, some 30 times too little for order books, so the default of 8 MB
+stands for about 256 MB in one task.
 """
 
 from __future__ import annotations
@@ -32,41 +39,27 @@ from tickweave.session import ensure_checkpoint_dir
 
 LAYOUT_CONF = "tickweave.window.layout"          # 'auto' (default), 'blocked' or 'key'
 BLOCK_ROWS_CONF = "tickweave.window.blockRows"   # rows per block, default 65536
-RANGES_CONF = "tickweave.window.ranges"          # number of ranges; default shuffle partitions
 KEY_MAX_BYTES_CONF = "tickweave.window.keyLayoutMaxBytes"
 DEFAULT_BLOCK_ROWS = 65536
-DEFAULT_KEY_MAX_BYTES = 256 * 1024 * 1024
+DEFAULT_KEY_MAX_BYTES = 8 * 1024 * 1024
 
 def _cols(xs: Sequence) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
+def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (from file sizes and column widths; no job runs)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # noqa: BLE001 - estimate unavailable: treat as large
-        return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def layout(df: DataFrame, requested: str | None = None) -> str:
     """'key' or 'blocked'. 'auto' picks 'key' only when the whole input is estimated below
-    ``keyLayoutMaxBytes`` -- then even a key holding every row fits one task -- and the
-    blocked layout otherwise (the same kind of size check as a broadcast threshold)."""
+    ``keyLayoutMaxBytes``, and the blocked layout otherwise; the answer is the same."""
     mode = requested or df.sparkSession.conf.get(LAYOUT_CONF, "auto")
     if mode != "auto":
         return mode
     limit = int(df.sparkSession.conf.get(KEY_MAX_BYTES_CONF, str(DEFAULT_KEY_MAX_BYTES)))
-    est = estimated_bytes(df)
-    return "key" if est is not None and est <= limit else "blocked"
-
-
-def _n_ranges(df: DataFrame, n: int | None) -> int:
-    if n:
-        return int(n)
-    conf = df.sparkSession.conf
-    return int(conf.get(RANGES_CONF, None) or conf.get("spark.sql.shuffle.partitions"))
+    return "key" if estimated_bytes(df) <= limit else "blocked"
 
 
 def _block_rows(df: DataFrame, b: int | None, reach: int) -> int:
@@ -77,84 +70,85 @@ def _block_rows(df: DataFrame, b: int | None, reach: int) -> int:
     return b
 
 
-def ranged(df: DataFrame, keys: Sequence[str], order: Sequence, n_ranges: int | None = None) -> DataFrame:
-    """Rows range-partitioned by (keys, order), sorted, tagged with ``_rng`` and ``_pos``.
+DEFAULT_BIN_IDS = 4096
+DEFAULT_BIN_MS = 60_000
+FIRST_BIN = -(1 << 62)
 
-    ``order`` must make rows unique inside a key for a reproducible order (ties only
-    permute tied rows). The checkpoint goes to ``spark.checkpoint.dir``.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    n = _n_ranges(df, n_ranges)
-    sort_cols = _cols(list(keys)) + _cols(list(order))
-    out = (df.repartitionByRange(n, *sort_cols)
-           .sortWithinPartitions(*sort_cols)
-           .withColumn("_rng", F.spark_partition_id())
-           .withColumn("_pos", F.monotonically_increasing_id()
-                       - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    # eager: the ranges are sorted once and written before any consumer runs; the
-    # consumers (count table, row join) then read the files instead of each re-sorting the
-    # shuffle output. (Range sampling already runs a job when the plan is built.)
-    return out.checkpoint(eager=True)
-
-
-def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence, idx_col: str = "_idx",
-                count_col: str | None = None, n_ranges: int | None = None) -> DataFrame:
-    """Add the exact 0-based position of each row inside its key under ``order``.
 
-    ``count_col`` also adds the number of rows of the key. Work is spread over ranges, so a
-    key of any size is indexed in parallel; the only per-key step runs over the
-    (range, key) count table, whose size is bounded by ranges + keys.
-    """
+def tie_break(df: DataFrame) -> Column:
+    """Orders rows that tie in every order column."""
+    return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
+def bin_of(df: DataFrame, column: str, width: int | None = None) -> Column:
+    """The bin of a numeric column: ``width`` ids, or milliseconds where its name says time;
+    NULLs, which sort first, are in the first bin. Other types share one bin."""
+    kind = dict(df.dtypes)[column]
+    if not kind.startswith(("bigint", "int", "smallint", "tinyint", "double", "float", "decimal")):
+        return F.lit(FIRST_BIN)
+    width = width or (DEFAULT_BIN_MS if "timestamp" in column else DEFAULT_BIN_IDS)
+    return F.coalesce(F.floor(F.col(column) / F.lit(width)).cast("long"), F.lit(FIRST_BIN))
+
+
+def histogram(df: DataFrame, keys: Sequence[str], descending: bool = False) -> DataFrame:
+    """Of rows tagged with ``_bin``: keys, ``_bin``, ``_before`` (rows of the key in earlier
+    bins), ``_of_key`` (rows of the key)."""
     keys = list(keys)
-    r = ranged(df, keys, order, n_ranges)
-    stats = r.groupBy("_rng", *keys).agg(F.count(F.lit(1)).alias("_rn"), F.min("_pos").alias("_first"))
-    w_before = Window.partitionBy(*keys).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_base", F.coalesce(F.sum("_rn").over(w_before), F.lit(0)).cast("long"))
+    counts = df.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*keys)
+    upto = whole.orderBy(F.col("_bin").desc() if descending else F.col("_bin"))
+    return counts.select(*keys, "_bin", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"), F.sum("_n").over(whole).alias("_of_key"))
+
+
+def join_bins(df: DataFrame, bins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Attach ``_before`` and ``_of_key``; NULL keys are keys too."""
+    renamed = bins.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bin").alias("_k_bin"), "_before", "_of_key")
+    cond = F.col("_bin") == F.col("_k_bin")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return df.join(renamed, cond).drop("_k_bin", *[f"_k_{k}" for k in keys])
+
+
+def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], idx_col: str = "_idx",
+                count_col: str | None = None, bin_width: int | None = None) -> DataFrame:
+    """Add the exact 0-based position of each row inside its key under ``order``.
+
+    ``count_col`` also adds the number of rows of the key. A task holds one bin of a key, so
+    a key of any length is indexed in parallel; the (key, bin) table is joined by whatever
+    its measured size allows."""
+    keys, order = list(keys), list(order)
+    x = df.withColumn("_tie", tie_break(df)).withColumn("_bin", bin_of(df, order[0], bin_width))
+    y = join_bins(x, histogram(x, keys), keys)
+    in_bin = Window.partitionBy(*keys, "_bin").orderBy(*order, "_tie")
+    y = y.withColumn(idx_col, (F.col("_before") + F.row_number().over(in_bin) - F.lit(1)).cast("long"))
     if count_col:
-        stats = stats.withColumn(count_col, F.sum("_rn").over(Window.partitionBy(*keys)).cast("long"))
-    stats = stats.drop("_rn")
-    # (range, key) table is small: AQE turns this into a broadcast join after measuring it.
-    out = r.join(stats, on=["_rng", *keys], how="inner")
-    out = out.withColumn(idx_col, F.col("_base") + F.col("_pos") - F.col("_first"))
-    extra = [idx_col] + ([count_col] if count_col else [])
-    return out.select(*df.columns, *extra)
+        y = y.withColumn(count_col, F.col("_of_key").cast("long"))
+    return y.select(*df.columns, idx_col, *([count_col] if count_col else []))
 
 
-def blocked_window(df: DataFrame, keys: Sequence[str], order: Sequence,
+def blocked_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    build: Callable[[DataFrame, WindowSpec], DataFrame],
                    lookback: int = 0, lookahead: int = 0, block_rows: int | None = None,
-                   layout_: str | None = None, n_ranges: int | None = None,
-                   keep_index: tuple[str, str] | None = None, inputs: Sequence[str] | None = None) -> DataFrame:
+                   layout_: str | None = None, keep_index: tuple[str, str] | None = None,
+                   bin_width: int | None = None) -> DataFrame:
     """Apply ``build(df, w)`` where ``w`` is an ordered per-key window.
 
     ``build`` may use frames reaching at most ``lookback`` rows back and ``lookahead``
     rows ahead (chained lags count: a 20-row mean of a lag-1 step reaches 20 back).
     It must only add columns. ``keep_index=(idx, count)`` also returns each row's 0-based
     position in its key and the key's row count, for later positional steps.
-
-    ``inputs`` names the columns ``build`` reads: the blocked layout then moves only
-    (key, order, inputs) through its shuffles and joins the new columns back on
-    (key, order), which must identify a row; wide rows are shuffled once instead of
-    twice plus a checkpoint.
     """
-    keys = list(keys)
+    keys, order = list(keys), list(order)
     if layout(df, layout_) == "key":
-        w = Window.partitionBy(*keys).orderBy(*_cols(list(order)))
-        y = build(df, w)
+        x = df.withColumn("_tie", tie_break(df))
+        w = Window.partitionBy(*keys).orderBy(*order, "_tie")
+        y = build(x, w)
         if keep_index:
             y = (y.withColumn(keep_index[0], (F.row_number().over(w) - F.lit(1)).cast("long"))
                  .withColumn(keep_index[1], F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("long")))
-        return y
+        return y.drop("_tie")
     b = _block_rows(df, block_rows, max(lookback, lookahead))
-    order_names = [o for o in order if isinstance(o, str)]
-    if inputs is not None and len(order_names) == len(order):
-        needed = list(dict.fromkeys([*keys, *order_names, *inputs]))
-        if set(df.columns) - set(needed):
-            narrow = df.select(*needed)
-            y = blocked_window(narrow, keys, order, build, lookback, lookahead, b, "blocked", n_ranges, keep_index)
-            new_cols = [c for c in y.columns if c not in needed]
-            return join_back(df, y, [*keys, *order_names], new_cols)
-    x = dense_index(df, keys, order, idx_col="_idx", count_col="_n", n_ranges=n_ranges)
+    x = dense_index(df, keys, order, idx_col="_idx", count_col="_n", bin_width=bin_width)
     blk = F.expr(f"_idx DIV {int(b)}")
     off = F.col("_idx") % F.lit(b)
     copies = [F.struct(blk.alias("b"), F.lit(0).alias("h"))]
@@ -178,14 +172,6 @@ def blocked_window(df: DataFrame, keys: Sequence[str], order: Sequence,
     return y.where(F.col("_halo") == 0).select(*df.columns, *added, *kept)
 
 
-def join_back(df: DataFrame, computed: DataFrame, on: Sequence[str], new_cols: Sequence[str]) -> DataFrame:
-    """Attach ``new_cols`` of ``computed`` to ``df`` on the row identity ``on`` (NULL-safe,
-    so rows with a NULL in an order column are kept)."""
-    y = computed.select(*[F.col(c).alias("_jb_" + c) for c in on], *new_cols)
-    cond = [df[c].eqNullSafe(y["_jb_" + c]) for c in on]
-    return df.join(y, cond, "inner").drop(*["_jb_" + c for c in on])
-
-
 def subset_cutoff(df: DataFrame, keys: Sequence[str], idx_col: str, cond, ratio: float,
                   block_rows: int | None = None) -> DataFrame:
     """Per key, the ``idx_col`` value of the first row past the first ``floor(m * ratio)``

@@ -1,7 +1,7 @@
 """Window operators (WIN-1..6) and sorts/limits/splits (RNK-1..5).
 
-Per-instrument windows run through ``series.blocked_window`` so that no instrument is
-ever one task; ``layout='key'`` gives the plain ``partitionBy(key)`` form.
+Per-instrument windows run through ``series.blocked_window``: above a small size bound no
+instrument is one task; ``layout='key'`` gives the plain ``partitionBy(key)`` form.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ def with_trade_seq(df: DataFrame, by: Sequence[str] = INSTRUMENT, order: Sequenc
     """WIN-1: 1-based sequence number by trade id inside each group (``row_number``)."""
     by = list(by)
     if series.layout(df, layout) == "key":
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w).cast("long"))
+        w = Window.partitionBy(*by).orderBy(*order, "_tie")
+        return df.withColumn("_tie", series.tie_break(df)).withColumn(out, F.row_number().over(w).cast("long")).drop("_tie")
     x = series.dense_index(df, by, order, idx_col="_idx")
     return x.withColumn(out, F.col("_idx") + F.lit(1)).drop("_idx")
 
@@ -48,7 +48,7 @@ def with_ma_price(df: DataFrame, n: int = 100, by: Sequence[str] = INSTRUMENT,
         return x.withColumn(out, F.avg(price).over(w.rowsBetween(-n, 0)))
 
     return series.blocked_window(df, by, order, build, lookback=n, layout_=layout, block_rows=block_rows,
-                                 inputs=[price], keep_index=keep_index)
+                                 keep_index=keep_index)
 
 
 # ---------------------------------------------------------------- WIN-3 / WIN-4 (books)
@@ -56,28 +56,13 @@ def with_ma_price(df: DataFrame, n: int = 100, by: Sequence[str] = INSTRUMENT,
 BEST_LEVELS = {"_pb": ("bid_prices", 0), "_vb": ("bid_volumes", 0), "_pa": ("ask_prices", 0), "_va": ("ask_volumes", 0)}
 
 
-def _narrow_books(df: DataFrame, by: Sequence[str], order: Sequence, build, lookback: int, lookahead: int,
-                  layout: str | None, block_rows: int | None, extra: Sequence[str] = (),
-                  keep_index: tuple[str, str] | None = None) -> DataFrame:
-    """Run a book window on the best levels only, then join the results back.
-
-    The blocked layout moves its input through a range shuffle, a checkpoint and a window
-    shuffle; book rows carry four depth arrays, while OFI and labels need four scalars and
-    the mid price. So the window runs on (key, order, best levels, ``extra``) and its new
-    columns are joined back on (key, order), which must be unique (true after AGG-1).
-    With ``layout='key'`` the plain window runs on the rows directly.
-    """
-    by, order = list(by), list(order)
-    if series.layout(df, layout) == "key":
-        x = df.select("*", *[fb.level(a, i).alias(n) for n, (a, i) in BEST_LEVELS.items()])
-        y = series.blocked_window(x, by, order, build, lookback=lookback, lookahead=lookahead, layout_="key",
-                                  keep_index=keep_index)
-        return y.drop(*BEST_LEVELS)
-    narrow = df.select(*by, *order, *extra, *[fb.level(a, i).alias(n) for n, (a, i) in BEST_LEVELS.items()])
-    y = series.blocked_window(narrow, by, order, build, lookback=lookback, lookahead=lookahead,
-                              block_rows=block_rows, keep_index=keep_index, layout_="blocked")
-    new_cols = [c for c in y.columns if c not in narrow.columns]
-    return series.join_back(df, y, by + order, new_cols)
+def _best_levels(df: DataFrame, by: Sequence[str], order: Sequence[str], build, lookback: int, lookahead: int,
+                 layout: str | None, block_rows: int | None, keep_index: tuple[str, str] | None = None) -> DataFrame:
+    """Run a book window with the best levels as columns beside the rows."""
+    x = df.select("*", *[fb.level(a, i).alias(n) for n, (a, i) in BEST_LEVELS.items()])
+    y = series.blocked_window(x, by, order, build, lookback=lookback, lookahead=lookahead, layout_=layout,
+                              block_rows=block_rows, keep_index=keep_index)
+    return y.drop(*BEST_LEVELS)
 
 
 def _ofi_step_expr(w: WindowSpec):
@@ -100,7 +85,7 @@ def _add_ofi(x: DataFrame, w: WindowSpec, window: int, step: str, out: str | Non
 def with_ofi_step(df: DataFrame, by: Sequence[str] = INSTRUMENT, order: Sequence = BOOK_ORDER,
                   out: str = "ofi_step", layout: str | None = None, block_rows: int | None = None) -> DataFrame:
     """WIN-3: order-flow imbalance step e = db - da from the best levels; first row NULL."""
-    return _narrow_books(df, by, order, lambda x, w: _add_ofi(x, w, 1, out, None), 1, 0, layout, block_rows)
+    return _best_levels(df, by, order, lambda x, w: _add_ofi(x, w, 1, out, None), 1, 0, layout, block_rows)
 
 
 def with_ofi(df: DataFrame, window: int = 20, by: Sequence[str] = INSTRUMENT, order: Sequence = BOOK_ORDER,
@@ -108,7 +93,7 @@ def with_ofi(df: DataFrame, window: int = 20, by: Sequence[str] = INSTRUMENT, or
              block_rows: int | None = None) -> DataFrame:
     """WIN-4: rolling mean of ``window`` OFI steps, NULL until ``window`` non-null steps exist."""
     step = "ofi_step" if keep_step else "_ofi_step"
-    y = _narrow_books(df, by, order, lambda x, w: _add_ofi(x, w, window, step, out), window, 0, layout, block_rows)
+    y = _best_levels(df, by, order, lambda x, w: _add_ofi(x, w, window, step, out), window, 0, layout, block_rows)
     return y if keep_step else y.drop(step)
 
 
@@ -127,7 +112,7 @@ def with_targets(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, by: Sequence
         return x.select("*", *[target_expr(w, lag, mid).alias(f"target_{lag}_tick") for lag in lags])
 
     return series.blocked_window(df, by, order, build, lookahead=max(lags), layout_=layout,
-                                 block_rows=block_rows, inputs=[mid])
+                                 block_rows=block_rows)
 
 
 def with_book_factors(df: DataFrame, depth: int = 5, window: int = 20, lags: Sequence[int] = (),
@@ -148,8 +133,8 @@ def with_book_factors(df: DataFrame, depth: int = 5, window: int = 20, lags: Seq
             y = y.select("*", *[target_expr(w, lag).alias(f"target_{lag}_tick") for lag in lags])
         return y.drop("_ofi_step")
 
-    return _narrow_books(x, by, order, build, window, max(lags) if lags else 0, layout, block_rows,
-                         extra=["mid_price"], keep_index=keep_index)
+    return _best_levels(x, by, order, build, window, max(lags) if lags else 0, layout, block_rows,
+                        keep_index=keep_index)
 
 
 # ---------------------------------------------------------------- WIN-6 (previous id)
@@ -163,55 +148,47 @@ def with_prev(df: DataFrame, col: str, by: Sequence[str], order: Sequence, out:
 
 # ---------------------------------------------------------------- RNK-*
 
-def _top_rows(df: DataFrame, by: Sequence[str], order_cols: list, n: int, layout: str | None,
+def _top_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], descending: bool, n: int, layout: str | None,
               rank_col: str | None = None) -> DataFrame:
-    """The first ``n`` rows of each group under ``order_cols`` (all rows when ``by`` is empty).
-
-    Key layout (input under the size bound): ``row_number <= n``, which Catalyst plans with a
-    partial WindowGroupLimit before the shuffle (or a TakeOrdered when ungrouped).
-    Blocked layout, small ``n`` (up to ``spark.sql.optimizer.windowGroupLimitThreshold``,
-    where Catalyst pre-limits map-side): a two-level limit. Rows get a salt ``input
-    partition id mod S`` with ``S ~ sqrt(P)``; the top ``n`` per (group, salt) -- itself
-    pre-limited per input partition -- then the top ``n`` per group. Only about
-    ``n * sqrt(P)`` rows per group are ever shuffled to or held by one task, and the rest of
-    the table never leaves its input partition.
-    Blocked layout, large ``n``: the range-partitioned dense index and ``index < n``
-    (balanced, exact, one range shuffle).
+    """The first ``n`` rows of each group in order (of all rows when ``by`` is empty).
+
+    Key layout: ``row_number <= n``, which Catalyst plans with a partial WindowGroupLimit
+    before the shuffle (or a TakeOrdered when ungrouped).
+    Blocked layout: the histogram of (group, bin of the first order column) names the bins
+    that can hold the first ``n`` rows; only their rows - ``n`` and one bin a group - are
+    ranked, after a limit on each of some salts of a group.
     """
-    by = list(by or [])
-    lay = series.layout(df, layout)
-    limit_threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if lay != "key" and n > limit_threshold:
-        x = series.dense_index(df, by, order_cols, idx_col="_rn").where(F.col("_rn") < n)
-        if rank_col:
-            return x.withColumn(rank_col, F.col("_rn") + F.lit(1)).drop("_rn")
-        return x.drop("_rn")
-    if lay != "key":
+    by, order = list(by or []), list(order)
+    x = df.withColumn("_tie", series.tie_break(df))
+    cols = [F.col(c).desc() if descending else F.col(c) for c in [*order, "_tie"]]
+    if series.layout(df, layout) != "key":
+        x = x.withColumn("_bin", series.bin_of(df, order[0]))
+        x = series.join_bins(x, series.histogram(x, by, descending).where(F.col("_before") < n), by).drop("_bin", "_before", "_of_key")
         p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         salts = max(2, math.isqrt(max(p, 1)) + 1)
-        x = df.withColumn("_salt", F.spark_partition_id() % F.lit(salts))
-        w1 = Window.partitionBy(*by, "_salt").orderBy(*order_cols)
-        df = x.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= n).drop("_rn", "_salt")
+        x = x.withColumn("_salt", F.pmod(F.col("_tie"), F.lit(salts)))
+        w1 = Window.partitionBy(*by, "_salt").orderBy(*cols)
+        x = x.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= n).drop("_rn", "_salt")
     if not by and not rank_col:
-        return df.orderBy(*order_cols).limit(n)
-    w = Window.partitionBy(*by).orderBy(*order_cols)
-    out = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+        return x.orderBy(*cols).limit(n).drop("_tie")
+    w = Window.partitionBy(*by).orderBy(*cols)
+    out = x.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_tie")
     return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
 
 
 def first_n(df: DataFrame, order: Sequence, n: int, by: Sequence[str] | None = None,
             layout: str | None = None) -> DataFrame:
     """RNK-1: the first ``n`` rows by ``order`` (per group when ``by``)."""
-    return _top_rows(df, by or [], [F.col(c) if isinstance(c, str) else c for c in order], n, layout)
+    return _top_rows(df, by or [], order, False, n, layout)
 
 
 def latest_n(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int, rank_col: str | None = None,
              layout: str | None = None) -> DataFrame:
     """RNK-2: newest ``n`` rows per group (descending ``order``)."""
-    return _top_rows(df, by, [F.col(c).desc() for c in order], n, layout, rank_col)
+    return _top_rows(df, by, order, True, n, layout, rank_col)
 
 
-def cap_stream(df: DataFrame, n: int = 10000, by: Sequence[str] = ("stream_key",),
+def cap_stream(df: DataFrame, n: int, by: Sequence[str] = ("stream_key",),
                order: Sequence[str] = ("timestamp", "nonce"), layout: str | None = None) -> DataFrame:
     """RNK-3: keep only the newest ``n`` messages of each stream (exact, unlike the reference)."""
     return latest_n(df, list(by), list(order), n, layout=layout)
@@ -229,9 +206,9 @@ def positional_split(df: DataFrame, by: Sequence[str], order: Sequence, ratio: f
     """RNK-5: the first ``floor(n * ratio)`` rows of each group in order are train."""
     by = list(by)
     if series.layout(df, layout) == "key":
-        w = Window.partitionBy(*by).orderBy(*order)
-        x = (df.withColumn("_idx", F.row_number().over(w) - F.lit(1))
-             .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*by))))
+        w = Window.partitionBy(*by).orderBy(*order, "_tie")
+        x = (df.withColumn("_tie", series.tie_break(df)).withColumn("_idx", F.row_number().over(w) - F.lit(1))
+             .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*by))).drop("_tie"))
     else:
         x = series.dense_index(df, by, order, idx_col="_idx", count_col="_cnt")
     split = F.floor(F.col("_cnt") * F.lit(float(ratio)))

@@ -45,7 +45,7 @@ versioned AS (
          is_taker_buyer, timestamp, local_timestamp + 1000 AS local_timestamp
   FROM local_t WHERE side = 'sell'),
 books AS ({DUCK_BOOKS}),
-quotes AS (SELECT * FROM books WHERE nonce > 3 AND nonce % 5 <> 0)
+quotes AS (SELECT * REPLACE (timestamp + CASE WHEN nonce <= 3 THEN 7200000 WHEN nonce % 5 = 0 THEN 150 ELSE 0 END AS timestamp) FROM books)
 """
 
 # Book factors (FEA-5..7, WIN-3/4) over the books CTE; ``bf`` has the columns of

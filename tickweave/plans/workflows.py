@@ -82,14 +82,18 @@ def consolidate_day(trades: DataFrame, books: DataFrame, root: str, date: str |
 
 def patch_day(official: DataFrame, local: DataFrame, expected: DataFrame, date: str, now_ms: int,
               by: Sequence[str] = VENUE_SYMBOL) -> dict[str, DataFrame]:
-    """PIP-1: validate the archive, coverage per instrument, rows to insert (whole day
-    where nothing is local, else the anti join), the patched table, audits and health."""
+    """PIP-1: validate the archive, coverage per instrument, rows to insert, the patched
+    table, audits and health.
+
+    The local side is the whole table, restricted by the archive's ids and not by the day,
+    so an id held under another day is not inserted again. Rows with a bad price are never
+    inserted; ``bad_rows`` has them, and the audit counts them as missing."""
     off = q.on_day(official, date)
-    loc = q.on_day(local, date)
     bad, report = q.validate_trades(off, by=list(by))
-    coverage = q.day_coverage(loc, expected, date, by)
-    to_insert = q.missing_trades(off, loc, by)      # empty local -> every archive row
-    patched = gp.merge_recovered(loc, to_insert)
+    coverage = q.day_coverage(q.on_day(local, date), expected, date, by)
+    good = off.where(F.coalesce(F.col("price") > F.lit(0.0), F.lit(True)))
+    to_insert = q.missing_trades(good, local, by)
+    patched = gp.merge_recovered(local, to_insert)
     audit = q.audit(off, patched, by)
     attrs = q.audit_attributes(off, patched, by)
     health = q.feed_health(patched, audit, now_ms, by)
@@ -134,22 +138,24 @@ def replicate(remote_trades: DataFrame, local_trades: DataFrame, remote_books: D
 def train_alpha(books: DataFrame, old_weights: DataFrame | None = None, lags=win.DEFAULT_LAGS,
                 split: float = 0.7, alpha: float = 0.2, on_gate_fail: str = "reference",
                 layout: str | None = None) -> dict[str, DataFrame]:
-    """PIP-6: factors and labels -> best lag -> honest evaluation -> weights -> blend.
+    """PIP-6: factors and labels -> best lag -> honest evaluation -> weights -> blend, all by
+    instrument, so the venues of one symbol keep their own weights.
 
     ``on_gate_fail='reference'`` blends the zero weights of a failed gate like the
     reference does; ``'keep'`` keeps the old record for those instruments.
     """
     from tickweave.operators.series import materialize
-    f = materialize(win.with_book_factors(books, lags=lags, layout=layout, keep_index=("_i", "_cnt")))
+    f = win.with_book_factors(books, lags=lags, layout=layout, keep_index=("_i", "_cnt"))
+    f = materialize(f.drop("bid_prices", "bid_volumes", "ask_prices", "ask_volumes"))  # no later step reads the depth
     best = rs.best_lag(f, lags, split)
     ev = rs.evaluate(f, best=best, lags=lags, split=split)
-    new = ev.select("symbol", "w_vamp", "w_ofi", "intercept", "best_lag", "passed")
+    new = ev.select(*INSTRUMENT, "w_vamp", "w_ofi", "intercept", "best_lag", "passed")
     if on_gate_fail == "keep" and old_weights is not None:
         new = new.where("passed")
     blended = rs.blend_weights(old_weights, new.drop("passed"), alpha)
     if on_gate_fail == "keep" and old_weights is not None:
         blended = blended.unionByName(old_weights.select(*blended.columns)
-                                      .join(new.select("symbol"), "symbol", "left_anti"))
+                                      .join(new.select(*INSTRUMENT), INSTRUMENT, "left_anti"))
     return {"factors": f, "best_lag": best, "evaluation": ev, "weights": blended}
 
 

@@ -84,6 +84,6 @@ GAP = T.StructType([
 ])
 
 WEIGHTS = T.StructType([
-    T.StructField("symbol", S), T.StructField("w_vamp", D), T.StructField("w_ofi", D),
+    T.StructField("exchange_id", S), T.StructField("mkt_type", S), T.StructField("symbol", S), T.StructField("w_vamp", D), T.StructField("w_ofi", D),
     T.StructField("intercept", D), T.StructField("best_lag", T.IntegerType()),
 ])

@@ -69,18 +69,17 @@ TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 def tune_partitions(spark: SparkSession, *frames, target_bytes: int = TARGET_PARTITION_BYTES,
                     minimum: int | None = None, maximum: int = 200_000) -> int:
-    """Size shuffles for the inputs at hand: ``spark.sql.shuffle.partitions`` (and the
-    number of ranges of the blocked layout) = estimated input bytes / ``target_bytes``.
+    """Size shuffles for the inputs at hand: ``spark.sql.shuffle.partitions`` = estimated
+    input bytes / ``target_bytes``.
 
     Uses Catalyst's size estimate of each frame (file sizes and column widths, no job).
     AQE still coalesces small partitions and splits skewed ones at run time; this sets the
     starting count so no partition has to hold more than about ``target_bytes`` before spill.
     ``minimum`` defaults to the cluster's default parallelism.
     """
-    from tickweave.operators.series import RANGES_CONF, estimated_bytes
-    total = sum((estimated_bytes(f) or 0) for f in frames)
+    from tickweave.operators.series import estimated_bytes
+    total = sum(estimated_bytes(f) for f in frames)
     lo = minimum if minimum is not None else spark.sparkContext.defaultParallelism
     n = max(lo, min(maximum, -(-total // target_bytes)))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set(RANGES_CONF, str(n))
     return n

@@ -83,7 +83,7 @@ def read_processed(spark: SparkSession, root: str, data_type: str) -> DataFrame:
 
 
 def load_history(spark: SparkSession, root: str, exchange_id: str, mkt_type: str, symbol: str,
-                 days: int = 10) -> DataFrame:
+                 days: int) -> DataFrame:
     """SRC-8: the ``days`` newest daily partitions of one instrument's processed books,
     pruned to six columns plus ``mid_price``.
 

@@ -24,14 +24,15 @@ from tickweave.schemas import INSTRUMENT
 OFI_WINDOW = 20
 
 
-def score_latest(books: DataFrame, weights: DataFrame, n: int = 300, by: Sequence[str] = INSTRUMENT,
+def score_latest(books: DataFrame, weights: DataFrame, n: int, by: Sequence[str] = INSTRUMENT,
                  threshold: float = 0.05) -> DataFrame:
     """Newest ``n`` books per instrument -> VAMP bias, OFI -> combined alpha and signal,
-    for the latest book of each instrument. ``weights`` is keyed by ``symbol``."""
+    for the latest book of each instrument. ``weights`` is keyed by instrument; one without
+    weights has a NULL alpha and signal."""
     by = list(by)
     recent = win.latest_n(books, by, ["timestamp", "nonce"], n)
     f = win.with_book_factors(recent, layout="key")          # groups hold at most n rows
-    f = f.join(weights.select("symbol", "w_vamp", "w_ofi", "intercept"), "symbol")
+    f = f.join(weights.select(*by, "w_vamp", "w_ofi", "intercept"), by, "left")
     f = f.withColumn("combined_alpha", fs.combined_alpha()).withColumn("signal", fs.trade_signal(threshold=threshold))
     return win.latest_row(f.select(*by, "nonce", "timestamp", "mid_price", "vamp_bias_bp", "factor_ofi_smooth",
                                    "combined_alpha", "signal"), by, ["timestamp", "nonce"])
@@ -111,7 +112,7 @@ def start_scoring(books_stream: DataFrame, weights: DataFrame, sink_path: str,
                   trigger: dict | None = None):
     """Streaming STR-6: score every arriving book with the OFI state kept per instrument.
 
-    ``weights`` is the weight table (symbol, w_vamp, w_ofi, intercept), joined to the
+    ``weights`` is the weight table (instrument, w_vamp, w_ofi, intercept), joined to the
     stream as a static side, so a refreshed weight file is picked up by later micro-batches
     of a restarted query. Within a micro-batch the books of an instrument are scored in
     (timestamp, nonce) order.
@@ -130,6 +131,6 @@ def score_stream(books_stream: DataFrame, weights: DataFrame,
                             fb.best_ask().alias("ap"), fb.level("ask_volumes").alias("av"),
                             fb.mid_price().alias("mid_price"),
                             fb.vamp_bias_bp(fb.vamp(5), fb.mid_price()).alias("vamp_bias_bp"))
-    x = x.join(weights.select("symbol", "w_vamp", "w_ofi", "intercept"), "symbol", "left")
+    x = x.join(weights.select(*INSTRUMENT, "w_vamp", "w_ofi", "intercept"), INSTRUMENT, "left")
     return x.groupBy(*INSTRUMENT).applyInPandasWithState(
         _score_group(window, threshold), SCORE_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
