@@ -1219,6 +1219,37 @@ def cap_stream_blocked(spark, sf):
     return win.cap_stream(b, 50, layout="blocked").select("stream_key", "nonce")
 
 
+@register("silence_alarms", with_ctes("""
+fast AS (SELECT *, 'trades' AS data_type, local_timestamp // 60 AS ms FROM local_t),
+g AS (SELECT exchange_id, symbol, data_type, ms, lag(ms) OVER (PARTITION BY exchange_id, symbol, data_type ORDER BY ms) AS prev FROM fast),
+o AS (SELECT exchange_id, symbol, data_type, max(ms) AS prev, (SELECT max(ms) FROM fast) - 60000 AS ms FROM fast GROUP BY ALL),
+s AS (SELECT exchange_id, symbol, data_type, prev, ms FROM g UNION ALL SELECT exchange_id, symbol, data_type, prev, ms FROM o)
+""") + """
+SELECT exchange_id, symbol, data_type, prev AS silence_start, 'reconnect' AS kind FROM s WHERE ms - prev > 20000
+UNION ALL SELECT exchange_id, symbol, data_type, prev, 'dead' FROM s WHERE ms - prev > 60000
+""")
+def silence_alarms(spark, sf):
+    """STR-5 streaming: alarms at 20 s and 60 s of silence per feed, also of feeds that fall
+    silent at the end; time runs sixty times as fast."""
+    from tickweave.streaming.silence import silence_alarms as alarms
+    t = fx.trades_from_events(_events_stream(spark, sf)).where(~F.col("is_lost")).drop("is_lost") \
+        .withColumn("local_timestamp", F.expr("local_timestamp DIV 60")).withColumn("data_type", F.lit("trades"))
+    return _run_available_now(alarms(t), "alarms").select("exchange_id", "symbol", "data_type", "silence_start", "kind")
+
+
+@register("stream_gap_jobs", with_ctes(GAPS) + """
+SELECT exchange_id, symbol, start_id, end_id, md5(exchange_id || ':' || symbol || ':' || start_id || ':' || end_id) AS job_id
+FROM gaps WHERE start_id % 3 <> 0
+""")
+def stream_gap_jobs(spark, sf):
+    """STR-4: the detector leaves out jobs that another one has dispatched within the hour."""
+    from tickweave.streaming.gaps import stream_gaps as sg
+    done = gp.gap_jobs(gp.detect_gaps(fx.local_trades(spark, sf)).where(F.col("start_id") % 3 == 0)) \
+        .select("job_id", F.lit(1 << 60).alias("dispatched_ms"))
+    t = fx.trades_from_events(_events_stream(spark, sf)).where(~F.col("is_lost")).drop("is_lost")
+    return _run_available_now(sg(t, active=done), "stream-gap-jobs").select("exchange_id", "symbol", "start_id", "end_id", "job_id")
+
+
 @register("activity_sessions", with_ctes("fast AS (SELECT * REPLACE (local_timestamp // 60 AS local_timestamp) FROM local_t)") + """
 , g AS (SELECT exchange_id, symbol, local_timestamp,
                CASE WHEN local_timestamp - lag(local_timestamp) OVER w > 20000 THEN 1 ELSE 0 END AS new_session

@@ -69,10 +69,9 @@ def start_sync(spark: SparkSession, src: str | DataFrame, data_type: str, table_
     frame such as ``read_kafka_messages``.
 
     ``trigger`` defaults to a 10-second processing-time trigger (the flush interval);
-    tests pass ``{"availableNow": True}``. Each micro-batch appends good rows sorted by the
-    table key inside each daily partition, and bad messages to ``quarantine_path``.
-    A replayed micro-batch appends identical rows again; readers resolve versions with
-    ``latest_by_key``, which makes the replay harmless.
+    tests pass ``{"availableNow": True}``. Each micro-batch writes its good rows, range-dealt
+    and sorted by day and table key, into its own ``batch_id`` partition of each day, and bad
+    messages to ``quarantine_path``; a replayed micro-batch replaces what it wrote before.
 
     AGG-10: with ``metrics_path`` every micro-batch appends one row (batch id, rows written,
     rows quarantined, write milliseconds, ``pressure`` when the write took more than 80 % of
@@ -86,15 +85,16 @@ def start_sync(spark: SparkSession, src: str | DataFrame, data_type: str, table_
         # the micro-batch feeds two writes (rows, quarantine): read the source once
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK) if quarantine_path else batch
         good, bad = decode_stream(batch, data_type)
-        rows = with_partition_date(good.drop("stream_key"))
         seen = Observation(f"sync_{batch_id}")
-        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        rows.sortWithinPartitions("date", *key).write.mode("append").partitionBy("date").parquet(table_path)
+        # counted after the range shuffle, whose sampling runs what stands before it twice
+        (with_partition_date(good.drop("stream_key")).withColumn("batch_id", F.lit(batch_id))
+         .repartitionByRange("date", *key).sortWithinPartitions("date", *key).observe(seen, F.count(F.lit(1)).alias("rows"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id").parquet(table_path))
         n_bad = None
         if quarantine_path:
             seen_bad = Observation(f"bad_{batch_id}")
             (bad.withColumn("batch_id", F.lit(batch_id)).observe(seen_bad, F.count(F.lit(1)).alias("rows"))
-             .write.mode("append").parquet(quarantine_path))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine_path))
             n_bad = seen_bad.get["rows"]
         if metrics_path:
             ms = int((time.perf_counter() - started) * 1000)
