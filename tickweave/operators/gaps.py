@@ -60,34 +60,25 @@ def close_jobs(active: DataFrame, done: DataFrame) -> DataFrame:
     return active.join(done.select("job_id"), "job_id", "left_anti")
 
 
-def _gap_buckets(gaps: DataFrame, by: Sequence[str], bucket: int) -> DataFrame:
-    # Each gap becomes one row per id bucket it touches, so the range join below is an
-    # equi-join on (instrument, bucket) plus a BETWEEN: a hash join, not a nested loop.
-    return gaps.select(*by, "start_id", "end_id",
-                       F.explode(F.sequence(F.expr(f"start_id DIV {int(bucket)}"),
-                                            F.expr(f"end_id DIV {int(bucket)}"))).alias("_bkt"))
-
-
 def _matches(gaps: DataFrame, backfill: DataFrame, by: list[str], id_col: str, bucket: int,
              coarse: int, how: str) -> DataFrame:
-    """Backfill rows joined to the gaps containing them. Gaps up to ``coarse`` ids wide use
-    ``bucket``-sized id buckets, wider ones ``coarse``-sized buckets, so exploding a gap
-    never yields more than about ``coarse / bucket`` rows, and a bucket never holds more
-    than ``coarse`` ids."""
-    width = F.col("end_id") - F.col("start_id") + F.lit(1)
-    parts = []
-    for size, cond in ((bucket, width <= F.lit(coarse)), (coarse, width > F.lit(coarse))):
-        gb = _gap_buckets(gaps.where(cond), by, size)
-        bf = backfill.withColumn("_bkt", F.expr(f"`{id_col}` DIV {int(size)}"))
-        on = [bf[c] == gb[c] for c in by] + [bf["_bkt"] == gb["_bkt"],
-                                              bf[id_col].between(gb["start_id"], gb["end_id"])]
-        if how == "left_semi":
-            parts.append(bf.join(gb, on, "left_semi").drop("_bkt"))
-        else:
-            parts.append(bf.select(*by, "_bkt", id_col).join(gb, by + ["_bkt"], "inner")
-                         .where(F.col(id_col).between(F.col("start_id"), F.col("end_id")))
-                         .select(*by, "start_id", "end_id", id_col))
-    return parts[0].unionByName(parts[1])
+    """Backfill rows joined to the gaps containing them, one scan of each side.
+
+    Each gap becomes one row per id bucket it touches, so the range join is an equi-join on
+    (instrument, bucket size, bucket) plus a BETWEEN: a hash join, not a nested loop. Gaps up
+    to ``coarse`` ids wide use ``bucket``-sized buckets, wider ones ``coarse``-sized ones, so
+    a gap never becomes more than about ``coarse / bucket`` rows and a bucket never holds more
+    than ``coarse`` ids; a backfill row has one bucket of either size."""
+    size = F.when(F.col("end_id") - F.col("start_id") < F.lit(coarse), F.lit(int(bucket))).otherwise(F.lit(int(coarse))).cast("long")
+    gb = gaps.select(*by, "start_id", "end_id", size.alias("_size")).withColumn(
+        "_bkt", F.explode(F.sequence(F.expr("start_id DIV _size"), F.expr("end_id DIV _size"))))
+    sizes = F.explode(F.array(*[F.lit(int(x)).cast("long") for x in (bucket, coarse)]))
+    bf = backfill if how == "left_semi" else backfill.select(*by, id_col)
+    bf = bf.withColumn("_size", sizes).withColumn("_bkt", F.expr(f"`{id_col}` DIV _size"))
+    on = [bf[c] == gb[c] for c in [*by, "_size", "_bkt"]] + [bf[id_col].between(gb["start_id"], gb["end_id"])]
+    if how == "left_semi":
+        return bf.join(gb, on, "left_semi").drop("_size", "_bkt")
+    return bf.join(gb, on, "inner").select(*[bf[c] for c in by], gb["start_id"], gb["end_id"], bf[id_col])
 
 
 def fill_gaps(gaps: DataFrame, backfill: DataFrame, by: Sequence[str] = VENUE_SYMBOL,

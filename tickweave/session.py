@@ -26,6 +26,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.parquet.compression.codec", "zstd")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     if master and master.startswith("local"):
