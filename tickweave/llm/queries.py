@@ -79,6 +79,40 @@ ORACLE = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op7_tool_calls": """
+        WITH RECURSIVE t AS (
+            SELECT conv_id, turn, role, text, length(text) AS n, 'call-' || conv_id || '-' || turn AS call_id,
+                   ['search', 'summarize', 'translate', 'draw'][1 + (conv_id + turn) % 4] AS name FROM conversations),
+        c AS (SELECT * FROM t WHERE role = 'assistant'),
+        d AS (
+            SELECT conv_id, turn, 0 AS depth FROM c WHERE NOT EXISTS (SELECT 1 FROM c p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+            UNION ALL SELECT c.conv_id, c.turn, depth + 1 FROM c JOIN d ON c.conv_id = d.conv_id AND c.turn = d.turn + 2),
+        a AS (
+            SELECT conv_id, turn, call_id, name, CAST(depth AS BIGINT) AS depth,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY depth, turn, call_id) AS position,
+                   CASE WHEN n % 13 = 0 THEN NULL
+                        WHEN name = 'search' THEN '{' || CASE WHEN n % 5 = 0 THEN '"limit":"' || n || '",' ELSE '' END || '"query":' || to_json(text) || '}'
+                        WHEN name = 'summarize' THEN '{' || CASE WHEN n % 3 > 0 THEN '"ratio":0.5,' ELSE '' END || '"text":'
+                             || to_json(CASE WHEN n % 7 = 0 THEN 'seven' ELSE text END) || '}'
+                        ELSE '{' || CASE WHEN n % 11 = 0 THEN '"extra":true,' ELSE '' END || '"options":{"chars":' || n || ',"to":"en"},"text":'
+                             || to_json(text) || '}' END AS arguments,
+                   CASE WHEN n % 13 = 0 THEN '' WHEN name = 'search' AND n % 5 = 0 THEN 'type:limit'
+                        WHEN name = 'summarize' AND n % 3 = 0 THEN 'missing:ratio'
+                        WHEN name = 'translate' AND n % 11 = 0 THEN 'unknown:extra' ELSE '' END AS errors
+            FROM c JOIN d USING (conv_id, turn)),
+        r AS (
+            SELECT conv_id, 'call-' || conv_id || '-' || (turn - 1) AS call_id, count(*) AS n_results, first(text) AS content
+            FROM t WHERE role <> 'assistant' AND turn > 0 GROUP BY ALL),
+        j AS (
+            SELECT coalesce(a.conv_id, r.conv_id) AS conv_id, position, coalesce(a.call_id, r.call_id) AS call_id, name, depth, arguments, content,
+                   coalesce(errors, '') AS errors, coalesce(n_results, 0) AS n_results,
+                   CASE WHEN a.call_id IS NULL THEN 'orphan_result' WHEN name = 'draw' THEN 'unknown_tool' WHEN arguments IS NULL THEN 'bad_json'
+                        WHEN errors <> '' THEN 'invalid' WHEN n_results IS NULL THEN 'no_result' ELSE 'ok' END AS status
+            FROM a FULL JOIN r ON a.conv_id = r.conv_id AND a.call_id = r.call_id)
+        SELECT conv_id, position, call_id, name, depth, status, errors, n_results,
+               '{"arguments":' || coalesce(arguments, 'null') || ',"id":' || to_json(call_id) || ',"name":' || coalesce(CAST(to_json(name) AS VARCHAR), 'null')
+               || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || ',"status":' || to_json(status) || '}' AS message
+        FROM j""",
     "op9_ngram_join": f"""
         WITH RECURSIVE w AS (
             SELECT doc_id, [x FOR x IN regexp_split_to_array({_LOWER}, '[ \t\n\x0b\x0c\r]+') IF x <> ''] AS words FROM documents),
