@@ -92,6 +92,17 @@ def test_boundary_has_least_cost():
     assert 6 <= small <= 60
 
 
+def test_bitmaps_never_hide_a_link():
+    rng = np.random.default_rng(1)
+    for n in (3, 40, 130, 600, 5000):
+        for cut in (0.0, 0.05, 0.12, 0.5):
+            a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            b = np.concatenate([a[int(cut * n):], rng.integers(0, 1 << 63, int(rng.random() * cut * n)).astype(np.uint64)])
+            p, q = ngram_join._lacking(ngram_join._bitmap(a), ngram_join._bitmap(b))
+            assert p <= len(np.setdiff1d(a, b)) and q <= len(np.setdiff1d(b, a))
+            assert cut < 0.5 or p > 0.2 * n or n < 40
+
+
 def test_word_hashes_see_words_alone():
     a, n = ngram_join.word_hashes(["The  cat\tsat", "", "the\ncat sat", "é É"])
     assert n.tolist() == [3, 0, 3, 2] and (a[:3] == a[3:6]).all() and a[6] != a[7] and len(np.unique(a)) == 5

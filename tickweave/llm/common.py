@@ -11,7 +11,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,18 +55,16 @@ def crc_mod(column: str, n: int) -> F.Column:
 
 
 def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_CHARS) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of consecutive rows holding about ``limit`` characters; a longer
-    text stands alone. Null texts come as the empty text."""
-    texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
-    first, held, size = 0, [], 0
-    for i, t in enumerate(texts):
-        held.append(t or "")
-        size += len(held[-1])
-        if size >= limit:
-            yield first, held
-            first, held, size = i + 1, [], 0
-    if held:
-        yield first, held
+    """(first row, texts) of consecutive rows holding about ``limit`` bytes; a longer text
+    stands alone. Null texts come as the empty text; only one block is held as Python text."""
+    texts = batch.column(batch.schema.get_field_index(column))
+    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(texts):
+        before = total[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(total, before + limit, "right")))
+        yield first, [t or "" for t in texts.slice(first, end - first).to_pylist()]
+        first = end
 
 
 def sub_rows(batch: pa.RecordBatch, column: str, first: int, n: int) -> pa.Array:

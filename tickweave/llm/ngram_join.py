@@ -1,8 +1,9 @@
 """N-gram Jaccard self-join: exact, size-aware, heavy-light.
 
 A document's set holds the 64-bit hashes of its distinct word n-grams. Equal sets are one
-node. Under one global order of n-grams (rare first, by a frequency sketch over all
-documents, then by hash) two sets that link share tokens early: of a set of n tokens whose
+node. Under one global order of n-grams (rare first, by a frequency sketch: over all
+documents each task counts n-grams in 2^20 bins and reports those that stand out; then by
+hash) two sets that link share tokens early: of a set of n tokens whose
 partners must share t(n) = ceil(similarity * n), the first n - t(n) + c tokens hold c
 common ones. Small sets enumerate all pairs (c = 2) of their prefix and meet in the buckets
 of these fixed-size subsets; large sets, and the sets up to their size ratio below them,
@@ -21,6 +22,7 @@ with nothing and have a null component; rows that share a doc_id are one documen
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -35,9 +37,11 @@ from tickweave.llm.graph import components
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C55)  # odd, so it has an inverse modulo 2^64
 _INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
-_SKETCH_BITS = 16
-#: Bits of the filter that finds the documents to verify; bounds what is broadcast.
-_FILTER_BITS = 26
+_SKETCH_BITS = 20
+#: Bits of the filters that find shared keys and the documents to verify; bounds what is broadcast.
+_FILTER_BITS = 24
+#: Bytes of text that a task holds in vectors of 64-bit numbers at a time.
+_BLOCK = 1 << 19
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -49,7 +53,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers.get("up", ())) < n:
-        n = max(n, 1 << 21)
+        n = max(n, 1 << 20)
         for name, b in (("up", _BASE), ("down", _INVERSE)):
             x = np.full(n, b, np.uint64)
             x[0] = 1
@@ -121,37 +125,45 @@ def choose_boundary(sizes: dict[int, int], percent: int, scan_cost: float = 1.5,
 
 
 def _scan(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of two kinds: each document's set size and fingerprint, and each task's share of
-    the frequency sketch (feature, docs)."""
+    """Rows of two kinds: each document's set size and fingerprint, and the bins
+    of the frequency sketch that stand out in a task (bin, documents as n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << _SKETCH_BITS, np.int64)
+        sketch, held, n_held = np.zeros(1 << _SKETCH_BITS, np.int64), [], 0
         kind = None
         for batch in batches:
             kind = batch.schema.field("doc_id").type
-            for first, texts in blocks(batch):
+            for first, texts in blocks(batch, limit=_BLOCK):
                 sets = shingle_sets(texts, words)
-                sketch += np.bincount(np.concatenate(sets) >> _U(64 - _SKETCH_BITS), minlength=1 << _SKETCH_BITS)
+                held += [(s >> _U(64 - _SKETCH_BITS)).astype(np.uint32) for s in sets]
+                n_held += sum(map(len, sets))
+                if n_held > 1 << 21:
+                    sketch += np.bincount(np.concatenate(held), minlength=1 << _SKETCH_BITS)
+                    held, n_held = [], 0
                 prints = [fingerprint(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [sub_rows(batch, "doc_id", first, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()),
                      pa.nulls(len(texts), pa.int32())], names=["doc_id", "n", "s1", "s2", "bin"])
-        f = np.flatnonzero(sketch)
+        if held:
+            sketch += np.bincount(np.concatenate(held), minlength=1 << _SKETCH_BITS)
+        mean = sketch.mean()
+        f = np.flatnonzero(sketch > mean + 3 * np.sqrt(mean) + 2)  # the bins that stand out among this task's
         if kind is not None:
             yield pa.RecordBatch.from_arrays([pa.nulls(len(f), kind), pa.array(sketch[f]), pa.nulls(len(f), pa.int64()),
                                               pa.nulls(len(f), pa.int64()), pa.array(f, pa.int32())], names=["doc_id", "n", "s1", "s2", "bin"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, s1 long, s2 long, bin int")
+    return docs.select("doc_id", "text").mapInArrow(_released(run), f"doc_id {kind}, n long, s1 long, s2 long, bin int")
 
 
 def _levels(scanned: DataFrame) -> np.ndarray:
-    """How many doublings above the mean each bin of the sketch is (0: ordinary)."""
-    rows = scanned.where("bin is not null").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()  # 2^16 rows at most
-    count = np.zeros(1 << _SKETCH_BITS)
-    count[rows["bin"].to_numpy()] = rows["n"].to_numpy()
-    return np.floor(np.log2(np.maximum(count / max(count.mean(), 16.0), 1.0))).astype(np.uint8)
+    """The doublings of each bin's reported documents (0: it stood out in no task). n-grams of
+    low level come first in the order."""
+    rows = scanned.where("bin is not null").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()  # 2^20 small rows at most
+    level = np.zeros(1 << _SKETCH_BITS, np.uint8)
+    level[rows["bin"].to_numpy()] = np.floor(np.log2(1 + rows["n"].to_numpy()))
+    return level
 
 
 def _postings(docs: DataFrame, words: int, percent: int, boundary: int, levels: np.ndarray) -> DataFrame:
@@ -162,7 +174,7 @@ def _postings(docs: DataFrame, words: int, percent: int, boundary: int, levels:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for _, texts in blocks(batch):
+            for _, texts in blocks(batch, limit=_BLOCK):
                 keys, ids, sizes, places = [], [], [], []
                 for s in shingle_sets(texts, words):
                     n = len(s)
@@ -196,7 +208,7 @@ def _postings(docs: DataFrame, words: int, percent: int, boundary: int, levels:
                         [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids)),
                          pa.array(np.concatenate(sizes) << 32 | place)], names=["key", "s1", "size_at"])
 
-    return docs.select("text").mapInArrow(run, "key long, s1 long, size_at long")
+    return docs.select("text").mapInArrow(_released(run), "key long, s1 long, size_at long")
 
 
 def _may_link(a: str, b: str, percent: int) -> F.Column:
@@ -208,35 +220,96 @@ def _may_link(a: str, b: str, percent: int) -> F.Column:
         {percent} * ({a}_n + {b}_n - least({a}_n - greatest({a}_at, 0), {b}_n - greatest({b}_at, 0)))""")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b: s1 of two sets) whose whole sets link."""
-    wanted = pairs.select(F.col("a").alias("s1")).union(pairs.select("b")).distinct().join(nodes, "s1").select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(1 << _FILTER_BITS)).alias("h"))
-    bits = np.zeros(1 << (_FILTER_BITS - 6), np.uint64)
-    rows = wanted.groupBy(F.shiftright("h", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")).toPandas()
-    bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().astype(np.int64).view(np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)  # 8 MB; a full filter only lets more rows through
+def _passing(df: DataFrame, column: str, hashes: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``column`` (long) may be in the column ``h`` of ``hashes``.
+
+    The filter is a broadcast table of 2^FILTER_BITS bits (262,144 rows at most), whatever the
+    number of hashes: it passes every member, and the more members the more others as well."""
+    at = lambda c: F.pmod(c, F.lit(1 << _FILTER_BITS))
+    words = hashes.select(at(F.col("h")).alias("h")).groupBy(F.shiftright("h", 6).alias("_word")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("_bits"))
+    return df.withColumn("_at", at(F.col(column))).withColumn("_word", F.shiftright("_at", 6)).join(F.broadcast(words), "_word") \
+        .where(F.expr("shiftrightunsigned(_bits, cast(_at & 63 as int)) & 1 = 1")).drop("_word", "_at", "_bits")
+
+
+def _released(run):
+    """A task function that gives its freed memory back to the system when it ends; the
+    workers live on, two or more to an executor."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return task
+
+
+def _bitmap(s: np.ndarray) -> bytes:
+    """One bit set for each token's bucket, four buckets or more a token; the buckets are low
+    bits of the tokens, so a longer bitmap folds to a shorter one by OR of its halves."""
+    n = 1 << max(9, int(4 * len(s) - 1).bit_length())
+    bits = np.zeros(n, np.uint8)
+    bits[(s & _U(n - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _lacking(x: bytes, y: bytes) -> tuple[int, int]:
+    """Bits of each bitmap that the other lacks, at the shorter's length."""
+    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(p) > len(q):
+        p = p[:len(p) // 2] | p[len(p) // 2:]
+    while len(q) > len(p):
+        q = q[:len(q) // 2] | q[len(q) // 2:]
+    return int(np.bitwise_count(p & ~q).sum()), int(np.bitwise_count(q & ~p).sum())
+
+
+def _of_nodes(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, tokens: bool) -> DataFrame:
+    """s1 and the tokens, or else the bitmap, of the sets in ``wanted`` (s1) and a few others."""
+    ids = wanted.join(nodes, "s1").select(F.xxhash64("doc_id").alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h = batch.column(1).to_numpy().astype(np.uint64)
-            hit = (shared.value[(h >> _U(6)).astype(np.int64)] >> (h & _U(63)) & _U(1)).astype(bool)
-            for _, texts in blocks(batch.filter(pa.array(hit))):
+            for _, texts in blocks(batch, limit=_BLOCK):
                 sets = [s for s in shingle_sets(texts, words) if len(s)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([fingerprint(s)[0] for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                    names=["s1", "tokens"])
-
-    sets = docs.where("doc_id is not null").select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << _FILTER_BITS)).alias("h"), "text") \
-        .mapInArrow(run, "s1 long, tokens array<long>") \
-        .join(pairs.select(F.col("a").alias("s1")).union(pairs.select("b")).distinct(), "s1", "left_semi").dropDuplicates(["s1"])
-    sets = store(sets, "sets")
-    left = sets.select(F.col("s1").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("s1").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("x", "y"))) \
+                data = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())) if tokens else pa.array(map(_bitmap, sets), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([fingerprint(s)[0] for s in sets], pa.int64()), data], names=["s1", "data"])
+
+    return _passing(docs.where("doc_id is not null").withColumn("_h", F.xxhash64("doc_id")), "_h", ids).select("text") \
+        .mapInArrow(_released(run), "s1 long, data " + ("array<long>" if tokens else "binary")).join(wanted, "s1", "left_semi").dropDuplicates(["s1"])
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b: s1 of two sets) whose whole sets link.
+
+    Bitmaps go first: every bit of one set that the other lacks is a token that the other
+    lacks, so two sets of sizes x and y that link differ by at most x - t or y - t bits, with
+    t the intersection that their sizes ask for. What is left is intersected token by token."""
+    sizes = nodes.select("s1", "n")
+    maps = store(_of_nodes(_ends(pairs), nodes, docs, words, False).join(sizes, "s1"), "bitmaps")
+    side = lambda df, k, x, *more: df.select(F.col("s1").alias(k), F.col("data").alias(x), *more)
+
+    @F.pandas_udf("boolean")
+    def close(x, y, a_n, b_n, least):
+        import pandas as pd
+
+        ok = [p <= n - t and q <= m - t for (p, q), n, m, t in zip(map(_lacking, x, y), a_n, b_n, least)]
+        return pd.Series(ok, dtype=bool)
+
+    # 100 * i >= percent * (x + y - i)  <=>  i >= percent * (x + y) / (100 + percent)
+    near = pairs.join(side(maps, "a", "x", F.col("n").alias("a_n")), "a").join(side(maps, "b", "y", F.col("n").alias("b_n")), "b") \
+        .withColumn("least", F.ceil(F.expr(f"{percent} * (a_n + b_n) / (100 + {percent}) - 1e-9"))) \
+        .where(close("x", "y", "a_n", "b_n", "least")).select("a", "b")
+    near = store(near, "near-pairs")
+    sets = store(_of_nodes(_ends(near), nodes, docs, words, True), "sets")
+    return near.join(side(sets, "a", "x"), "a").join(side(sets, "b", "y"), "b").withColumn("both", F.size(F.array_intersect("x", "y"))) \
         .where(F.expr(f"100 * both >= {percent} * (size(x) + size(y) - both)")).select("a", "b")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("s1")).union(pairs.select("b")).distinct()
+
+
 def link(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text): sets of
     ``words``-word n-grams, linked where 100 * intersection >= ``percent`` * union."""
@@ -246,12 +319,12 @@ def link(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     nodes = store(rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "nodes")
     sizes = {r["n"]: r["count"] for r in nodes.where("n <= 1024").groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, percent)
-    postings = _postings(docs.where("doc_id is not null"), words, percent, boundary, _levels(scanned)).distinct()
-    postings = store(postings, "postings")
-    shared_keys = postings.groupBy("key").count().where("count > 1").select("key")
+    postings = store(_postings(docs.where("doc_id is not null"), words, percent, boundary, _levels(scanned)), "postings")
+    # keys of two sets or more; the filter also passes a few others, which find no partner
+    several = postings.groupBy("key").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo != hi").select(F.col("key").alias("h"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
-    members = store(postings.join(shared_keys, "key").select(
-        "key", "s1", F.shiftright("size_at", 32).alias("n"), F.expr("cast(size_at & 4294967295 as int) - 1").alias("at")).withColumn("band", band), "members")
+    members = store(_passing(postings, "key", several).select(
+        "key", "s1", F.shiftright("size_at", 32).alias("n"), F.expr("cast(size_at & 4294967295 as int) - 1").alias("at")).distinct().withColumn("band", band), "members")
     # every member against one pivot of its bucket and size band
     pivots = members.groupBy("key", "band").agg(F.min(F.struct(F.xxhash64("key", "s1").alias("draw"), "s1", "n", "at")).alias("p")) \
         .select("key", "band", F.col("p.s1").alias("a"), F.col("p.n").alias("a_n"), F.col("p.at").alias("a_at"))
