@@ -190,9 +190,12 @@ def test_drop_nulls_keeps_nan(spark):
 
 
 def test_blend_without_old(spark):
-    new = spark.createDataFrame([Row(symbol="BTC/USDT", w_vamp=1.0, w_ofi=2.0, intercept=0.5, best_lag=20)])
-    old = spark.createDataFrame([Row(symbol="BTC/USDT", w_vamp=0.0, w_ofi=1.0, intercept=9.0, best_lag=5)])
-    assert rows(rs.blend_weights(None, new)) == [("BTC/USDT", 1.0, 2.0, 0.5, 20)]
+    key = dict(exchange_id="okx", mkt_type="spot", symbol="BTC/USDT")
+    new = spark.createDataFrame([Row(**key, w_vamp=1.0, w_ofi=2.0, intercept=0.5, best_lag=20)])
+    old = spark.createDataFrame([Row(**key, w_vamp=0.0, w_ofi=1.0, intercept=9.0, best_lag=5),
+                                 Row(**(key | {"exchange_id": "binance"}), w_vamp=5.0, w_ofi=5.0, intercept=5.0, best_lag=5)])
+    assert rows(rs.blend_weights(None, new)) == [("okx", "spot", "BTC/USDT", 1.0, 2.0, 0.5, 20)]
+    assert rs.blend_weights(old, new).count() == 1
     r = rs.blend_weights(old, new).first()
     assert (r.w_vamp, r.w_ofi, r.intercept, r.best_lag) == (pytest.approx(0.2), pytest.approx(1.2), 0.5, 20)
 
