@@ -969,10 +969,36 @@ def silence_events(spark, sf):
 
 # ================================================================ STR-1, STR-3/4, STR-6 (end to end)
 
-def _events_stream(spark, sf):
-    """The ``events`` table read as a file stream (one micro-batch under availableNow)."""
-    schema = fx.events(spark, sf).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+#: Events of one micro-batch at most, and micro-batches at least, so that carried state is used.
+EVENTS_PER_TRIGGER, LEAST_TRIGGERS = 200_000, 4
+
+
+def _events_stream(spark, sf, *by: str):
+    """The ``events`` table as a file stream in the order of the expressions ``by``: a range of
+    at most EVENTS_PER_TRIGGER events in each file, and a file in each micro-batch.
+
+    The file source goes by modification times, so they are set to the order of the ranges."""
+    import re
+    import time
+
+    ev = fx.events(spark, sf)
+    n = max(LEAST_TRIGGERS, -(-ev.count() // EVENTS_PER_TRIGGER))
+    d = _scratch(spark, "events")
+    order = [F.expr(x) for x in by]
+    ev.repartitionByRange(n, *order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", EVENTS_PER_TRIGGER).parquet(d)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(d)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [(tuple(map(int, m.groups())), f.getPath()) for f in fs.listStatus(folder) if (m := re.match(r"part-(\d+)-.*-c(\d+)", f.getPath().getName()))]
+    start = (int(time.time()) - len(found)) * 1000
+    for i, (_, path) in enumerate(sorted(found, key=lambda x: x[0])):
+        fs.setTimes(path, start + 1000 * i, -1)
+        if fs.getFileStatus(path).getModificationTime() != start + 1000 * i:
+            raise RuntimeError(f"{d} doesn't keep modification times, which give the stream its order")
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(d)
+
+
+#: Orders of the derived streams, over ``events``.
+BY_TRADE, BY_ARRIVAL, BY_BOOK = ("event_id",), (f"{fx.EPOCH_MS} + user_id % 250", "event_id"), (f"{fx.EPOCH_MS} - user_id % 200", "event_id")
 
 
 def _run_available_now(df_stream: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
@@ -991,7 +1017,7 @@ def _run_available_now(df_stream: DataFrame, name: str, fmt: str = "parquet") ->
 def stream_gaps(spark, sf):
     """STR-3/4: keyed-state gap detector over the trade stream (equals GAP-1 on in-order input)."""
     from tickweave.streaming.gaps import stream_gaps as sg
-    t = fx.trades_from_events(_events_stream(spark, sf)).where(~F.col("is_lost")).drop("is_lost")
+    t = fx.trades_from_events(_events_stream(spark, sf, *BY_TRADE)).where(~F.col("is_lost")).drop("is_lost")
     return _run_available_now(sg(t), "stream-gaps").select("exchange_id", "symbol", "start_id", "end_id")
 
 
@@ -1023,7 +1049,7 @@ FROM s
 def stream_scores(spark, sf):
     """STR-6 streaming: every book scored in order with the OFI state kept per instrument."""
     from tickweave.streaming.scoring import score_stream
-    b = fx.books_from_events(_events_stream(spark, sf))
+    b = fx.books_from_events(_events_stream(spark, sf, *BY_BOOK))
     out = _run_available_now(score_stream(b, fx.weights(spark, sf)), "stream-scores")
     return out.select(*INSTRUMENT, "nonce", "timestamp", "mid_price", r6(F.col("vamp_bias_bp")).alias("vamp_bias_bp"),
                       "factor_ofi_smooth", r6(F.col("combined_alpha")).alias("combined_alpha"), "signal")
@@ -1232,7 +1258,7 @@ def silence_alarms(spark, sf):
     """STR-5 streaming: alarms at 20 s and 60 s of silence per feed, also of feeds that fall
     silent at the end; time runs sixty times as fast."""
     from tickweave.streaming.silence import silence_alarms as alarms
-    t = fx.trades_from_events(_events_stream(spark, sf)).where(~F.col("is_lost")).drop("is_lost") \
+    t = fx.trades_from_events(_events_stream(spark, sf, *BY_ARRIVAL)).where(~F.col("is_lost")).drop("is_lost") \
         .withColumn("local_timestamp", F.expr("local_timestamp DIV 60")).withColumn("data_type", F.lit("trades"))
     return _run_available_now(alarms(t), "alarms").select("exchange_id", "symbol", "data_type", "silence_start", "kind")
 
@@ -1246,7 +1272,7 @@ def stream_gap_jobs(spark, sf):
     from tickweave.streaming.gaps import stream_gaps as sg
     done = gp.gap_jobs(gp.detect_gaps(fx.local_trades(spark, sf)).where(F.col("start_id") % 3 == 0)) \
         .select("job_id", F.lit(1 << 60).alias("dispatched_ms"))
-    t = fx.trades_from_events(_events_stream(spark, sf)).where(~F.col("is_lost")).drop("is_lost")
+    t = fx.trades_from_events(_events_stream(spark, sf, *BY_TRADE)).where(~F.col("is_lost")).drop("is_lost")
     return _run_available_now(sg(t, active=done), "stream-gap-jobs").select("exchange_id", "symbol", "start_id", "end_id", "job_id")
 
 
@@ -1265,7 +1291,7 @@ def activity_sessions(spark, sf):
     trade stream; sessions closed by the watermark are emitted (the still-open last ones
     wait for more data). Time runs sixty times as fast."""
     from tickweave.streaming.silence import activity_sessions as sessions
-    t = fx.trades_from_events(_events_stream(spark, sf)).where(~F.col("is_lost")).drop("is_lost") \
+    t = fx.trades_from_events(_events_stream(spark, sf, *BY_ARRIVAL)).where(~F.col("is_lost")).drop("is_lost") \
         .withColumn("local_timestamp", F.expr("local_timestamp DIV 60"))
     out = _run_available_now(sessions(t), "sessions")
     return out.select("exchange_id", "symbol", "n_messages", "first_ms", "last_ms")

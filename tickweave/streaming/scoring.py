@@ -115,7 +115,8 @@ def start_scoring(books_stream: DataFrame, weights: DataFrame, sink_path: str,
     ``weights`` is the weight table (instrument, w_vamp, w_ofi, intercept), joined to the
     stream as a static side, so a refreshed weight file is picked up by later micro-batches
     of a restarted query. Within a micro-batch the books of an instrument are scored in
-    (timestamp, nonce) order.
+    (timestamp, nonce) order; Spark gives them in no order, so they are held together, and the
+    source's rate limit (``maxFilesPerTrigger``) bounds them.
     """
     scored = score_stream(books_stream, weights, window, threshold)
     w = scored.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
