@@ -130,3 +130,24 @@ def test_oracles(spark):
         cur = con.execute(sql)
         names = [c[0] for c in cur.description]
         assert sorted(cur.fetchall(), key=str) == rows_of(queries.QUERIES[name](spark, SF), *names), name
+
+
+def brute_links(rows, words=4, percent=85):
+    first = {}
+    for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        s = frozenset(tuple(w[k:k + words]) for k in range(len(w) - words + 1)) or (frozenset({tuple(w)}) if w else None)
+        if s:
+            first.setdefault(s, i)
+    named = sorted((i, s) for s, i in first.items())
+    return sorted((i, j) for k, (i, s) in enumerate(named) for j, t in named[k + 1:] if 100 * len(s & t) >= percent * len(s | t))
+
+
+@pytest.mark.parametrize("percent,cell", [(85, 512), (60, 3)])
+def test_links_are_all_of_the_brute_force_s(spark, percent, cell):
+    """Also those within a component that the pivots have joined already."""
+    base = [f"x{i}" for i in range(80)]
+    rows = near_copies(11, groups=15) + [(1000 + k, " ".join(base[:k] + base[k + 1:])) for k in range(12)] + [(2000, " ".join(base)), (2001, " ".join(base)), (None, " ".join(base))]
+    want = brute_links(rows, percent=percent)
+    assert len([p for p in want if p[0] >= 1000]) > 12 * 11 // 3
+    assert rows_of(ngram_join.links(docs(spark, rows), percent=percent, cell=cell), "a", "b") == sorted(want, key=str)

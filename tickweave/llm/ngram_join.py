@@ -310,9 +310,9 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("s1")).union(pairs.select("b")).distinct()
 
 
-def link(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text): sets of
-    ``words``-word n-grams, linked where 100 * intersection >= ``percent`` * union."""
+def _started(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, ...]:
+    """Set sizes, distinct sets, bucket members, pairs of members with pivots, and those of the
+    pairs that link."""
     docs = docs.select("doc_id", "text")
     scanned = store(_scan(docs, words), "set-sizes")
     rows = scanned.where("bin is null")
@@ -333,6 +333,14 @@ def link(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     stars = store(stars, "star-pairs")
     first = store(_verified(stars, nodes, docs, words, percent), "star-links")
+    return rows, nodes, members, stars, first
+
+
+def link(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text): sets of
+    ``words``-word n-grams, linked where 100 * intersection >= ``percent`` * union."""
+    docs = docs.select("doc_id", "text")
+    rows, nodes, members, stars, first = _started(docs, words, percent)
     grouped = components(first)
     # members of one bucket that are still apart
     placed = members.join(grouped.select(F.col("node").alias("s1"), "component"), "s1", "left") \
@@ -355,6 +363,29 @@ def link(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def links(docs: DataFrame, words: int = 4, percent: int = 85, cell: int = 512) -> DataFrame:
+    """a, b (a < b) of all pairs of different sets that link; a set is named by the smallest
+    doc_id that has it.
+
+    ``link`` leaves out pairs of members that it has joined through others; here all members of
+    a bucket meet, in cells of about ``cell`` members against another. The pairs of a group of
+    near copies with different texts grow with its square, as the result does."""
+    docs = docs.select("doc_id", "text")
+    _, nodes, members, stars, first = _started(docs, words, percent)
+    cells = members.groupBy("key").agg(F.expr(f"count(*) div {cell} + 1").alias("cells"))
+    mine = F.pmod(F.xxhash64("s1", F.lit(5)), F.col("cells"))
+    dealt = members.join(cells, "key").withColumn("mine", mine).withColumn("other", F.explode(F.expr("sequence(0L, cells - 1)"))) \
+        .withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
+    side = lambda x, at: dealt.where(f"mine = {at}").select("key", "lo", "hi", F.col("s1").alias(x), F.col("n").alias(f"{x}_n"), F.col("at").alias(f"{x}_at"))
+    met = side("a", "lo").join(side("b", "hi"), ["key", "lo", "hi"]).where("lo < hi or a < b").where(_may_link("a", "b", percent)) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
+    rest = store(met.join(stars, ["a", "b"], "left_anti"), "rest-pairs")
+    named = nodes.select("s1", "doc_id")
+    return first.union(_verified(rest, nodes, docs, words, percent)) \
+        .join(named.select(F.col("s1").alias("a"), F.col("doc_id").alias("u")), "a").join(named.select(F.col("s1").alias("b"), F.col("doc_id").alias("v")), "b") \
+        .select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+
+
 def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the documents that link to one with a smaller doc_id (directly or
     through others); all columns as they are."""
