@@ -69,3 +69,15 @@ def blocks(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_CHARS
 
 def sub_rows(batch: pa.RecordBatch, column: str, first: int, n: int) -> pa.Array:
     return batch.column(batch.schema.get_field_index(column)).slice(first, n)
+
+
+def words_of(data: bytes, table: bytes, step: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Maximal runs of the bytes that ``table`` (as of bytes.translate) does not turn into a
+    blank, in lists of about ``step`` bytes, so a long text's words are never all held."""
+    data = data.translate(table)
+    first = 0
+    while first < len(data):
+        end = len(data) if len(data) - first <= step else data.find(b" ", first + step)
+        end = len(data) if end < 0 else end
+        yield data[first:end].split()
+        first = end

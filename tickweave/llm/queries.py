@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import attention_lm, byte_bpe, language_id, line_dedup, nearest, ngram_join, order_minhash, packing, token_counts, tool_calls
+from tickweave.llm import attention_lm, byte_bpe, language_id, lexical_search, line_dedup, mixing, nearest, ngram_join, order_minhash, packing, spelling, token_counts, tool_calls
 from tickweave.llm.common import documents
 
 
@@ -60,11 +60,27 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edit_digests(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_attention_lm, op3_packing, op4_token_counts, op5_line_dedup, op6_nearest, op7_tool_calls, op8_byte_bpe, op9_ngram_join, op10_order_minhash)}
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix of sources to their target weights takes of every document."""
+    return mixing.taken(documents(spark, sf_dir))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring of all documents for every benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical_search.search(items, documents(spark, sf_dir)).drop("text_key")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all whole texts with their forms, one in 31 (document, word) pairs misspelt."""
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_attention_lm, op3_packing, op4_token_counts, op5_line_dedup, op6_nearest, op7_tool_calls, op8_byte_bpe, op9_ngram_join, op10_order_minhash, op11_mixing, op12_lexical_search, op13_spelling)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-#: The others learn from the text, follow a tokenizer or search approximately; their tests
+#: The others learn from the text, follow a tokenizer, draw or search approximately; their tests
 #: hold them against plain rules, the libraries, held-out accuracy and brute force.
 ORACLE = {
     "op5_line_dedup": f"""
@@ -127,4 +143,48 @@ ORACLE = {
         reach AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a)
         SELECT s.doc_id, len(s.set) AS n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS component_id
         FROM s LEFT JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.set""",
+    "op12_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        i AS (
+            SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        q AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY ALL),
+        s AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+        p AS (SELECT doc, doc_id, n, term, count(*) AS tf FROM (SELECT doc, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY ALL),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY term),
+        f AS (
+            SELECT item_id, doc, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+            FROM q JOIN p USING (term) JOIN w USING (term), s GROUP BY ALL)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM f WHERE score > 0 QUALIFY rank <= 10""",
+    "op13_spelling": r"""
+        WITH RECURSIVE tab AS (
+            SELECT list(c ORDER BY i) AS t FROM (
+                SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+                FROM range(256) r(i))),
+        runs AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+            FROM documents),
+        long AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+        bytes AS (SELECT doc_id, run, n, hex(encode(doc_id || ':' || run)) AS x FROM long),
+        sums AS (
+            SELECT doc_id, run, n, xor(4294967295, list_reduce(list_concat([4294967295], [CAST(concat('0x', substr(x, 2 * k + 1, 2)) AS BIGINT) FOR k IN range(length(x) // 2)]),
+                lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) AS h FROM bytes, tab),
+        spelt AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, 2 + h % length(run)) ELSE run END AS word, n FROM sums),
+        words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        cuts AS (SELECT word, n, k, left(word, k) || substr(word, k + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS k FROM words)),
+        pairs AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+        near AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM pairs GROUP BY word),
+        forms AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+            FROM words LEFT JOIN near USING (word)),
+        chain AS (
+            SELECT word, word AS root, form AS ahead FROM forms
+            UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.ahead)
+        SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word AND c.ahead IS NULL""",
 }
