@@ -39,12 +39,14 @@ REPEATS = 3
 WEIGHTS = (5, 2, 1)
 #: Parts of a slot in which expected numbers of slots are counted.
 UNITS = 1 << 20
+#: Slots that one task lays out.
+TASK_SLOTS = 1 << 18
 #: Rounds of the permutation.
 ROUNDS = 16
 #: Rows that one cell orders, equal rows that stand as one until they are laid out, and cells
 #: or shards that one span of a prefix sum holds.
-CELL_ROWS = 4096
-CHUNK = 4096
+CELL_ROWS = 512
+CHUNK = 512
 SPAN = 4096
 
 
@@ -184,8 +186,9 @@ def slots(sources: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS
     counts = store(shard_counts(sources, block, shard_slots, seed), "mixing-counts")
     placed = running_before(counts, "src", "shard", "n", "first")
     n = F.ceil(F.col("source_size") / block).cast("long")
-    placed = placed.join(sources.select("src", n.alias("blocks")), "src")
-    every = placed.where("n > 0").withColumn("nth", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1))) \
+    placed = placed.join(sources.select("src", n.alias("blocks")), "src").where("n > 0")
+    tasks = math.ceil((counts.agg(F.sum("n")).first()[0] or 0) / TASK_SLOTS)
+    every = placed.repartition(max(1, tasks), "shard", "src").withColumn("nth", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1))) \
         .where(F.col("nth") < F.col("blocks") * repeats)
     turn, at = F.floor(F.col("nth") / F.col("blocks")).cast("long"), F.col("nth") % F.col("blocks")
     return every.select("shard", "src", "nth", permuted(at, F.col("blocks"), F.lit(seed), F.col("src"), turn).alias("index"))
