@@ -124,7 +124,7 @@ def test_oracles(spark):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in queries.ORACLE.items():
         cur = con.execute(sql)

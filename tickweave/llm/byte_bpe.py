@@ -23,15 +23,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tickweave.llm.common import blocks, sub_rows
+from tickweave.llm.common import Remembered, blocks, released, sub_rows
 from tickweave.llm.pairs import NONE, PairTable, merge_one
 
 #: A space before one of these always begins a match, so a text may be cut there.
 _CUT = re.compile(" (?=[!-~¡-ɏ])")
 _ODD = re.compile(" (?![!-~¡-ɏ])")
-#: Bytes of the longest rows that share a matrix; longer matches merge alone.
+#: Bytes of the longest rows that share a matrix; longer matches merge alone, by a heap.
 LONG = 512
-REMEMBERED = 400_000
+#: Bytes that a worker remembers, about, of matches and of parts.
+REMEMBERED = 24 << 20
 
 
 def cut(text: str) -> list[str]:
@@ -59,9 +60,7 @@ class ByteBpe:
         self.vocabulary = [b""] * (max(ranks.values()) + 1)
         for token, r in ranks.items():
             self.vocabulary[r] = token
-        self._match: dict[str, bytes] = {}
-        self._part: dict[str, bytes] = {}
-        self._head: dict[str, bytes] = {}
+        self._match, self._part, self._head = (Remembered(REMEMBERED) for _ in range(3))
 
     def merge_rows(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of each piece of bytes."""
@@ -141,15 +140,16 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self._match) + len(self._part) > REMEMBERED:
-            self._match.clear(), self._part.clear(), self._head.clear()
         split = [cut(t) for t in texts]
         parts = set()
         for s in split:
             parts.update(s[1:])
         self._learn(parts - self._part.keys(), {s[0] for s in split} - self._head.keys())
         get = self._part.__getitem__
-        return [self._head[s[0]] + b"".join(map(get, s[1:])) for s in split]
+        out = [self._head[s[0]] + b"".join(map(get, s[1:])) for s in split]
+        for held in (self._match, self._part, self._head):
+            held.end()
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -189,4 +189,4 @@ def encode_documents(docs: DataFrame, rank_file: str | None = None, with_ids: bo
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(released(run), schema)

@@ -8,8 +8,9 @@ empty table gives an empty result with the same schema.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -81,3 +82,42 @@ def words_of(data: bytes, table: bytes, step: int = 1 << 20) -> Iterator[list[by
         end = len(data) if end < 0 else end
         yield data[first:end].split()
         first = end
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task function that gives its freed memory back to the system when it ends; the
+    workers live on, two or more to an executor."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return task
+
+
+class Remembered(dict):
+    """What a worker remembers by text from block to block: about ``limit`` bytes. After
+    a block ``end`` forgets long texts, and everything once the limit is passed."""
+
+    LONGEST = 64
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.held, self._long = limit, 0, []
+
+    def __setitem__(self, text: str, value) -> None:
+        super().__setitem__(text, value)
+        if len(text) > self.LONGEST:
+            self._long.append(text)
+        else:
+            self.held += 160 + 2 * len(text) + (len(value) if isinstance(value, bytes) else 32)
+
+    def end(self) -> None:
+        for text in self._long:
+            self.pop(text, None)
+        self._long.clear()
+        if self.held > self.limit:
+            self.clear()
+            self.held = 0

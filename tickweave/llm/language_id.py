@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import blocks, crc_mod, fresh, store, sub_rows, text_key
+from tickweave.llm.common import blocks, crc_mod, fresh, released, store, sub_rows, text_key
 
 #: Hashed features; also the bound of what reaches the driver, times the languages.
 BITS = 16
@@ -33,6 +33,8 @@ ORDERS = 3
 _MUL = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 #: A feature's mean value is about 1/BITS-th of a text; this brings logits to a usual scale.
 SCALE = np.float32(4.0)
+#: Numbers that a task gathers at a time.
+GATHERED = 1 << 22
 
 
 def folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,10 +151,15 @@ class Model:
             return ["und"] * len(texts), np.ones(len(texts))
         code, start, size = folded(texts)
         logits = np.zeros((len(texts), len(self.languages)))
-        # sums over each text's own places; the other blanks after a text belong to none
-        edges = np.stack([start, start + size], 1).ravel()
+        end, step = start + size, max(1 << 10, GATHERED // max(1, len(self.languages)))
         for g in grams(code):
-            logits += np.add.reduceat(self.table[g], edges, axis=0, dtype=np.float64)[::2]
+            for lo in range(0, len(code), step):
+                # sums over each text's own places; the other blanks after a text belong to none
+                a, b = np.searchsorted(end, lo, "right"), np.searchsorted(start, lo + step)
+                if a < b:
+                    edges = np.stack([np.maximum(start[a:b] - lo, 0), np.minimum(end[a:b] - lo, step)], 1).ravel()
+                    rows = np.concatenate([self.table[g[lo:lo + step]], np.zeros((1, len(self.languages)), np.float32)])
+                    logits[a:b] += np.add.reduceat(rows, edges, axis=0, dtype=np.float64)[::2]
         p = softmax((logits / size[:, None] + self.bias) / self.t)
         best = p.argmax(1)
         lettered = [has_letter(t) for t in texts]
@@ -232,7 +239,7 @@ def predict(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     text = fresh(docs, "text_read")
     kinds = dict(docs.dtypes)
     return docs.select(*columns, F.col("text").alias(text)).mapInArrow(
-        run, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", lang_pred string, score double")
+        released(run), ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", lang_pred string, score double")
 
 
 def identify(docs: DataFrame, sample_docs: int = 4000) -> DataFrame:
@@ -248,22 +255,16 @@ def keep_identified(docs: DataFrame, min_score: float = 0.5, sample_docs: int =
     model = train(docs, sample_docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def known(text):
-        import pandas as pd
-
-        out: list[bool] = []
-        held: list[str] = []
-        texts = text.tolist()
-        for i, t in enumerate(texts):
-            held.append(t or "")
-            if i + 1 == len(texts) or sum(map(len, held)) >= 1 << 21 or len(held) == 1000:
-                names, score = shared.value.predict(held)
-                if shared.value.languages:
-                    out += [n != "und" and s >= min_score for n, s in zip(names, score)]
-                else:
-                    out += [has_letter(x) for x in held]
-                held = []
-        return pd.Series(out, dtype=bool)
+    @F.arrow_udf("boolean")
+    def known(text: pa.Array) -> pa.Array:
+        out = []
+        for _, texts in blocks(pa.RecordBatch.from_arrays([text], names=["text"])):
+            if shared.value.languages:
+                names, score = shared.value.predict(texts)
+                out += [n != "und" and bool(s >= min_score) for n, s in zip(names, score, strict=True)]
+            else:
+                out += map(has_letter, texts)
+        pa.default_memory_pool().release_unused()
+        return pa.array(out, pa.bool_())
 
     return docs.where(known("text"))

@@ -1,15 +1,21 @@
 """N-gram Jaccard self-join: exact, size-aware, heavy-light.
 
 A document's set holds the 64-bit hashes of its distinct word n-grams. Equal sets are one
-node. Under one global order of n-grams (rare first, by a frequency sketch: over all
-documents each task counts n-grams in 2^20 bins and reports those that stand out; then by
-hash) two sets that link share tokens early: of a set of n tokens whose
+node. Under one global order of n-grams (rare first, then by hash) two sets that link share
+tokens early: of a set of n tokens whose
 partners must share t(n) = ceil(similarity * n), the first n - t(n) + c tokens hold c
 common ones. Small sets enumerate all pairs (c = 2) of their prefix and meet in the buckets
 of these fixed-size subsets; large sets, and the sets up to their size ratio below them,
 post their prefix (c = 1) and scan the inverted lists. The size boundary is the one of least
 estimated cost over the histogram of set sizes.
 
+The order comes from the buckets themselves: a pass over all documents counts the sets that
+each prefix token would bring together in hash order, another one all tokens of the sets with
+many such tokens of large buckets; these go to the end, by size. A third pass counts the keys
+under that order, and only keys of two sets or more are written. Both go to the tasks as tables of hashed slots of a bounded size;
+when tokens share slots, some stand later than they should or are written for nothing, which
+costs time and changes no result.
+
 A bucket is never expanded into all its pairs at once: first every member is checked against
 one pivot of its bucket and size band; then only members that are still in different
 components and pass the size and position filters are paired. Every candidate is verified
@@ -22,8 +28,8 @@ with nothing and have a null component; rows that share a doc_id are one documen
 
 from __future__ import annotations
 
-import ctypes
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -31,14 +37,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import blocks, store, sub_rows
+from tickweave.llm.common import blocks, released, store, sub_rows
 from tickweave.llm.graph import components
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C55)  # odd, so it has an inverse modulo 2^64
 _INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
-_SKETCH_BITS = 20
-#: Bits of the filters that find shared keys and the documents to verify; bounds what is broadcast.
+#: Slots, as powers of two, of the tables of large buckets and of keys that sets share.
+_LEVEL_BITS = (22, 24)
+_SHARED_BITS = (24, 27)
+#: Sets of a bucket whose token goes to the end of the order.
+_LARGE = 8
+#: Bits of the filters that find the documents to verify; bounds what is broadcast.
 _FILTER_BITS = 24
 #: Bytes of text that a task holds in vectors of 64-bit numbers at a time.
 _BLOCK = 1 << 19
@@ -125,90 +135,139 @@ def choose_boundary(sizes: dict[int, int], percent: int, scan_cost: float = 1.5,
 
 
 def _scan(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of two kinds: each document's set size and fingerprint, and the bins
-    of the frequency sketch that stand out in a task (bin, documents as n)."""
+    """Each document's set size and fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, held, n_held = np.zeros(1 << _SKETCH_BITS, np.int64), [], 0
-        kind = None
         for batch in batches:
-            kind = batch.schema.field("doc_id").type
             for first, texts in blocks(batch, limit=_BLOCK):
                 sets = shingle_sets(texts, words)
-                held += [(s >> _U(64 - _SKETCH_BITS)).astype(np.uint32) for s in sets]
-                n_held += sum(map(len, sets))
-                if n_held > 1 << 21:
-                    sketch += np.bincount(np.concatenate(held), minlength=1 << _SKETCH_BITS)
-                    held, n_held = [], 0
                 prints = [fingerprint(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [sub_rows(batch, "doc_id", first, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()),
-                     pa.nulls(len(texts), pa.int32())], names=["doc_id", "n", "s1", "s2", "bin"])
-        if held:
-            sketch += np.bincount(np.concatenate(held), minlength=1 << _SKETCH_BITS)
-        mean = sketch.mean()
-        f = np.flatnonzero(sketch > mean + 3 * np.sqrt(mean) + 2)  # the bins that stand out among this task's
-        if kind is not None:
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(f), kind), pa.array(sketch[f]), pa.nulls(len(f), pa.int64()),
-                                              pa.nulls(len(f), pa.int64()), pa.array(f, pa.int32())], names=["doc_id", "n", "s1", "s2", "bin"])
+                     pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64())],
+                    names=["doc_id", "n", "s1", "s2"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(_released(run), f"doc_id {kind}, n long, s1 long, s2 long, bin int")
+    return docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {kind}, n long, s1 long, s2 long")
+
+
+class Slots:
+    """Small numbers by hash: of all hashes that share a slot, the largest number."""
+
+    def __init__(self, width: int, bits: int, data: np.ndarray):
+        self.width, self.bits, self.data = width, bits, data
+
+    @staticmethod
+    def of(hashes: DataFrame, value: F.Column, width: int, least: int, most: int) -> "Slots":
+        """Of the column ``h``, with ``value`` below 2^width: 64 slots for each hash, within
+        2^least and 2^most, packed into words by Spark; so many words reach the driver."""
+        n = hashes.count()
+        bits = min(most, max(least, math.ceil(math.log2(64 * n + 1))))
+        per = 64 // width
+        slot = F.shiftrightunsigned("h", 64 - bits)
+        place = (F.col("slot") % per * width).cast("int")
+        words = hashes.groupBy(slot.alias("slot")).agg(F.max(value).alias("v")) \
+            .groupBy(F.floor(F.col("slot") / per).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.col("v").cast("long"), place)).alias("bits"))
+        data, rows = np.zeros((1 << bits) // per, np.int64), words.toPandas()
+        data[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+        return Slots(width, bits, data)
+
+    def at(self, h: np.ndarray) -> np.ndarray:
+        slot, per = (h >> _U(64 - self.bits)).astype(np.int64), 64 // self.width
+        return self.data[slot // per] >> (slot % per * self.width) & ((1 << self.width) - 1)
+
+
+def _keys(s: np.ndarray, percent: int, boundary: int, levels: Slots) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a set (sorted hashes), and the place in its prefix from 1 that each
+    stands for (0 for a subset)."""
+    n = len(s)
+    k = n - _required(n, percent)
+    level = levels.at(s)
+    if level.any():
+        s = s[np.argsort(level, kind="stable")]
+    keys, places = [], []
+    if n <= boundary:
+        a, b = np.array(list(combinations(range(min(n, k + 2)), 2))).T
+        pair = np.sort(np.stack([s[a], s[b]]), 0)
+        keys.append(mix(pair[0] * _U(0x9FB21C651E98DF25) + mix(pair[1])))
+        places.append(np.zeros(len(a), np.int64))
+    if n * 100 >= percent * (boundary + 1):
+        keys.append(s[:k + 1])
+        places.append(np.arange(1, k + 2))
+    return np.concatenate(keys), np.concatenate(places)
+
+
+def _distinct_sets(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[list[np.ndarray]]:
+    """A task's sets that sets of another size can link with, without most repeats."""
+    seen: set[int] = set()
+    for batch in batches:
+        for _, texts in blocks(batch, limit=_BLOCK):
+            out = []
+            for s in shingle_sets(texts, words):
+                n = len(s)
+                # sizes no other set can link with: only equal sets do, and they are one node
+                if n < 2 or _required(n, percent) == n and n * 100 // percent == n:
+                    continue
+                me = fingerprint(s)[0]
+                if me not in seen:
+                    if len(seen) < 1_000_000:
+                        seen.add(me)
+                    out.append((me, s))
+            if out:
+                yield out
+
+
+def _counted(docs: DataFrame, words: int, percent: int, least: int, keys: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """h, n of the hashes that ``keys`` gives for ``least`` sets or more; equal sets count once
+    a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sets in _distinct_sets(batches, words, percent):
+            h = np.concatenate([keys(s) for _, s in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
+
+    return docs.select("text").mapInArrow(released(run), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+
 
+def _token_levels(docs: DataFrame, words: int, percent: int) -> Slots:
+    """The doublings of the sets that hold a token, as far as buckets show it to be in many:
+    first of prefix tokens in hash order, then of all tokens of the sets whose prefix has
+    such tokens for a quarter, as those of passages and groups of near copies."""
+    doublings = F.least(F.lit(15), F.floor(F.log2(F.col("n").cast("double"))).cast("int") - int(math.log2(_LARGE)) + 1)
+    prefix = lambda s: s[:len(s) - _required(len(s), percent) + 1]
+    first = store(_counted(docs, words, percent, _LARGE, prefix), "large-buckets")
+    shared = docs.sparkSession.sparkContext.broadcast(Slots.of(first, doublings, 4, *_LEVEL_BITS))
 
-def _levels(scanned: DataFrame) -> np.ndarray:
-    """The doublings of each bin's reported documents (0: it stood out in no task). n-grams of
-    low level come first in the order."""
-    rows = scanned.where("bin is not null").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()  # 2^20 small rows at most
-    level = np.zeros(1 << _SKETCH_BITS, np.uint8)
-    level[rows["bin"].to_numpy()] = np.floor(np.log2(1 + rows["n"].to_numpy()))
-    return level
+    def whole(s: np.ndarray) -> np.ndarray:
+        large = shared.value.at(prefix(s)) > 0
+        return s if 4 * large.sum() >= len(large) else s[:0]
 
+    more = store(_counted(docs, words, percent, _LARGE, whole), "large-tokens")
+    return Slots.of(first.unionByName(more), doublings, 4, *_LEVEL_BITS)
 
-def _postings(docs: DataFrame, words: int, percent: int, boundary: int, levels: np.ndarray) -> DataFrame:
+
+def _postings(docs: DataFrame, words: int, percent: int, boundary: int, levels: Slots, shared_keys: Slots) -> DataFrame:
     """key, s1, size_at (size << 32 | place in the prefix from 1, 0 for a subset): subset keys
-    of small sets, prefix tokens of the others. One row each within a task for equal sets."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
+    of small sets, prefix tokens of the others, as far as two sets have them. One row each
+    within a task for equal sets."""
+    shared = docs.sparkSession.sparkContext.broadcast((levels, shared_keys))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for _, texts in blocks(batch, limit=_BLOCK):
-                keys, ids, sizes, places = [], [], [], []
-                for s in shingle_sets(texts, words):
-                    n = len(s)
-                    # sizes no other size can link with: only equal sets do, and they are one node
-                    if n < 2 or _required(n, percent) == n and n * 100 // percent == n:
-                        continue
-                    me = fingerprint(s)[0]
-                    if me in seen:
-                        continue
-                    if len(seen) < 1_000_000:
-                        seen.add(me)
-                    k = n - _required(n, percent)
-                    level = shared.value[s >> _U(64 - _SKETCH_BITS)]
-                    if level.any():
-                        s = s[np.argsort(level, kind="stable")]
-                    found = []
-                    if n <= boundary:
-                        a, b = np.array(list(combinations(range(min(n, k + 2)), 2))).T
-                        pair = np.sort(np.stack([s[a], s[b]]), 0)
-                        found.append((mix(pair[0] * _U(0x9FB21C651E98DF25) + mix(pair[1])), np.zeros(len(a), np.int64)))
-                    if n * 100 >= percent * (boundary + 1):
-                        found.append((s[:k + 1], np.arange(1, k + 2)))
-                    for key, place in found:
-                        keys.append(key)
-                        places.append(place)
-                        ids.append(np.full(len(key), me, np.int64))
-                        sizes.append(np.full(len(key), n, np.int64))
-                if keys:
-                    place = np.concatenate(places)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids)),
-                         pa.array(np.concatenate(sizes) << 32 | place)], names=["key", "s1", "size_at"])
-
-    return docs.select("text").mapInArrow(_released(run), "key long, s1 long, size_at long")
+        levels, wanted = shared.value
+        for sets in _distinct_sets(batches, words, percent):
+            keys, ids, sizes, places = [], [], [], []
+            for me, s in sets:
+                key, place = _keys(s, percent, boundary, levels)
+                there = wanted.at(key) > 0
+                keys.append(key[there])
+                places.append(place[there])
+                ids.append(np.full(len(keys[-1]), me, np.int64))
+                sizes.append(np.full(len(keys[-1]), len(s), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids)),
+                 pa.array(np.concatenate(sizes) << 32 | np.concatenate(places))], names=["key", "s1", "size_at"])
+
+    return docs.select("text").mapInArrow(released(run), "key long, s1 long, size_at long")
 
 
 def _may_link(a: str, b: str, percent: int) -> F.Column:
@@ -232,19 +291,6 @@ def _passing(df: DataFrame, column: str, hashes: DataFrame) -> DataFrame:
         .where(F.expr("shiftrightunsigned(_bits, cast(_at & 63 as int)) & 1 = 1")).drop("_word", "_at", "_bits")
 
 
-def _released(run):
-    """A task function that gives its freed memory back to the system when it ends; the
-    workers live on, two or more to an executor."""
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
-
-    return task
-
-
 def _bitmap(s: np.ndarray) -> bytes:
     """One bit set for each token's bucket, four buckets or more a token; the buckets are low
     bits of the tokens, so a longer bitmap folds to a shorter one by OR of its halves."""
@@ -276,7 +322,7 @@ def _of_nodes(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, words: int,
                 yield pa.RecordBatch.from_arrays([pa.array([fingerprint(s)[0] for s in sets], pa.int64()), data], names=["s1", "data"])
 
     return _passing(docs.where("doc_id is not null").withColumn("_h", F.xxhash64("doc_id")), "_h", ids).select("text") \
-        .mapInArrow(_released(run), "s1 long, data " + ("array<long>" if tokens else "binary")).join(wanted, "s1", "left_semi").dropDuplicates(["s1"])
+        .mapInArrow(released(run), "s1 long, data " + ("array<long>" if tokens else "binary")).join(wanted, "s1", "left_semi").dropDuplicates(["s1"])
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -314,19 +360,23 @@ def _started(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, ...]
     """Set sizes, distinct sets, bucket members, pairs of members with pivots, and those of the
     pairs that link."""
     docs = docs.select("doc_id", "text")
-    scanned = store(_scan(docs, words), "set-sizes")
-    rows = scanned.where("bin is null")
+    rows = store(_scan(docs, words), "set-sizes")
     nodes = store(rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "nodes")
     sizes = {r["n"]: r["count"] for r in nodes.where("n <= 1024").groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, percent)
-    postings = store(_postings(docs.where("doc_id is not null"), words, percent, boundary, _levels(scanned)), "postings")
-    # keys of two sets or more; the filter also passes a few others, which find no partner
-    several = postings.groupBy("key").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo != hi").select(F.col("key").alias("h"))
+    # one document of each set does for the rest, and a few others that share its filter's bits
+    chosen = _passing(docs.where("doc_id is not null").withColumn("_h", F.xxhash64("doc_id")), "_h", nodes.select(F.xxhash64("doc_id").alias("h")))
+    levels = _token_levels(chosen, words, percent)
+    order = docs.sparkSession.sparkContext.broadcast(levels)
+    several = store(_counted(chosen, words, percent, 2, lambda s: _keys(s, percent, boundary, order.value)[0]).select("h"), "shared-keys")
+    postings = _postings(chosen, words, percent, boundary, levels, Slots.of(several, F.lit(1), 1, *_SHARED_BITS))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
-    members = store(_passing(postings, "key", several).select(
+    members = store(postings.select(
         "key", "s1", F.shiftright("size_at", 32).alias("n"), F.expr("cast(size_at & 4294967295 as int) - 1").alias("at")).distinct().withColumn("band", band), "members")
-    # every member against one pivot of its bucket and size band
-    pivots = members.groupBy("key", "band").agg(F.min(F.struct(F.xxhash64("key", "s1").alias("draw"), "s1", "n", "at")).alias("p")) \
+    # every member against one pivot of its bucket and size band: the one with the fewest rarer
+    # n-grams before the bucket's, which of a group of near copies is one with few edits of its
+    # own; of several such each bucket draws another
+    pivots = members.groupBy("key", "band").agg(F.min(F.struct("at", F.xxhash64("key", "s1").alias("draw"), "s1", "n")).alias("p")) \
         .select("key", "band", F.col("p.s1").alias("a"), F.col("p.n").alias("a_n"), F.col("p.at").alias("a_at"))
     stars = members.select("key", "band", F.col("s1").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at")) \
         .join(pivots, ["key", "band"]).where("a != b").where(_may_link("a", "b", percent)) \

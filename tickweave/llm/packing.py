@@ -30,9 +30,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickweave.llm.byte_bpe import cut, read_ranks
-from tickweave.llm.common import blocks, store
+from tickweave.llm.common import Remembered, blocks, released, store
 
-REMEMBERED = 700_000
+#: Bytes that a worker remembers, about, of parts and of text beginnings.
+REMEMBERED = 64 << 20
 #: Characters that every Unicode version classes alike.
 _PLAIN = re.compile("[\t\n\r -~¡-ɏ]*")
 #: Rows that one cell of the rank count holds at most, about.
@@ -59,8 +60,7 @@ class Ids:
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._fast = ranks and tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(ranks), special_tokens={})._core_bpe.encode_ordinary
-        self._part: dict[str, bytes] = {}
-        self._head: dict[str, bytes] = {}
+        self._part, self._head = Remembered(REMEMBERED), Remembered(REMEMBERED >> 3)
 
     def _encode(self, text: str, special: list[str]) -> bytes:
         if self._fast and _PLAIN.fullmatch(text) and not (special and any(x in text for x in special)):
@@ -68,8 +68,6 @@ class Ids:
         return array("H", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self._part) > REMEMBERED:
-            self._part.clear(), self._head.clear()
         split = [cut(t) for t in texts]
         parts = set()
         for s in split:
@@ -80,7 +78,9 @@ class Ids:
         for x in {s[0] for s in split} - self._head.keys():
             self._head[x] = self._encode(x, special)
         get = self._part.__getitem__
-        return [self._head[s[0]] + b"".join(map(get, s[1:])) for s in split]
+        out = [self._head[s[0]] + b"".join(map(get, s[1:])) for s in split]
+        self._part.end(), self._head.end()
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -116,7 +116,7 @@ def _pieces(docs: DataFrame, path: str | None, end_id: int, window: int) -> Data
                 rid += len(row)
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"rid long, doc_id {kind}, start long, length long, doc_tokens long, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(released(run), f"rid long, doc_id {kind}, start long, length long, doc_tokens long, ids binary")
 
 
 def combinations(present: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 NONE = np.int32(2**31 - 1)
@@ -18,6 +20,7 @@ class PairTable:
         self._keys = np.full(1 << bits, np.uint64(2**64 - 1))
         self._rank = np.full(1 << bits, NONE, np.int32)
         self._merged = np.zeros(1 << bits, np.int32)
+        self._of = None
         todo, slot = np.arange(len(keys)), self._slot(keys)
         while len(todo):
             free = self._keys[slot] == np.uint64(2**64 - 1)
@@ -46,35 +49,55 @@ class PairTable:
         return np.where(hit, self._rank[slot], NONE), self._merged[slot]
 
 
+    def pair(self, left: int, right: int) -> tuple[int, int] | None:
+        """(rank, merged id) of one pair. The dictionary is made when a long sequence first
+        needs it; numpy calls for one pair cost twenty times as much."""
+        if self._of is None:
+            at = np.flatnonzero(self._rank != NONE)
+            self._of = dict(zip(self._keys[at].tolist(), zip(self._rank[at].tolist(), self._merged[at].tolist(), strict=True), strict=True))
+        return self._of.get(left << 32 | right)
+
+
 def merge_one(ids: np.ndarray, table: PairTable) -> np.ndarray:
-    """One long sequence: the leftmost lowest-rank pair merges each round; the neighbours are
-    kept as links, and dead places are squeezed out when half are dead."""
-    ids = ids.astype(np.int32)
-    while True:
-        n = len(ids)
-        if n < 2:
-            return ids
-        rank, merged = table.find(ids[:-1], ids[1:])
-        rank = np.append(rank, NONE)
-        merged = np.append(merged, 0)
-        after, before, alive = np.arange(1, n + 1), np.arange(-1, n - 1), np.ones(n, bool)
-        dead = 0
-        while dead * 2 < n:
-            i = int(rank.argmin())
-            if rank[i] == NONE:
-                return ids[alive]
-            j = int(after[i])
-            ids[i] = merged[i]
-            alive[j] = False
-            rank[j] = NONE
-            k = after[i] = after[j]
-            if k < n:
-                before[k] = i
-            dead += 1
-            b = int(before[i])
-            at = [x for x in (b, i) if x >= 0 and after[x] < n]
-            rank[i] = NONE
-            if at:
-                r, m = table.find(ids[at], ids[after[at]])
-                rank[at], merged[at] = r, m
-        ids = ids[alive]
+    """One long sequence: the leftmost lowest-rank pair merges each round. A heap gives pairs
+    by (rank, place); places keep their order, so the neighbours are links, and an entry
+    counts only while its pair still stands as it was entered."""
+    n = len(ids)
+    if n < 2:
+        return ids.astype(np.int32)
+    rank, merged = table.find(ids[:-1], ids[1:])
+    there = np.flatnonzero(rank != NONE)
+    heap = (rank[there].astype(np.int64) << 32 | there).tolist()
+    heapq.heapify(heap)
+    into = dict(zip(there.tolist(), merged[there].tolist(), strict=True))  # place of a pair: what it merges to
+    at = np.full(n, -1, np.int64)
+    at[there] = rank[there]
+    standing, sym = at.tolist(), ids.tolist()
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    found, pop, push = table.pair, heapq.heappop, heapq.heappush
+    while heap:
+        entry = pop(heap)
+        i = entry & 0xFFFFFFFF
+        if standing[i] != entry >> 32:
+            continue
+        j = after[i]
+        sym[i] = into[i]
+        sym[j] = standing[j] = -1
+        k = after[i] = after[j]
+        standing[i] = -1
+        if k < n:
+            before[k] = i
+            hit = found(sym[i], sym[k])
+            if hit:
+                standing[i], into[i] = hit
+                push(heap, hit[0] << 32 | i)
+        b = before[i]
+        if b >= 0:
+            hit = found(sym[b], sym[i])
+            if hit:
+                standing[b], into[b] = hit
+                push(heap, hit[0] << 32 | b)
+            else:
+                standing[b] = -1
+    left = np.array(sym, np.int32)
+    return left[left >= 0]

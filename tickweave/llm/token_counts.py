@@ -21,15 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.common import blocks, sub_rows
+from tickweave.llm.common import Remembered, blocks, released, sub_rows
 from tickweave.llm.pairs import NONE, PairTable, merge_one
 
 _ODD = re.compile("  |^ | $|▁")
 _STRETCH = re.compile("▁+[^▁]*")
-#: Longer pre-tokens merge alone, by links; the rule is the same.
+#: Longer pre-tokens merge alone, by a heap; the rule is the same.
 LONG = 256
-#: Pre-token counts that a worker remembers.
-REMEMBERED = 400_000
+#: Bytes of pre-token counts that a worker remembers, about.
+REMEMBERED = 64 << 20
 
 
 class PieceCounter:
@@ -66,7 +66,7 @@ class PieceCounter:
                 self._char[ord(p)] = i
         self._is_piece = np.zeros(self._n + 1, bool)
         self._is_piece[: len(score)] = True
-        self._seen: dict[str, int] = {}
+        self._seen = Remembered(REMEMBERED)
 
     def counts(self, pre_tokens: list[str]) -> np.ndarray:
         """Symbols left of each pre-token (given with its ▁)."""
@@ -144,14 +144,15 @@ class PieceCounter:
                 split.append([x[1:] for x in _STRETCH.findall("▁" + t.replace(" ", "▁"))])
             else:
                 split.append(t.split(" "))
-        if len(self._seen) > REMEMBERED:
-            self._seen.clear()
         new = set().union(*split) - self._seen.keys()
         if new:
             words = list(new)
-            self._seen.update(zip(words, self.counts(["▁" + w for w in words]).tolist()))
+            for w, n in zip(words, self.counts(["▁" + w for w in words]).tolist(), strict=True):
+                self._seen[w] = n
         get = self._seen.__getitem__
-        return [sum(map(get, words)) for words in split]
+        out = [sum(map(get, words)) for words in split]
+        self._seen.end()
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -179,4 +180,4 @@ def count_tokens(docs: DataFrame, model_file: str | None = None, limit: int = 40
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")) \
-        .mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+        .mapInArrow(released(run), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
