@@ -752,6 +752,17 @@ def retention(spark, sf):
     return q.apply_retention(fx.local_trades(spark, sf), NOW_MS)
 
 
+@register("retention_partitions", ORACLE["retention"])
+def retention_partitions(spark, sf):
+    """FLT-5 on the table: expired day partitions dropped, the boundary day written anew."""
+    from tickweave.sources.retention import expire_partitions, read_retained
+    from tickweave.sources.sinks import write_table
+    path, t = _scratch(spark, "retained"), fx.local_trades(spark, sf)
+    write_table(t, path, ("exchange_id", "symbol", "trade_id"))
+    expire_partitions(spark, path, NOW_MS)
+    return read_retained(spark, path, NOW_MS).select(*t.columns)
+
+
 @register("drop_nulls", with_ctes(BOOK_FACTORS) + f"""
 SELECT {KEY}, nonce FROM bf
 WHERE factor_ofi_smooth IS NOT NULL AND target_100_tick IS NOT NULL AND vamp_bias_bp IS NOT NULL
@@ -1276,6 +1287,25 @@ def stream_gap_jobs(spark, sf):
     return _run_available_now(sg(t, active=done), "stream-gap-jobs").select("exchange_id", "symbol", "start_id", "end_id", "job_id")
 
 
+@register("stream_job_lock", with_ctes(GAPS) + f"""
+SELECT exchange_id, symbol, start_id, end_id, md5(exchange_id || ':' || symbol || ':' || start_id || ':' || end_id) AS job_id,
+       {NOW_MS} + start_id % 1000 + asked.ms AS dispatched_ms
+FROM gaps, (VALUES (0), (4200000)) asked(ms)
+""")
+def stream_job_lock(spark, sf):
+    """STR-4: four detectors ask for every gap, 10, 70 and 75 minutes after the first; the lock
+    holds for an hour. The query is stopped and started again between the second and third."""
+    from tickweave.streaming.locks import REQUEST, start_job_lock
+    d = _scratch(spark, "job-lock")
+    jobs = gp.gap_jobs(gp.detect_gaps(fx.local_trades(spark, sf))).withColumn("seen_ms", F.lit(NOW_MS) + F.col("start_id") % 1000)
+    for minutes in ((0, 10), (70, 75)):
+        asked = jobs.withColumn("minutes", F.explode(F.array(*map(F.lit, minutes)))).withColumn("seen_ms", F.col("seen_ms") + F.col("minutes") * 60_000)
+        asked.select(*REQUEST).write.mode("append").parquet(d + "/requests")
+        requests = spark.readStream.schema(asked.select(*REQUEST).schema).parquet(d + "/requests")
+        start_job_lock(requests, d + "/jobs", d + "/_checkpoint", trigger={"availableNow": True}).awaitTermination()
+    return spark.read.parquet(d + "/jobs")
+
+
 @register("activity_sessions", with_ctes("fast AS (SELECT * REPLACE (local_timestamp // 60 AS local_timestamp) FROM local_t)") + """
 , g AS (SELECT exchange_id, symbol, local_timestamp,
                CASE WHEN local_timestamp - lag(local_timestamp) OVER w > 20000 THEN 1 ELSE 0 END AS new_session
