@@ -1051,6 +1051,20 @@ def stream_sync(spark, sf):
     return q.latest_by_key(table).select(*local.columns)
 
 
+@register("stream_flush", with_ctes() + "SELECT * FROM local_t")
+def stream_flush(spark, sf):
+    """STR-1 by rows: keyed JSON messages appended to a message log, a position for each stream,
+    and micro-batches of FLUSH_ROWS messages at most into the table; versions resolved."""
+    from tickweave.sources.log import append_log, drain_query, read_log
+    from tickweave.sources.messages import encode_messages
+    from tickweave.streaming.sync import MESSAGE_SCHEMA, start_sync
+    d, local = _scratch(spark, "stream-flush"), fx.local_trades(spark, sf)
+    append_log(encode_messages(local, "trades"), d + "/log", "stream_key", [F.get_json_object("data", "$.trade_id").cast("long")])
+    drain_query(start_sync(spark, read_log(spark, d + "/log", MESSAGE_SCHEMA), "trades", d + "/table", d + "/_checkpoint",
+                           quarantine_path=d + "/quarantine", trigger={"processingTime": "0 seconds"}))
+    return q.latest_by_key(spark.read.parquet(d + "/table").drop("date", "batch_id")).select(*local.columns)
+
+
 @register("stream_scores", with_ctes(BOOK_FACTORS) + f"""
 , s AS (SELECT *, CASE WHEN exchange_id <> 'okx' OR symbol <> 'PEPE/USDT' THEN vamp_bias_bp * {fx.W_VAMP!r} + factor_ofi_smooth * {fx.W_OFI!r} + {fx.INTERCEPT!r} END AS a FROM bf)
 SELECT {KEY}, nonce, timestamp, mid_price, round(vamp_bias_bp, 6) AS vamp_bias_bp, factor_ofi_smooth, round(a, 6) AS combined_alpha,
