@@ -69,6 +69,17 @@ def test_unusable_vectors_and_few(spark):
     assert nearest.search(df.where("vec_id = 0"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_repeated_ids_count_once(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, e) for i, e in enumerate(rng.normal(size=(300, 8)).astype(np.float32).tolist())]
+    again = [(0, rows[0][1])] * 3 + [(1, rows[1][1])] * 40 + [(50, [9.0] * 8), (2, [-9.0] + [1.0] * 7), (3, None), (4, [0.0] * 8)]
+    df = spark.createDataFrame([(i, e, 1, 1, "x") for i, e in rows + again], SCHEMA)
+    once = {i: e for i, e in rows}
+    once[50], once[2] = min(once[50], [9.0] * 8), min(once[2], [-9.0] + [1.0] * 7)
+    got = found(nearest.search(df, F.col("vec_id") % 50 == 0))
+    assert got == brute(list(once.items())) and all(len({v for v, _ in g}) == 5 for g in got.values())
+
+
 def test_scan_abandons_but_finds():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 64))

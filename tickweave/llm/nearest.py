@@ -12,11 +12,14 @@ Rows of one and the same vector beyond the k + 1 smallest ids can be in no answe
 are left out of the lists (a partial limit before the shuffle, whatever the group's size);
 equal query vectors are searched once. Lists are cut into chunks of bounded size.
 
-How many lists a query visits is measured: the least that gives ``recall`` for sample
+Up to 2000 rows make one list, which is scanned whole; beyond, there are the square root of
+the rows, bounded by ``max_lists`` and by a sixteenth of the sample, lists. How many of them a
+query visits is measured: the least that gives ``recall`` for sample
 queries over the sample, and never fewer than hold k + 1 rows.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components take no part,
-neither do those of another length than most; a query with fewer candidates gets all of
+neither do those of another length than most; of usable rows that share a ``vec_id`` the
+smallest vector (component by component) counts, as candidate and as query; a query with fewer candidates gets all of
 them; equal scores go to the smaller id; an empty table gives no rows.
 """
 
@@ -36,13 +39,13 @@ EPS = 2.1
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """Rows that take part, as (vec_id, embedding array<double>)."""
+    """Rows that take part, as (vec_id, embedding array<double>), one a ``vec_id``."""
     ok = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where(
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
         & F.exists("embedding", lambda x: x != 0))
     top = ok.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return ok.where(F.size("embedding") == (top["d"] if top else 0))
+    return ok.where(F.size("embedding") == (top["d"] if top else 0)).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
 def unit(x: np.ndarray) -> np.ndarray:
