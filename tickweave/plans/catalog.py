@@ -934,6 +934,43 @@ def book_path_cols(spark, sf):
                                                       "pair", "orderbook_date", "hour")
 
 
+RAW_LAKE_SQL = """
+SELECT {id}, exchange_id AS exchange, mkt_type, replace(symbol, '/', '-') AS pair, symbol, timestamp, {cols},
+       CAST(epoch_ms(timestamp) AS DATE) AS {date}, strftime(epoch_ms(timestamp), '%H') AS hour
+FROM {table}
+"""
+
+
+def _raw_trades(spark, sf):
+    """The archive as it stands in a raw lake: ids are text, some of them unreadable."""
+    return fx.archive_trades(spark, sf).withColumn("trade_id", F.when(F.col("trade_id") % 17 == 0, F.concat(F.lit("x"), "trade_id"))
+                                                   .otherwise(F.col("trade_id").cast("string")))
+
+
+@register("raw_trade_lake", with_ctes() + RAW_LAKE_SQL.format(id="trade_id", cols="price, amount, side", date="trade_date", table="archive")
+          + "WHERE trade_id % 17 <> 0")
+def raw_trade_lake(spark, sf):
+    """SRC-1: all trades written into hour files of the raw lake and read again."""
+    from tickweave.sources.lake import read_raw_trades, write_raw
+    path = _scratch(spark, "raw-trades")
+    write_raw(_raw_trades(spark, sf), path, "trades")
+    return read_raw_trades(spark, path)[0].select("trade_id", "exchange", "mkt_type", "pair", "symbol", "timestamp", "price", "amount", "side",
+                                                  "trade_date", "hour")
+
+
+@register("raw_book_lake", with_ctes() + RAW_LAKE_SQL.format(id="nonce", cols="""
+       round((bid_prices[1] * ask_volumes[1] + ask_prices[1] * bid_volumes[1]) / nullif(bid_volumes[1] + ask_volumes[1], 0), 6) AS micro_price,
+       round(ask_prices[1] - bid_prices[1], 6) AS spread""", date="orderbook_date", table="books"))
+def raw_book_lake(spark, sf):
+    """SRC-2: all books written into hour files of the raw lake and read again."""
+    from tickweave.sources.lake import read_raw_books, write_raw
+    path = _scratch(spark, "raw-books")
+    top = {f"{side}_{what}": F.get(f"{side}_{what}s", F.lit(0)) for side in ("bid", "ask") for what in ("price", "volume")}
+    write_raw(fx.books(spark, sf).withColumns(top), path, "orderbook")
+    return read_raw_books(spark, path).select("nonce", "exchange", "mkt_type", "pair", "symbol", "timestamp", r6(F.col("micro_price")).alias("micro_price"),
+                                              r6(F.col("spread")).alias("spread"), "orderbook_date", "hour")
+
+
 MESSAGES_SQL = """
 WITH m AS (SELECT event_id, CASE event_id % 50 WHEN 0 THEN '{"k": ' WHEN 1 THEN '{"other": 1}' WHEN 2 THEN NULL ELSE props END AS data FROM events),
 d AS (SELECT *, TRY_CAST(CASE WHEN json_valid(data) THEN json_extract_string(data, '$.k') END AS INTEGER) AS k FROM m)
