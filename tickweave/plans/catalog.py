@@ -407,6 +407,22 @@ def latest_by_key(spark, sf):
     return q.latest_by_key(fx.versioned_trades(spark, sf))
 
 
+@register("compacted_table", ORACLE["latest_by_key"])
+def compacted_table(spark, sf):
+    """AGG-1 on a versioned table: two batches compacted by day, a third still loose, and one
+    delivered again; rows are dealt to batches by hash, so versions of a key meet from all."""
+    from tickweave.sources.versions import VersionedTable
+    t = fx.versioned_trades(spark, sf)
+    batch = F.pmod(F.xxhash64("trade_id", "local_timestamp"), F.lit(3))
+    table = VersionedTable(spark, _scratch(spark, "versions"))
+    for n in (0, 1):
+        table.append(t.where(batch == n), "live", n)
+    table.compact()
+    table.append(t.where(batch == 2), "live", 2)
+    table.append(t.where(batch == 1), "live", 1)
+    return table.read_latest()
+
+
 @register("last_ids", with_ctes() + "SELECT exchange_id, symbol, max(trade_id) AS last_id FROM local_t GROUP BY ALL")
 def last_ids(spark, sf):
     """AGG-2."""
@@ -561,6 +577,16 @@ def fit_ols(spark, sf):
     return r.select(*INSTRUMENT, *[r6(F.col(c)).alias(c) for c in ("w_vamp", "w_ofi", "intercept")], "n")
 
 
+@register("refit_moments", ORACLE["fit_ols"])
+def refit_moments(spark, sf):
+    """AGG-7 from the stored daily moments (PIP-6): the same weights, from records alone."""
+    from tickweave.operators import moments as mo
+    path = _scratch(spark, "moments")
+    mo.store_moments(mo.daily_moments(_factor_frame(spark, sf), LAGS), path)
+    r = mo.fit_moments(mo.merge_moments(mo.load_moments(spark, path).where("lag = 20")))
+    return r.select(*INSTRUMENT, *[r6(F.col(c)).alias(c) for c in ("w_vamp", "w_ofi", "intercept")], "n")
+
+
 def _evaluate_sql() -> str:
     ycase = "CASE bl.lag " + " ".join(f"WHEN {L} THEN target_{L}_tick" for L in LAGS) + " END"
     all_t = " AND ".join(f"target_{L}_tick IS NOT NULL" for L in LAGS)

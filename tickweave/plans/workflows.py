@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickweave.functions import book as fb
 from tickweave.functions import trade as ft
 from tickweave.operators import gaps as gp
+from tickweave.operators import moments as mo
 from tickweave.operators import quality as q
 from tickweave.operators import research as rs
 from tickweave.operators import windows as win
@@ -159,6 +160,14 @@ def train_alpha(books: DataFrame, old_weights: DataFrame | None = None, lags=win
     return {"factors": f, "best_lag": best, "evaluation": ev, "weights": blended}
 
 
+def refit_day(factors_today: DataFrame, path: str, lags=win.DEFAULT_LAGS, first_day: str | None = None) -> DataFrame:
+    """PIP-6 day by day: the moments of ``factors_today`` join those kept at ``path``, and weights
+    at the best horizon come from all kept days since ``first_day``. Only today's rows are
+    read; a day run again replaces its record."""
+    mo.store_moments(mo.daily_moments(factors_today, lags), path)
+    return mo.best_horizon(mo.fit_moments(mo.merge_moments(mo.load_moments(factors_today.sparkSession, path, first_day))))
+
+
 def tca(trades: DataFrame, books: DataFrame, max_lag_ms: int = 100, layout: str | None = None):
     """PIP-7: as-of join -> fresh quotes -> slippage and size category -> AGG-4."""
     return rs.tca(trades, books, max_lag_ms, layout=layout)
