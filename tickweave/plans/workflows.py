@@ -163,7 +163,7 @@ def train_alpha(books: DataFrame, old_weights: DataFrame | None = None, lags=win
 def refit_day(factors_today: DataFrame, path: str, lags=win.DEFAULT_LAGS, first_day: str | None = None) -> DataFrame:
     """PIP-6 day by day: the moments of ``factors_today`` join those kept at ``path``, and weights
     at the best horizon come from all kept days since ``first_day``. Only today's rows are
-    read; a day run again replaces its record."""
+    read; a day run again replaces its records, so use the returned rows before that."""
     mo.store_moments(mo.daily_moments(factors_today, lags), path)
     return mo.best_horizon(mo.fit_moments(mo.merge_moments(mo.load_moments(factors_today.sparkSession, path, first_day))))
 
