@@ -4,9 +4,10 @@ One pass tokenises every whole text; each document gives its full windows, which
 sequences as they are, and one tail shorter than a window. The histogram of tail lengths
 (bounded by the window) goes to the driver: shallow combinations of lengths that fill a
 window exactly are enumerated, non-negative least squares finds how often each should be
-used, the counts are rounded with the error carried on, and what the rounded plan leaves
-over is packed greedily, longest first, end to end, cut where a window is full. So only the
-very last sequence is padded. The plan is a list of rank intervals for each length; a tail
+used, the counts are rounded, largest first, as far as tails are there, and the histogram of
+those left over is solved again until no combination fits into it. What then remains is
+packed greedily, longest first, end to end, cut where a window is full. So only the very
+last sequence is padded. The plan is a list of rank intervals for each length; a tail
 finds its place from its rank among the tails of its length, which is counted in salted
 cells so that a hot length is no hot task.
 
@@ -150,16 +151,69 @@ def combinations(present: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarr
     return found[:, :3], found[:, 3:]
 
 
-def solve(lengths: np.ndarray, times: np.ndarray, histogram: np.ndarray, rounds: int = 60) -> np.ndarray:
-    """Non-negative least squares for repeat counts, by multiplicative steps: with A's column
-    of a combination its multiplicities, x <- x * A'h / A'Ax keeps x >= 0 and never raises
-    the squared error."""
-    flat = lengths.ravel()
-    up = (times * histogram[lengths]).sum(1).astype(float)
-    x = np.full(len(lengths), histogram.sum() / max(1, times.sum()))
-    for _ in range(rounds):
-        ax = np.bincount(flat, (times * x[:, None]).ravel(), len(histogram))
-        x *= up / np.maximum((times * ax[lengths]).sum(1), 1e-12)
+def solve(lengths: np.ndarray, times: np.ndarray, histogram: np.ndarray, tolerance: float = 1e-3) -> np.ndarray:
+    """Non-negative least squares for repeat counts by an active set: combinations of steepest
+    descent that share no length join it together, least squares over the set are solved, and
+    what comes out negative leaves. A step that doesn't lower the error is taken again with
+    the one steepest combination and stops at the first count that reaches 0, which always
+    lowers it. The set never holds more combinations than there are lengths. It ends when no
+    combination outside would lower the error (steepness below ``tolerance`` of the first) or
+    a step lowers it by less than ``tolerance`` squared of the whole."""
+    x = np.zeros(len(lengths))
+    present, h = np.flatnonzero(histogram), histogram.astype(float)
+    place = np.zeros(len(histogram), np.int64)
+    place[present] = np.arange(len(present))
+    norm = np.sqrt((times.astype(float) ** 2).sum(1))
+    active, left, least, first = np.zeros(0, np.int64), h, h @ h, 0.0
+
+    def columns(chosen: np.ndarray) -> np.ndarray:
+        a = np.zeros((len(present), len(chosen)))
+        np.add.at(a, (place[lengths[chosen]].ravel(), np.repeat(np.arange(len(chosen)), 3)), times[chosen].ravel())
+        return a
+
+    while len(x):
+        steep = (times * left[lengths]).sum(1) / norm
+        steep[active] = 0
+        first = first or steep.max()
+        if steep.max() <= tolerance * first:
+            break
+        joins, taken = [], set()
+        for c in np.argsort(-steep)[:16 * len(present)].tolist():
+            own = {l for l, t in zip(lengths[c].tolist(), times[c].tolist()) if t}
+            if steep[c] <= tolerance * first or len(joins) >= max(1, len(present) - len(active)):
+                break
+            if not own & taken:
+                taken |= own
+                joins.append(c)
+        for new in (joins, joins[:1]):
+            chosen = np.r_[active, np.array(new, np.int64)]
+            at, a = x[chosen], columns(chosen)
+            gram, up = a.T @ a, a.T @ h[present]
+            gram[np.diag_indices_from(gram)] += 1e-9
+            while True:
+                to = np.linalg.solve(gram, up)
+                out = to <= 0
+                if not out.any():
+                    break
+                if new is joins:
+                    at, keep = to, ~out
+                else:
+                    part = np.min(at[out] / np.maximum(at[out] - to[out], 1e-300))
+                    at = at + part * (to - at)
+                    keep = ~(out & (at <= 1e-12 * h.sum()))
+                    if keep.all():
+                        keep[np.flatnonzero(out)[np.argmin(at[out])]] = False
+                chosen, at, a, up, gram = chosen[keep], at[keep], a[:, keep], up[keep], gram[np.ix_(keep, keep)]
+            rest = h.copy()
+            rest[present] -= a @ to
+            if rest @ rest < least:
+                break
+        gain, least = least - rest @ rest, min(least, rest @ rest)
+        if gain <= tolerance ** 2 * (h @ h):
+            break
+        x[active] = 0
+        x[chosen] = to
+        active, left = chosen, rest
     return x
 
 
@@ -169,25 +223,30 @@ class Plan:
     def __init__(self, histogram: np.ndarray, window: int):
         self.window = window
         left = histogram.astype(np.int64).copy()
-        lengths, times = combinations(np.flatnonzero(left), window)
-        x = solve(lengths, times, left)
-        whole = np.floor(np.cumsum(x) + 0.5)  # the rounding error is carried on to the next
-        counts = np.diff(np.r_[0.0, whole]).astype(np.int64)
         seq, segments = 0, []
         used = np.zeros_like(left)
-        for c in np.flatnonzero(counts):
-            ls, ts = lengths[c].tolist(), times[c].tolist()
-            n = min([int(counts[c]), *(int(left[l]) // t for l, t in zip(ls, ts) if t)])
-            if n <= 0:
-                continue
-            at = 0
-            for l, t in zip(ls, ts):
-                for _ in range(t):
-                    segments.append((l, int(used[l]), seq, at))
-                    used[l] += n
-                    left[l] -= n
-                    at += l
-            seq += n
+        while True:
+            # what rounding left over is solved again, until no combination fits into it
+            lengths, times = combinations(np.flatnonzero(left), window)
+            fits = (times <= left[lengths]).all(1) if len(lengths) else np.zeros(0, bool)
+            lengths, times = lengths[fits], times[fits]
+            if not len(lengths):
+                break
+            x = solve(lengths, times, left)
+            counts = np.maximum(1, np.floor(x + 0.5)).astype(np.int64)
+            for c in np.argsort(-x, kind="stable")[:max(1, np.count_nonzero(x))]:
+                ls, ts = lengths[c].tolist(), times[c].tolist()
+                n = min([int(counts[c]), *(int(left[l]) // t for l, t in zip(ls, ts) if t)])
+                if n <= 0:
+                    continue
+                at = 0
+                for l, t in zip(ls, ts):
+                    for _ in range(t):
+                        segments.append((l, int(used[l]), seq, at))
+                        used[l] += n
+                        left[l] -= n
+                        at += l
+                seq += n
         self.planned, self.left = seq, left
         # greedy rest, longest first, end to end
         base = 0
