@@ -1265,6 +1265,24 @@ def patch_day(spark, sf):
     return _patch(spark, sf, "audit")
 
 
+@register("daily_pipeline", with_ctes(PATCH_SQL.replace("CASE WHEN trade_id % 500 = 0 THEN -price ELSE price END", "price")) + f"""
+, d AS (SELECT * FROM ploc
+        WHERE timestamp >= epoch_ms(TIMESTAMP '{DAY}') AND timestamp < epoch_ms(TIMESTAMP '{DAY}') + 86400000)
+SELECT trade_id, symbol, exchange_id, price,
+       row_number() OVER (PARTITION BY exchange_id, mkt_type, symbol ORDER BY trade_id) AS sub_ms_seq,
+       avg(price) OVER (PARTITION BY exchange_id, mkt_type, symbol ORDER BY trade_id
+                        ROWS BETWEEN 100 PRECEDING AND CURRENT ROW) AS ma_price_100
+FROM d
+""")
+def daily_pipeline(spark, sf):
+    """PIP-3: the day is patched from a valid archive, consolidated and exported; the trades read
+    back from the lake."""
+    from tickweave.sources.lake import read_processed
+    root, off = _scratch(spark, "daily"), fx.archive_trades(spark, sf)
+    pl.daily_pipeline(off, fx.patch_pair(spark, sf)[1], fx.books(spark, sf), jn.expected_work(off), DAY, NOW_MS, root)
+    return read_processed(spark, root, "trades").select("trade_id", "symbol", "exchange_id", "price", "sub_ms_seq", "ma_price_100")
+
+
 @register("patch_inserts", with_ctes(PATCH_SQL) + "SELECT * FROM pins")
 def patch_inserts(spark, sf):
     """PIP-1: archive rows of the day to insert: no bad price, and no id that the local table
