@@ -109,6 +109,18 @@ def join_bins(df: DataFrame, bins: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(renamed, cond).drop("_k_bin", *[f"_k_{k}" for k in keys])
 
 
+def upto_rows(df: DataFrame, keys: Sequence[str], column: str, n: int, descending: bool = False) -> DataFrame:
+    """The rows of each key up to the bin of ``column`` that holds its ``n``-th row; NULL keys
+    are keys too. The last bins, one row a key, are broadcast, so ``df`` is not shuffled."""
+    x = df.withColumn("_bin", bin_of(df, column))
+    reach = histogram(x.select(*keys, "_bin"), keys, descending).where(F.col("_before") < n) \
+        .groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg((F.min if descending else F.max)("_bin").alias("_last"))
+    cond = F.col("_bin") >= F.col("_last") if descending else F.col("_bin") <= F.col("_last")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return x.join(F.broadcast(reach), cond, "left_semi").drop("_bin")
+
+
 def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], idx_col: str = "_idx",
                 count_col: str | None = None, bin_width: int | None = None) -> DataFrame:
     """Add the exact 0-based position of each row inside its key under ``order``.

@@ -154,16 +154,18 @@ def _top_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], descending
 
     Key layout: ``row_number <= n``, which Catalyst plans with a partial WindowGroupLimit
     before the shuffle (or a TakeOrdered when ungrouped).
-    Blocked layout: the histogram of (group, bin of the first order column) names the bins
-    that can hold the first ``n`` rows; only their rows - ``n`` and one bin a group - are
-    ranked, after a limit on each of some salts of a group.
+    Blocked layout: the histogram of (group, bin of the first order column) gives the last bin
+    that can hold one of the first ``n`` rows, one row a group, which is broadcast. Rows behind
+    it are left out where they are read, before anything is shuffled, hashed or sorted; the
+    others - ``n`` and one bin a group - are ranked, after a limit on each of some salts of a
+    group.
     """
     by, order = list(by or []), list(order)
-    x = df.withColumn("_tie", series.tie_break(df))
     cols = [F.col(c).desc() if descending else F.col(c) for c in [*order, "_tie"]]
-    if series.layout(df, layout) != "key":
-        x = x.withColumn("_bin", series.bin_of(df, order[0]))
-        x = series.join_bins(x, series.histogram(x, by, descending).where(F.col("_before") < n), by).drop("_bin", "_before", "_of_key")
+    blocked = series.layout(df, layout) != "key"
+    x = series.upto_rows(df, by, order[0], n, descending) if blocked else df
+    x = x.withColumn("_tie", series.tie_break(df))
+    if blocked:
         p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         salts = max(2, math.isqrt(max(p, 1)) + 1)
         x = x.withColumn("_salt", F.pmod(F.col("_tie"), F.lit(salts)))
