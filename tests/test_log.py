@@ -136,3 +136,24 @@ def test_rows_keep_their_types(spark, tmp_path):
                 .trigger(processingTime="0 seconds").start(out))
     back = spark.read.parquet(out)
     assert back.schema == df.schema and rows(back.select(F.struct("*"))) == rows(df.select(F.struct("*")))
+
+
+def test_a_backlog_is_caught_up_in_few_batches_and_ends_in_flushes(spark, tmp_path):
+    root = str(tmp_path / "log")
+    m = _messages(spark, {"a": 3000, "b": 400, None: 20})
+    append_log(m, root, "stream_key", ["data"])
+    r, at, sizes, got = log.LogReader(m.schema, {"path": root, "rowspertrigger": "20", "maxwaits": "0", "catchuprows": "500"}), {}, [], []
+    while (end := r.latestOffset()) != at:
+        parts = r.partitions(at, end)
+        got += [tuple(x.values()) for p in parts for b in r.read(p) for x in b.to_pylist()]
+        sizes.append(sum(hi - lo for p in parts for _, lo, hi in p.ranges))
+        r.commit(at)
+        at = end
+    assert max(sizes) == 500 and sizes[-1] <= 20 and len(sizes) < 30 and sizes == sorted(sizes, reverse=True)
+    assert sorted(got, key=repr) == sorted(map(tuple, m.collect()), key=repr)
+    assert all(d == sorted(d) for d in ([d for k, d in got if k == s] for s in ("a", "b")))
+    seen = []
+    query = read_log(spark, root, SCHEMA, 50, catch_up_rows=1000).writeStream.foreachBatch(lambda df, _: seen.append(df.count())) \
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(processingTime="0 seconds").start()
+    drain_query(query)
+    assert sum(seen) == 3420 and max(seen) == 3420 // 4 and len(seen) < 25

@@ -1117,14 +1117,19 @@ def stream_sync(spark, sf):
 @register("stream_flush", with_ctes() + "SELECT * FROM local_t")
 def stream_flush(spark, sf):
     """STR-1 by rows: keyed JSON messages appended to a message log, a position for each stream,
-    and micro-batches of FLUSH_ROWS messages at most into the table; versions resolved."""
-    from tickweave.sources.log import append_log, drain_query, read_log
+    and micro-batches into the table, of many flushes of FLUSH_ROWS messages behind the backlog
+    and of one at its end; versions resolved."""
+    from tickweave.session import stream_shuffles
+    from tickweave.sources.log import CATCH_UP_ROWS, append_log, drain_query, read_log
     from tickweave.sources.messages import encode_messages
     from tickweave.streaming.sync import MESSAGE_SCHEMA, start_sync
     d, local = _scratch(spark, "stream-flush"), fx.local_trades(spark, sf)
     append_log(encode_messages(local, "trades"), d + "/log", "stream_key", [F.get_json_object("data", "$.trade_id").cast("long")])
-    drain_query(start_sync(spark, read_log(spark, d + "/log", MESSAGE_SCHEMA), "trades", d + "/table", d + "/_checkpoint",
-                           quarantine_path=d + "/quarantine", trigger={"processingTime": "0 seconds"}))
+    messages = read_log(spark, d + "/log", MESSAGE_SCHEMA, catch_up_rows=CATCH_UP_ROWS)
+    with stream_shuffles(spark):
+        query = start_sync(spark, messages, "trades", d + "/table", d + "/_checkpoint",
+                           quarantine_path=d + "/quarantine", trigger={"processingTime": "0 seconds"})
+    drain_query(query)
     return q.latest_by_key(spark.read.parquet(d + "/table").drop("date", "batch_id")).select(*local.columns)
 
 

@@ -9,6 +9,9 @@ and the rows read of it, so files before that are never opened again, and a micr
 at most ``rows_per_trigger`` rows however large the files are. Waiting streams share the rows
 evenly, and what one doesn't need goes to the others. With ``max_wait_s`` a micro-batch is held
 back until it is full or its oldest row has waited so long: the flush at n rows or t seconds.
+With ``catch_up_rows`` a micro-batch takes a quarter of the rows that wait, but never more than
+that nor less than a flush: behind a backlog of any length the flushes run many at once, by many
+tasks, and the last ones are of ``rows_per_trigger`` rows again.
 
 Spark keeps the offsets in the query's checkpoint and hands the last one to ``partitions`` on
 a restart, so a run that was killed goes on where it stood, with the same bound.
@@ -41,6 +44,8 @@ from pyspark.sql.types import StructType
 FLUSH_ROWS, FLUSH_SECONDS = 10_000, 10.0
 #: Rows of one task at most, and seconds between two listings.
 ROWS_PER_TASK, LIST_EVERY_S = 100_000, 0.2
+#: Rows of a micro-batch at most while it catches up, and the part of the waiting rows it takes.
+CATCH_UP_ROWS, CATCH_UP_PART = 2_000_000, 4
 STREAM = "_stream"
 
 
@@ -77,6 +82,7 @@ class LogReader(DataSourceStreamReader):
     def __init__(self, schema: StructType, options: dict):
         self.schema, self.root = schema, options["path"]
         self.limit, self.wait = int(options["rowspertrigger"]), float(options["maxwaits"])
+        self.most = max(self.limit, int(options.get("catchuprows", 0)))
         self.at: dict = {}
         self.turn = 0
         self.held_since: float | None = None
@@ -134,7 +140,8 @@ class LogReader(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         self._list()
-        waiting = {s: r for s in sorted(self.files) if (r := list(self._waiting(s, self.at.get(s), None, self.limit)))}
+        reach = self.limit if self.most == self.limit else self.most * CATCH_UP_PART
+        waiting = {s: r for s in sorted(self.files) if (r := list(self._waiting(s, self.at.get(s), None, reach)))}
         total = sum(hi - lo for r in waiting.values() for _, lo, hi in r)
         if total == 0:
             self.held_since = None
@@ -144,7 +151,8 @@ class LogReader(DataSourceStreamReader):
             if time.monotonic() - self.held_since < self.wait:
                 return self.at
         self.held_since = None
-        share = even_shares({s: sum(hi - lo for _, lo, hi in r) for s, r in waiting.items()}, self.limit, self.turn)
+        limit = max(self.limit, min(self.most, total // CATCH_UP_PART))
+        share = even_shares({s: sum(hi - lo for _, lo, hi in r) for s, r in waiting.items()}, limit, self.turn)
         # streams without waiting rows stand behind the last append, so that none before it is listed again
         end = {s: self.at[s] if s in waiting else {"file": self.known + "/", "row": 0} for s in self.at}
         for stream, rows in share.items():
@@ -201,6 +209,8 @@ class LogReader(DataSourceStreamReader):
                             at += batch.num_rows
                             if part.num_rows:
                                 yield from pa.Table.from_batches([part]).select(want.names).cast(want, safe=False).to_batches()
+                            if at >= hi:
+                                break
                     before += n
 
 
@@ -239,12 +249,14 @@ class MessageLog(DataSource):
         return LogReader(schema, {k.lower(): v for k, v in self.options.items()})
 
 
-def read_log(spark: SparkSession, root: str, schema: StructType | str, rows_per_trigger: int = FLUSH_ROWS, max_wait_s: float = 0.0) -> DataFrame:
+def read_log(spark: SparkSession, root: str, schema: StructType | str, rows_per_trigger: int = FLUSH_ROWS, max_wait_s: float = 0.0,
+             catch_up_rows: int = 0) -> DataFrame:
     """Streaming frame of the log's rows, ``rows_per_trigger`` of them in a micro-batch at most;
-    with ``max_wait_s`` (such as FLUSH_SECONDS) a smaller one only after so many seconds."""
+    with ``max_wait_s`` (such as FLUSH_SECONDS) a smaller one only after so many seconds, with
+    ``catch_up_rows`` (such as CATCH_UP_ROWS) up to so many behind a backlog."""
     spark.dataSource.register(MessageLog)
     return spark.readStream.format("message_log").schema(schema).option("rowsPerTrigger", int(rows_per_trigger)) \
-        .option("maxWaitS", float(max_wait_s)).load(root)
+        .option("maxWaitS", float(max_wait_s)).option("catchUpRows", int(catch_up_rows)).load(root)
 
 
 def drain_query(query: StreamingQuery) -> StreamingQuery:
