@@ -149,3 +149,21 @@ def test_registered_streams_run_in_bounded_ordered_micro_batches(spark, duck, tm
         keys = [c for c in names if c not in ("mid_price", "vamp_bias_bp", "factor_ofi_smooth", "combined_alpha")]
         at = [names.index(c) for c in keys]
         assert rows(got, keys) == sorted((tuple(r[i] for i in at) for r in want), key=repr), name
+
+
+def test_registered_streams_keep_a_state_store_a_core(spark, monkeypatch):
+    import glob
+
+    from tickweave.plans import catalog
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    made = []
+    monkeypatch.setattr("tickweave.session.scratch_dir", lambda s, name, f=__import__("tickweave.session").session.scratch_dir: made.append(f(s, name)) or made[-1])
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        for name in ("stream_gaps", "silence_alarms", "activity_sessions"):
+            catalog.QUERIES[name](spark, SF_SMALL)
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+            stores = glob.glob(made[-1].removeprefix("file:") + "/_checkpoint/state/0/[0-9]*")
+            assert len(stores) == spark.sparkContext.defaultParallelism < 40, name
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

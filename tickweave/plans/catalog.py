@@ -1078,11 +1078,12 @@ BY_TRADE, BY_ARRIVAL, BY_BOOK = ("event_id",), (f"{fx.EPOCH_MS} + user_id % 250"
 def _run_available_now(df_stream: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     import uuid
 
-    from tickweave.session import scratch_dir
+    from tickweave.session import scratch_dir, stream_shuffles
     spark = df_stream.sparkSession
     d = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
-    q_ = (df_stream.writeStream.format(fmt).option("checkpointLocation", d + "/_checkpoint")
-          .outputMode("append").trigger(availableNow=True).start(d + "/out"))
+    with stream_shuffles(spark):
+        q_ = (df_stream.writeStream.format(fmt).option("checkpointLocation", d + "/_checkpoint")
+              .outputMode("append").trigger(availableNow=True).start(d + "/out"))
     q_.awaitTermination()
     return spark.read.parquet(d + "/out")
 
