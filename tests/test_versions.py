@@ -131,3 +131,14 @@ def test_commits_of_others_meanwhile(spark, table, monkeypatch):
 def test_key_must_hold_the_day(spark, tmp_path):
     with pytest.raises(ValueError):
         VersionedTable(spark, str(tmp_path), ["trade_id"])
+
+
+def test_compaction_is_dealt_by_rows_too(spark, table, monkeypatch):
+    from tickweave.sources import versions
+    a, b = batch(spark, 1), batch(spark, 2, 100, 400)
+    table.append(a, "w", 0), table.append(b, "w", 1)
+    monkeypatch.setattr(versions, "FILE_ROWS", 50)
+    assert len(table.compact()) == 4
+    day = [f for f in table.read_latest("2024-01-02", "2024-01-02").inputFiles()]
+    assert len(day) > 2  # 134 rows of the day, in files of some 50
+    assert told(table.read_latest()) == want(spark, a, b)

@@ -41,8 +41,9 @@ from tickweave.functions import trade as ft
 from tickweave.operators.quality import TRADE_KEY, latest_by_key
 
 _LOG, _DATA = "_manifest", "data"
-#: Bytes of one compacted file's input, about.
-FILE_BYTES = 128 << 20
+#: Bytes and rows of one compacted file's input, about. Rows too, as a task holds them
+#: uncompressed and files of the same bytes can hold many times as many.
+FILE_BYTES, FILE_ROWS = 128 << 20, 500_000
 #: Commits that are tried against others before giving up.
 ATTEMPTS = 20
 
@@ -122,7 +123,8 @@ class VersionedTable:
         """Write rows (with ``_day``) into a new folder; folders by day. Readers are given these
         folders one by one, so the day in their name doesn't become a column."""
         folder = f"{_DATA}/{uuid.uuid4().hex}"
-        d = df.sortWithinPartitions("_day", *self.key).withColumn("_day", F.coalesce(F.col("_day").cast("string"), F.lit("none")))
+        # named before the sort, which is then the one that the writer asks for too
+        d = df.withColumn("_day", F.coalesce(F.col("_day").cast("string"), F.lit("none"))).sortWithinPartitions("_day", *self.key)
         d.write.partitionBy("_day").parquet(f"{self.path}/{folder}")
         return {x.partition("=")[2]: f"{folder}/{x}" for x in self._names(folder) if x.startswith("_day=")}
 
@@ -154,8 +156,10 @@ class VersionedTable:
         if not todo:
             return []
         taken = seen.folders(todo)
-        n = max(1, -(-sum(self._fs.getContentSummary(self._at(f)).getLength() for f in taken) // FILE_BYTES))
-        rows = self._read(seen, taken).withColumn("_day", ft.utc_date(self.day_of)).repartitionByRange(int(n), "_day", *self.key)
+        loose = self._read(seen, taken)
+        n_bytes = sum(self._fs.getContentSummary(self._at(f)).getLength() for f in taken)
+        n = max(1, -(-n_bytes // FILE_BYTES), -(-loose.count() // FILE_ROWS))
+        rows = loose.withColumn("_day", F.coalesce(ft.utc_date(self.day_of).cast("string"), F.lit("none"))).repartitionByRange(int(n), "_day", *self.key)
         folders = self._write(self._newest(rows, ["_day", *self.key]))
         done: list[str] = []
 
