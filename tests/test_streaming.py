@@ -167,3 +167,41 @@ def test_registered_streams_keep_a_state_store_a_core(spark, monkeypatch):
             assert len(stores) == spark.sparkContext.defaultParallelism < 40, name
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_static_sides_of_registered_streams_are_worked_out_once(spark, monkeypatch):
+    from tickweave.plans import catalog
+    from tickweave.streaming import gaps, scoring
+    sides = []
+
+    def spy(fn):
+        def run(stream, *side, **more):
+            sides.extend([*side, *more.values()])
+            return fn(stream, *side, **more)
+        return run
+
+    monkeypatch.setattr(scoring, "score_stream", spy(scoring.score_stream))
+    monkeypatch.setattr(gaps, "stream_gaps", spy(gaps.stream_gaps))
+    for name in ("stream_scores", "stream_gap_jobs"):
+        assert catalog.QUERIES[name](spark, SF_SMALL).count() > 0
+    assert len(sides) == 2
+    for side in sides:
+        assert side.count() > 0 and not any("events.parquet" in f for f in side.inputFiles())
+
+
+def test_jobs_dispatched_within_the_hour_are_left_out(spark, tmp_path):
+    from tickweave.functions import keys as fk
+    d = spark.createDataFrame([("binance", "X", i, 10_000_000) for i in (1, 3, 5, 7, 9)],
+                              "exchange_id string, symbol string, trade_id long, local_timestamp long")
+    job = spark.range(2, 9, 2).select(F.lit("binance").alias("exchange_id"), F.lit("X").alias("symbol"), F.col("id").alias("start_id"),
+                                      F.col("id").alias("end_id")).withColumn("job_id", fk.gap_job_id())
+    ids = {r.start_id: r.job_id for r in job.collect()}
+    active = spark.createDataFrame([(ids[2], 9_000_000), (ids[2], 1_000), (ids[4], 10_000_000 - gaps_ttl()), (ids[6], None), (None, 10_000_000),
+                                    (ids[8], None), (ids[8], 10_000_001)], "job_id string, dispatched_ms long")
+    got = _run(stream_gaps(_stream_of(spark, d, tmp_path, "held"), active=active), tmp_path, "held")
+    assert sorted(r.start_id for r in got.collect()) == [4, 6]
+
+
+def gaps_ttl():
+    from tickweave.streaming.gaps import TTL_MS
+    return TTL_MS

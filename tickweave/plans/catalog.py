@@ -1088,6 +1088,14 @@ def _run_available_now(df_stream: DataFrame, name: str, fmt: str = "parquet") ->
     return spark.read.parquet(d + "/out")
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table written once: every micro-batch reads the static side of its join, and
+    would work it out from all events again."""
+    path = _scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @register("stream_gaps", with_ctes(GAPS) + "SELECT exchange_id, symbol, start_id, end_id FROM gaps")
 def stream_gaps(spark, sf):
     """STR-3/4: keyed-state gap detector over the trade stream (equals GAP-1 on in-order input)."""
@@ -1144,7 +1152,7 @@ def stream_scores(spark, sf):
     """STR-6 streaming: every book scored in order with the OFI state kept per instrument."""
     from tickweave.streaming.scoring import score_stream
     b = fx.books_from_events(_events_stream(spark, sf, *BY_BOOK))
-    out = _run_available_now(score_stream(b, fx.weights(spark, sf)), "stream-scores")
+    out = _run_available_now(score_stream(b, _stored(fx.weights(spark, sf), "weights")), "stream-scores")
     return out.select(*INSTRUMENT, "nonce", "timestamp", "mid_price", r6(F.col("vamp_bias_bp")).alias("vamp_bias_bp"),
                       "factor_ofi_smooth", r6(F.col("combined_alpha")).alias("combined_alpha"), "signal")
 
@@ -1385,7 +1393,7 @@ def stream_gap_jobs(spark, sf):
     done = gp.gap_jobs(gp.detect_gaps(fx.local_trades(spark, sf)).where(F.col("start_id") % 3 == 0)) \
         .select("job_id", F.lit(1 << 60).alias("dispatched_ms"))
     t = fx.trades_from_events(_events_stream(spark, sf, *BY_TRADE)).where(~F.col("is_lost")).drop("is_lost")
-    return _run_available_now(sg(t, active=done), "stream-gap-jobs").select("exchange_id", "symbol", "start_id", "end_id", "job_id")
+    return _run_available_now(sg(t, active=_stored(done, "dispatched")), "stream-gap-jobs").select("exchange_id", "symbol", "start_id", "end_id", "job_id")
 
 
 @register("stream_job_lock", with_ctes(GAPS) + f"""

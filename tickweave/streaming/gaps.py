@@ -5,7 +5,8 @@ are sorted; a jump ``id > last + 1`` emits the gap ``[last + 1, id - 1]``; ids a
 ``last`` (late or repeated) never lower it, so one detector can't emit a gap twice. Other
 detectors can have: jobs of ``active`` that are not older than ``ttl_ms`` are left out. The
 first state of a key can come from ``initial`` (AGG-2 ``last_ids`` of the table). Both are
-joined to the stream as static sides. Late ids cannot retract an emitted gap; the batch
+joined to the stream as static sides, which every micro-batch reads again: give stored tables,
+not frames that are worked out from much more. Late ids cannot retract an emitted gap; the batch
 GAP-1 over the table reconciles.
 
 One instrument's ids of one micro-batch are one array of longs in one task; the source's
@@ -56,9 +57,9 @@ def stream_gaps(trades: DataFrame, initial: DataFrame | None = None, active: Dat
     found = t.groupBy("exchange_id", "symbol").applyInPandasWithState(
         _gaps, GAP_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout).withColumn("job_id", fk.gap_job_id())
     if active is not None:
-        held = active.groupBy("job_id").agg(F.max("dispatched_ms").alias("_sent")).withColumnRenamed("job_id", "_job")
-        found = found.join(held, F.col("job_id") == F.col("_job"), "left") \
-            .where(F.col("_sent").isNull() | (F.col("seen_ms") - F.col("_sent") >= F.lit(ttl_ms)))
+        # merged, as a broadcast would go through the driver in every micro-batch
+        held = active.select(F.col("job_id").alias("_job"), F.col("dispatched_ms").alias("_sent")).hint("merge")
+        found = found.join(held, (F.col("job_id") == F.col("_job")) & (F.col("seen_ms") - F.col("_sent") < F.lit(ttl_ms)), "left_anti")
     return found.select("exchange_id", "symbol", "start_id", "end_id", "job_id")
 
 
