@@ -1045,11 +1045,13 @@ def silence_events(spark, sf):
 
 #: Events of one micro-batch at most, and micro-batches at least, so that carried state is used.
 EVENTS_PER_TRIGGER, LEAST_TRIGGERS = 200_000, 4
+#: Files of one micro-batch, each read by a task of its own.
+FILES_PER_TRIGGER = 8
 
 
 def _events_stream(spark, sf, *by: str):
     """The ``events`` table as a file stream in the order of the expressions ``by``: a range of
-    at most EVENTS_PER_TRIGGER events in each file, and a file in each micro-batch.
+    at most EVENTS_PER_TRIGGER events in each micro-batch, in FILES_PER_TRIGGER files.
 
     The file source goes by modification times, so they are set to the order of the ranges."""
     import re
@@ -1059,7 +1061,8 @@ def _events_stream(spark, sf, *by: str):
     n = max(LEAST_TRIGGERS, -(-ev.count() // EVENTS_PER_TRIGGER))
     d = _scratch(spark, "events")
     order = [F.expr(x) for x in by]
-    ev.repartitionByRange(n, *order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", EVENTS_PER_TRIGGER).parquet(d)
+    ev.repartitionByRange(n * FILES_PER_TRIGGER, *order).sortWithinPartitions(*order) \
+        .write.option("maxRecordsPerFile", EVENTS_PER_TRIGGER // FILES_PER_TRIGGER).parquet(d)
     folder = spark._jvm.org.apache.hadoop.fs.Path(d)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     found = [(tuple(map(int, m.groups())), f.getPath()) for f in fs.listStatus(folder) if (m := re.match(r"part-(\d+)-.*-c(\d+)", f.getPath().getName()))]
@@ -1068,7 +1071,7 @@ def _events_stream(spark, sf, *by: str):
         fs.setTimes(path, start + 1000 * i, -1)
         if fs.getFileStatus(path).getModificationTime() != start + 1000 * i:
             raise RuntimeError(f"{d} doesn't keep modification times, which give the stream its order")
-    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(d)
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(d)
 
 
 #: Orders of the derived streams, over ``events``.
