@@ -60,3 +60,28 @@ def test_remembered_stays_within_its_bytes():
         if k % 10 == 9:
             held.end()
             assert held.held <= 10_000 and len(held) <= 70
+
+
+def test_new_parts_are_split_together(coder, monkeypatch):
+    """One call of the pattern for a block's new parts and one for each beginning, not one for
+    each part; with the library's ids where parts end in blanks, signs and other scripts."""
+    import tiktoken
+
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=coder._ranks, special_tokens={})
+    r = random.Random(7)
+    ends = ["", ",", ".\n", ".\n\n", "'s", " \n ", "  ", " 中", " ", "\t", "9!"]
+    block = ["".join(f"qz{r.randrange(10**6)}{r.choice(['é', 'x', ''])}{r.choice(ends)} " for _ in range(300)) for _ in range(4)] + ["", " ", " a"]
+    calls, find = [], coder._find
+    monkeypatch.setattr(coder, "_find", lambda text: calls.append(text) or find(text))
+    got = coder.encode(block)
+    assert len(calls) <= len(block) + 1
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode_ordinary(t) for t in block]
+
+
+def test_keep_counts_like_single_entries():
+    one, many = Remembered(10_000), Remembered(10_000)
+    texts = ["a", "bcd", "x" * 100, "é" * 64]
+    for t in texts:
+        one[t] = t.encode()
+    many.keep(texts, [t.encode() for t in texts])
+    assert one == many and one.held == many.held and one._long == many._long
