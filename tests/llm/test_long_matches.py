@@ -85,3 +85,27 @@ def test_keep_counts_like_single_entries():
         one[t] = t.encode()
     many.keep(texts, [t.encode() for t in texts])
     assert one == many and one.held == many.held and one._long == many._long
+
+
+@pytest.mark.parametrize("step", [1 << 16, 7])
+def test_packing_tokenises_a_blocks_parts_together(monkeypatch, step):
+    """One call of the library for a block's new plain parts and one for each beginning, not one
+    for each part; with the tokenizers file's ids where parts end in blanks, signs, other
+    scripts and special strings."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids, library = packing.Ids(path, public_tokenizers.path("byte_bpe_50k.tiktoken")), Tokenizer.from_file(path)
+    monkeypatch.setattr(packing, "STEP", step)
+    r = random.Random(3)
+    ends = ["", ",", ".\n", ".\n\n", "'s", " \n ", "  ", " 中", " ", "\t", "9!", "é", "\x00", *ids._special]
+    block = ["".join(f"qz{r.randrange(10**6)}{r.choice(['é', 'x', ''])}{r.choice(ends)} " for _ in range(200)) for _ in range(4)]
+    block += ["", " ", " a", "b", "  c  d", "the cat", "the cat sat ÿ", "中 文 字", block[0]]
+    calls, fast = [], ids._fast
+    monkeypatch.setattr(ids, "_fast", lambda text: calls.append(text) or fast(text))
+    got = ids(block)
+    assert step == 7 or len(calls) <= len(block) + 1
+    want = [library.encode(t, add_special_tokens=False).ids for t in block]
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == want
+    assert [np.frombuffer(x, "<u2").tolist() for x in packing.Ids(path, None)(block)] == want
+    assert ids([""]) == [b""]

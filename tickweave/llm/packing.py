@@ -26,17 +26,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickweave.llm.byte_bpe import cut, read_ranks
+from tickweave.llm.byte_bpe import _ODD, STEP, cut, read_ranks
 from tickweave.llm.common import Remembered, blocks, released, store
 
-#: Bytes that a worker remembers, about, of parts and of text beginnings.
+#: Bytes that a worker remembers, about, of parts that are not plain; an eighth as many of text beginnings.
 REMEMBERED = 64 << 20
 #: Characters that every Unicode version classes alike.
-_PLAIN = re.compile("[\t\n\r -~¡-ɏ]*")
+_PLAIN, _OTHER = re.compile("[\t\n\r -~¡-ɏ]*"), "[^\t\n\r -~¡-ɏ]"
+#: Bytes of text that are tokenised together: the more, the fewer parts come again.
+BLOCK_BYTES = 1 << 22
 #: Rows that one cell of the rank count holds at most, about.
 CELL_ROWS = 50_000
 
@@ -48,7 +51,8 @@ if sys.byteorder != "little":
 class Ids:
     """Token ids of whole texts as the tokenizers file gives them; each distinct part of a
     block is tokenised once. ``ranks``, the same vocabulary as a rank file, serves plain
-    parts, which is several times as fast; all others go through the file's own tokenizer."""
+    parts, many joined in one call, which is several times as fast; all others go through the
+    file's own tokenizer and are remembered."""
 
     def __init__(self, path: str, ranks: str | None):
         import tiktoken
@@ -59,31 +63,87 @@ class Ids:
         if self._tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("ids are held in 16 bits")
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._fast = ranks and tiktoken.Encoding(
-            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(ranks), special_tokens={})._core_bpe.encode_ordinary
+        self._fast = None
+        if ranks:
+            held = read_ranks(ranks)
+            coder = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=held, special_tokens={})
+            self._fast = lambda text: coder.encode_to_numpy(text, disallowed_special=())
+            self._size = np.zeros(max(held.values()) + 1, np.int64)
+            self._size[list(held.values())] = [len(b) for b in held]
         self._part, self._head = Remembered(REMEMBERED), Remembered(REMEMBERED >> 3)
 
     def _encode(self, text: str, special: list[str]) -> bytes:
         if self._fast and _PLAIN.fullmatch(text) and not (special and any(x in text for x in special)):
-            return array("H", self._fast(text)).tobytes()
+            return self._fast(text).astype("<u2").tobytes()
         return array("H", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _joined(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain parts, each after a space, and how many each has. They are tokenised as
+        one text, as each begins a match with the space before it; its bytes tell its ids."""
+        ids, counts = [np.zeros(0, "<u2")], [np.zeros(0, np.int64)]
+        for k in range(0, len(parts), STEP):
+            some = parts.slice(k, STEP)
+            text = pc.binary_join(pa.ListArray.from_arrays([0, len(some)], some), " ")[0].as_py()
+            found = self._fast(" " + text)
+            end = np.cumsum(pc.binary_length(some).to_numpy().astype(np.int64) + 1)
+            ids.append(found.astype("<u2"))
+            counts.append(np.diff(np.searchsorted(np.cumsum(self._size[found]), end) + 1, prepend=0))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _rare(self, parts: pa.Array, special: list[str]) -> np.ndarray:
+        """Which parts the rank file can't serve."""
+        if not self._fast:
+            return np.ones(len(parts), bool)
+        rare = pc.match_substring_regex(parts, _OTHER).to_numpy(zero_copy_only=False)
+        for x in special:
+            rare |= pc.match_substring(parts, x).to_numpy(zero_copy_only=False)
+        return rare
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [cut(t) for t in texts]
-        parts = set()
-        for s in split:
-            parts.update(s[1:])
         special = [x for x in self._special if any(x in t for t in texts)]
-        for x in parts - self._part.keys():
+        order, parts, counts = split(texts)
+        begin = np.cumsum(counts) - counts
+        is_head = np.zeros(len(parts), bool)
+        is_head[begin] = True
+        heads, coded = parts.filter(pa.array(is_head)).to_pylist(), parts.filter(pa.array(~is_head)).dictionary_encode()
+        rare = self._rare(coded.dictionary, special)
+        plain, plain_n = self._joined(coded.dictionary.filter(pa.array(~rare)))
+        others = coded.dictionary.filter(pa.array(rare)).to_pylist()
+        for x in set(others) - self._part.keys():
             self._part[x] = self._encode(" " + x, special)
-        for x in {s[0] for s in split} - self._head.keys():
+        for x in set(heads) - self._head.keys():
             self._head[x] = self._encode(x, special)
-        get = self._part.__getitem__
-        out = [self._head[s[0]] + b"".join(map(get, s[1:])) for s in split]
+        held = [*map(self._part.__getitem__, others), *map(self._head.__getitem__, heads)]
         self._part.end(), self._head.end()
+        # the ids of plain parts, others and heads stand one after another in this table
+        table = np.r_[plain, np.frombuffer(b"".join(held), "<u2")]
+        size = np.r_[plain_n, np.fromiter(map(len, held), np.int64, len(held)) // 2]
+        start = np.cumsum(size) - size
+        place = np.empty(len(rare), np.int64)
+        place[~rare], place[rare] = np.arange(len(plain_n)), len(plain_n) + np.arange(len(others))
+        row = np.empty(len(parts), np.int64)
+        row[is_head] = len(rare) + np.arange(len(heads))
+        row[~is_head] = place[coded.indices.to_numpy()]
+        size = size[row]
+        stop = np.cumsum(size)
+        whole = table[np.arange(stop[-1]) + np.repeat(start[row] - (stop - size), size)].tobytes()
+        out: list = [b""] * len(texts)
+        for i, a, b in zip(order, (2 * (stop - size)[begin]).tolist(), (2 * stop[begin + counts - 1]).tolist()):
+            out[i] = whole[a:b]
         return out
 
 
+def split(texts: list[str]) -> tuple[list[int], pa.Array, np.ndarray]:
+    """An order of the texts, their parts (as of ``cut``) one after another, and how many each has."""
+    odd = [bool(_ODD.search(t)) for t in texts]
+    order = sorted(range(len(texts)), key=odd.__getitem__)
+    k = len(texts) - sum(odd)
+    even = pc.split_pattern(pa.array([texts[i] for i in order[:k]], pa.string()), " ")
+    rest = [cut(texts[i]) for i in order[k:]]
+    parts = pa.concat_arrays([even.flatten(), pa.array([x for ps in rest for x in ps], pa.string())])
+    return order, parts, np.r_[pc.list_value_length(even).to_numpy().astype(np.int64), np.array([len(ps) for ps in rest], np.int64)]
+
+
 @lru_cache(maxsize=2)
 def _ids(path: str, ranks: str | None) -> Ids:
     return Ids(path, ranks)
@@ -99,7 +159,7 @@ def _pieces(docs: DataFrame, path: str | None, end_id: int, window: int) -> Data
         rid = TaskContext.get().partitionId() << 33
         end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
-            for first, texts in blocks(batch):
+            for first, texts in blocks(batch, limit=BLOCK_BYTES):
                 row, start, length, total, held = [], [], [], [], []
                 for i, b in enumerate(ids(texts)):
                     b += end
