@@ -151,3 +151,28 @@ def test_links_are_all_of_the_brute_force_s(spark, percent, cell):
     want = brute_links(rows, percent=percent)
     assert len([p for p in want if p[0] >= 1000]) > 12 * 11 // 3
     assert rows_of(ngram_join.links(docs(spark, rows), percent=percent, cell=cell), "a", "b") == sorted(want, key=str)
+
+
+def test_slots_reach_the_driver_as_bytes(spark):
+    """200,000 hashes: every slot holds the largest number of its hashes, and the driver needs
+    little more than the table's 2 MB. A Python row for each word took some 60 MB."""
+    import tracemalloc
+
+    from pyspark.sql import functions as F
+
+    rows = spark.range(200_000).select(F.xxhash64("id").alias("h"), (F.col("id") % 13 + 1).cast("int").alias("v"))
+    tracemalloc.start()
+    slots = ngram_join.Slots.of(rows, F.col("v"), 4, 20, 22)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert slots.bits == 22 and peak < 12 << 20
+    h, v = (np.array(x) for x in zip(*((r["h"], r["v"]) for r in rows.collect())))
+    h = h.astype(np.int64).view(np.uint64)
+    want = np.zeros(1 << 22, np.int64)
+    np.maximum.at(want, (h >> np.uint64(64 - 22)).astype(np.int64), v)
+    every = np.arange(1 << 22, dtype=np.uint64) << np.uint64(64 - 22)
+    assert (slots.at(every) == want).all() and (slots.at(h) >= v).all()
+    few = ngram_join.Slots.of(rows.where("false"), F.lit(1), 1, 8, 27)
+    assert few.bits == 8 and not few.data.any()
+    one = ngram_join.Slots.of(rows.limit(3), F.lit(1), 1, 8, 27)
+    assert one.bits == 8 and len(one.data) == 4 and np.bitwise_count(one.data.view(np.uint64)).sum() <= 3 and one.data.any()
