@@ -114,3 +114,25 @@ def test_edges(spark):
 def test_no_python_on_the_path(spark):
     plan = queries.op11_mixing(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("what", [mixing.taken, mixing.mix])
+def test_slots_and_blocks_are_never_broadcast(spark, what):
+    """Spark's size of exploded rows is that of the rows before: a broadcast of them grows with the words."""
+    seen = what(table(spark, [(i, "w " * 900, "ab"[i % 2]) for i in range(60)]))
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in re.findall(r"\w+Join \[.*", plan) if re.search(r"Join \[src#\d+L?, index#", x)]
+    assert joins and all(x.startswith("SortMergeJoin") for x in joins), joins
+
+
+def test_draws_are_never_broadcast(spark, monkeypatch):
+    """Their number is that of sources times shards, of which Spark's size holds the shards alone."""
+    sources = spark.createDataFrame([(f"s{i}", i, 5, 333 + i, 333.0 + i) for i in range(40)], "source string, src long, docs long, source_size long, target double")
+    got = []
+    for few in (mixing.FEW_BINS, 3):
+        monkeypatch.setattr(mixing, "FEW_BINS", few)
+        counts = mixing.shard_counts(sources, 8, 64, 7)
+        sides = re.findall(r"(\w+Join) \[bin#[^\n]*?(BuildLeft|BuildRight|$)", counts._jdf.queryExecution().executedPlan().toString(), re.M)
+        assert sides and all(x == (("BroadcastHashJoin", "BuildRight") if few > 3 else ("SortMergeJoin", "")) for x in sides), sides
+        got.append(sorted(map(tuple, counts.collect())))
+    assert got[0] == got[1]

@@ -12,7 +12,9 @@
    ``repeats`` rounds of its source's blocks is left empty.
 4. The j-th slot of a source takes block (permutation of round j div n at j mod n), n its
    number of blocks, by a keyed swap-or-not permutation: no sorting, no table of places.
-5. Slots and blocks meet in a join on (source, block index), which spreads a hot source.
+5. Slots and blocks meet in a join on (source, block index), which spreads a hot source. It
+   names a sort-merge join: Spark's size of exploded rows is that of the rows before, so it
+   would send all slots through the driver as a broadcast.
 
 Every choice is a hash of the seed and the rows, so reruns agree.
 
@@ -43,6 +45,8 @@ UNITS = 1 << 20
 TASK_SLOTS = 1 << 18
 #: Rounds of the permutation.
 ROUNDS = 16
+#: Bins of a shard's draws that are broadcast; more are joined by sorting.
+FEW_BINS = 4096
 #: Rows that one cell orders, equal rows that stand as one until they are laid out, and cells
 #: or shards that one span of a prefix sum holds.
 CELL_ROWS = 512
@@ -162,7 +166,7 @@ def shard_counts(sources: DataFrame, block: int, shard_slots: int, seed: int) ->
         ends = ends.withColumn("bin", F.explode(F.sequence(F.floor(F.col("lo") * bins), F.least(F.floor(F.col("hi") * bins), F.lit(bins - 1)))))
         draws = parts.sparkSession.range(first, first + shards).select(F.col("id").alias("shard"), F.explode(F.sequence(F.lit(1), F.lit(int(left)))).alias("draw"))
         draws = draws.withColumn("u", _uniform(F.lit(seed), F.col("shard"), F.col("draw"))).withColumn("bin", F.floor(F.col("u") * bins))
-        drawn = draws.join(ends, "bin").where("u >= lo and u < hi")
+        drawn = draws.join(ends.hint("broadcast" if bins <= FEW_BINS else "merge"), "bin").where("u >= lo and u < hi")
         out = out.unionByName(drawn.groupBy("shard", "src").agg(F.count(F.lit(1)).alias("n")))
     return out.groupBy("shard", "src").agg(F.sum("n").alias("n"))
 
@@ -200,7 +204,7 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, wei
     ``copy`` tell rows of one doc_id apart."""
     sizes = sized(docs)
     sources = source_targets(sizes, weights, repeats)
-    return slots(sources, block, shard_slots, repeats, seed).join(pieces(sizes, sources, block), ["src", "index"]) \
+    return slots(sources, block, shard_slots, repeats, seed).join(pieces(sizes, sources, block).hint("merge"), ["src", "index"]) \
         .select("shard", "src", "nth", "source", "doc_id", "h", "copy", "start", "length")
 
 
@@ -210,7 +214,7 @@ def taken(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, w
     sizes = sized(docs)
     sources = source_targets(sizes, weights, repeats)
     times = slots(sources, block, shard_slots, repeats, seed).groupBy("src", "index").agg(F.count(F.lit(1)).alias("times"))
-    rows = pieces(sizes, sources, block).join(times, ["src", "index"], "left") \
+    rows = pieces(sizes, sources, block).join(times.hint("merge"), ["src", "index"], "left") \
         .groupBy("doc_id", "source", "h", "copy").agg(F.sum("length").alias("size"), F.sum(F.col("length") * F.coalesce("times", F.lit(0))).alias("taken"))
     empty = chunked(sizes.where("size = 0")).repartition("h", "first_copy").withColumn("copy", F.explode(F.sequence("first_copy", "last_copy")))
     rows = rows.select("doc_id", "source", "size", "taken").unionByName(empty.select("doc_id", "source", "size", F.lit(0).cast("long").alias("taken")))
